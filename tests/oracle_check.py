@@ -1,0 +1,106 @@
+"""Run registered queries in Spark and their SQL oracle in DuckDB; compare results.
+
+Usage: python tests/oracle_check.py [sf_dir] [query ...]
+Comparison: column names, row count and the order-insensitive multiset of rows
+(floats rounded to 6 significant digits, timestamps and dates as ISO text).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def norm(v):
+    if v is None:
+        return "<null>"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "<null>"
+        return f"{v:.6g}"
+    if isinstance(v, decimal.Decimal):
+        return f"{float(v):.6g}"
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if isinstance(v, bool):
+        return str(v)
+    if isinstance(v, (list, tuple)):
+        return "[" + ",".join(norm(x) for x in v) + "]"
+    return str(v)
+
+
+def rows_of(cols, records):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted(tuple(norm(r[i]) for i in order) for r in records)
+
+
+def duck(sf_dir):
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def compare(spark, sf_dir, names=None):
+    import __spark_entry__ as E
+    qs, oracle = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    report = {}
+    for name in names or list(qs):
+        t0 = time.time()
+        try:
+            df = qs[name](spark, sf_dir)
+            s_cols = df.columns
+            s_rows = [tuple(r) for r in df.collect()]
+        except Exception as e:  # noqa: BLE001
+            report[name] = f"SPARK ERROR {type(e).__name__}: {str(e)[:400]}"
+            continue
+        secs = time.time() - t0
+        if name not in oracle:
+            report[name] = f"rows={len(s_rows)} (no oracle) {secs:.1f}s"
+            continue
+        try:
+            res = con.execute(oracle[name])
+            d_cols = [c[0] for c in res.description]
+            d_rows = res.fetchall()
+        except Exception as e:  # noqa: BLE001
+            report[name] = f"DUCKDB ERROR {type(e).__name__}: {str(e)[:400]}"
+            continue
+        if sorted(s_cols) != sorted(d_cols):
+            report[name] = f"COLUMNS differ spark={s_cols} duck={d_cols}"
+            continue
+        a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
+        if a == b:
+            report[name] = f"OK rows={len(a)} {secs:.1f}s"
+        else:
+            sa, sb = set(a), set(b)
+            report[name] = (f"MISMATCH spark={len(a)} duck={len(b)} "
+                            f"only_spark={sorted(sa - sb)[:3]} only_duck={sorted(sb - sa)[:3]}")
+    return report
+
+
+if __name__ == "__main__":
+    from recordlake.session import get_spark
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:] or None
+    spark = get_spark("local[8]", 8)
+    rep = compare(spark, sf, names)
+    for k, v in rep.items():
+        print(f"{k:28s} {v}")
+    bad = [k for k, v in rep.items() if not (v.startswith("OK") or "no oracle" in v)]
+    print("FAILED:", bad)
