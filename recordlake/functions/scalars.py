@@ -115,7 +115,7 @@ def file_segment(path: ColumnLike, suffix: str = BATCH_SUFFIX) -> Column:
     """Path segment that ends in ``suffix`` (a batch written by Spark is a directory).
 
     ``.../batch_20240110_000000.parquet/part-0000.snappy.parquet`` -> ``batch_20240110_000000.parquet``;
-    a plain file gives its own name.
+    a plain file gives its own name; a partition directory ``b=batch_....parquet`` gives its value.
     """
     esc = suffix.replace(".", "[.]")
-    return F.regexp_extract(_c(path), rf"/([^/]+{esc})(/|$)", 1)
+    return F.regexp_extract(_c(path), rf"/(?:[^/=]*=)?([^/=]+{esc})(/|$)", 1)
