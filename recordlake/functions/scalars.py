@@ -102,8 +102,9 @@ def ratio(num: ColumnLike, den: ColumnLike) -> Column:
 
 
 def ratio_pct(r: ColumnLike) -> Column:
-    """A ratio shown as a percentage with one decimal, e.g. ``12.5%``."""
-    return F.format_string("%.1f%%", _c(r) * F.lit(100.0))
+    """A ratio shown as a percentage with one decimal, e.g. ``12.5%`` (F9); null stays null."""
+    col = _c(r)
+    return F.when(col.isNotNull(), F.format_string("%.1f%%", col * F.lit(100.0)))
 
 
 def ends_with(c: ColumnLike, suffix: str = BATCH_SUFFIX) -> Column:

@@ -1,0 +1,49 @@
+import datetime as dt
+
+from pyspark.sql import types as T
+
+from conftest import rows
+from recordlake.operators.project import drop_unnamed
+from recordlake.sources.files import path_exists, scan_csv_dates, scan_csv_inferred, scan_csv_strings, scan_optional
+
+
+def write(path, text):
+    import os
+
+    from recordlake.session import local_path
+    p = local_path(path)
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    with open(p, "w") as fh:
+        fh.write(text)
+
+
+def test_weather_csv_inferred(spark, tmp_dir):
+    write(f"{tmp_dir}/w.csv", "date,temperature\n2024-06-01,75\n2024-06-01,80\n2024-06-02,65\n2024-06-02,70\n")
+    df = scan_csv_inferred(spark, f"{tmp_dir}/w.csv")
+    assert [f.dataType for f in df.schema.fields] == [T.DateType(), T.IntegerType()]
+    assert df.count() == 4
+
+
+def test_record_csv_dates_and_blank_column(spark, tmp_dir):
+    write(f"{tmp_dir}/r.csv", "Date,Permit Number,Usage,\n02/03/2024,P1,Residential,\n2/4/2024,P2,Residential,\n"
+                              "not a date,P3,Residential,\n,,Residential,\n")
+    df = drop_unnamed(scan_csv_dates(spark, f"{tmp_dir}/r.csv", "Date"), strict=True)
+    assert df.columns == ["Date", "Permit Number", "Usage"]
+    assert rows(df, "Permit Number", "Date") == [(None, None), ("P1", dt.datetime(2024, 2, 3)),
+                                                 ("P2", dt.datetime(2024, 2, 4)), ("P3", None)]
+
+
+def test_registry_strings_keep_leading_zeros(spark, tmp_dir):
+    write(f"{tmp_dir}/reg.csv", "LicenseNo,BusinessName,Other\n001234,ACME,x\n001234,ACME 2,y\n")
+    df = scan_csv_strings(spark, f"{tmp_dir}/reg.csv")
+    assert rows(df, "LicenseNo") == [("001234",), ("001234",)]
+
+
+def test_optional_and_exists(spark, tmp_dir):
+    schema = T.StructType([T.StructField("Permit Number", T.StringType()), T.StructField("Installer Number", T.StringType())])
+    assert scan_optional(spark, f"{tmp_dir}/missing.csv", schema).count() == 0
+    assert not path_exists(spark, f"{tmp_dir}/missing.csv")
+    write(f"{tmp_dir}/res.csv", "Permit Number,Installer Number\nP1,L1\nP2,\n")
+    got = scan_optional(spark, f"{tmp_dir}/res.csv", schema)
+    assert rows(got) == [("P1", "L1"), ("P2", None)]
+    assert path_exists(spark, f"{tmp_dir}/res.csv")
