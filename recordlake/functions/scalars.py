@@ -117,6 +117,10 @@ def file_segment(path: ColumnLike, suffix: str = BATCH_SUFFIX) -> Column:
 
     ``.../batch_20240110_000000.parquet/part-0000.snappy.parquet`` -> ``batch_20240110_000000.parquet``;
     a plain file gives its own name; a partition directory ``b=batch_....parquet`` gives its value.
+    Plain string functions (no regex): this runs once per scanned row.
     """
-    esc = suffix.replace(".", "[.]")
-    return F.regexp_extract(_c(path), rf"/(?:[^/=]*=)?([^/=]+{esc})(/|$)", 1)
+    p = _c(path)
+    head = F.substring_index(p, suffix, 1)             # up to the first suffix
+    segment = F.substring_index(head, "/", -1)         # its last path segment
+    value = F.substring_index(segment, "=", -1)        # partition directory value
+    return F.when(F.contains(p, F.lit(suffix)), F.concat(value, F.lit(suffix))).otherwise(F.lit(""))

@@ -113,8 +113,9 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
         spark.createDataFrame([], RESUME_SCHEMA)
     todo = resume(numbered, prior, "permit_number")
 
-    # 2. look-ups from captured pages, attached to the batch
-    found = pages.permit_to_license(permit_pages, "permit_number")
+    # 2. look-ups from captured pages of this batch only, attached to the batch
+    wanted = permit_pages.join(todo.select("permit_number").distinct(), "permit_number", "left_semi")
+    found = pages.permit_to_license(wanted, "permit_number")
     batch = joins.attach_results(todo, found.select("permit_number", "license_no"), "permit_number")
     reports["missing"] = aggs.missing_report(
         setops.union_resumed(prior, batch.select("permit_number", "license_no")), "license_no").first().asDict()

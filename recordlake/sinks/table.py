@@ -1,20 +1,21 @@
 """Tables as versioned parquet directories.
 
-A table is a root folder holding ``v=<n>`` data directories and a ``_log`` dataset with one
-row per committed version. Appends add files to the current version; replace and upsert
-write a complete new version and then log it, so readers never see a table that is being
-rewritten, and a job that dies before its log row leaves the previous version current.
+A table is a root folder holding ``v=<n>`` data directories. A version is committed when
+its write job has committed (Spark's ``_SUCCESS`` marker in the directory); the current
+version is the highest committed one. Appends add files to the current version; replace
+and upsert write a complete new version, so readers never see a table that is being
+rewritten, and a job that dies before its commit leaves the previous version current.
 Single writer per table; old versions stay until removed by the operator.
 
-Every write is a Spark job (job commit makes its files visible at once), and reads are
-plain parquet scans with pruning and pushdown.
+Every write is a Spark job, reads are plain parquet scans with pruning and pushdown, and
+finding the current version is a directory listing (no job).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,12 +23,9 @@ from pyspark.sql import types as T
 from recordlake.operators.aggs import observe_count
 from recordlake.operators.project import normalize_types
 from recordlake.sinks.upsert import upsert_frames
-from recordlake.sources.files import _is_missing_path
+from recordlake.sources import fs
 
-_LOG_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("op", T.StringType(), False),
-])
+_VERSION_DIR = re.compile(r"^v=(\d+)$")
 
 
 class LakeTable:
@@ -38,30 +36,28 @@ class LakeTable:
         self.root = root.rstrip("/")
 
     # -- catalogue ---------------------------------------------------------------------
-    def _log_path(self) -> str:
-        return f"{self.root}/_log"
-
     def _data_path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
+    def _versions(self) -> list[int]:
+        """All version directories, committed or not, ascending."""
+        found = (_VERSION_DIR.match(n) for n in fs.list_dirs(self.spark, self.root))
+        return sorted(int(m.group(1)) for m in found if m)
+
     def current_version(self) -> int | None:
         """Latest committed version, or None when the table does not exist."""
-        try:
-            row = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path()) \
-                .agg(F.max("version").alias("v")).first()
-        except AnalysisException as err:
-            if _is_missing_path(err):
-                return None
-            raise
-        return None if row is None or row["v"] is None else int(row["v"])
+        for v in reversed(self._versions()):
+            if fs.exists(self.spark, f"{self._data_path(v)}/_SUCCESS"):
+                return v
+        return None
 
     def exists(self) -> bool:
-        """Probe the commit log only; any error other than a missing path is raised."""
+        """A metadata probe; never treats a read error as "missing"."""
         return self.current_version() is not None
 
-    def _commit(self, version: int, op: str) -> None:
-        self.spark.createDataFrame([(version, op)], _LOG_SCHEMA) \
-            .coalesce(1).write.mode("append").parquet(self._log_path())
+    def _next_version(self) -> int:
+        vs = self._versions()
+        return (vs[-1] if vs else 0) + 1
 
     # -- reads -------------------------------------------------------------------------
     def read(self) -> DataFrame:
@@ -80,10 +76,9 @@ class LakeTable:
     # -- writes ------------------------------------------------------------------------
     def create_or_replace(self, df: DataFrame) -> Observation:
         """K3: write ``df`` as a new version (safe even when ``df`` reads this table)."""
-        v = (self.current_version() or 0) + 1
+        v = self._next_version()
         counted, obs = observe_count(df, f"replace_{v}")
         counted.write.mode("errorifexists").parquet(self._data_path(v))
-        self._commit(v, "replace")
         return obs
 
     def _align(self, df: DataFrame, target: T.StructType) -> DataFrame:

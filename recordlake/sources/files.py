@@ -89,20 +89,37 @@ def scan_batch(spark: SparkSession, paths, schema: T.StructType | None = None,
 
 
 def select_batch_files(df: DataFrame, run_date: str, file_col: str = "batch_file") -> DataFrame:
-    """Keep rows of batches named for ``run_date``.
+    """Keep rows of batches named for ``run_date`` (S7, F3, F10), row by row.
 
-    On a scan this is a filter over ``_metadata.file_path``, so files of other days are
-    pruned before they are read.
+    For a frame of batch names; to scan one day's batch files use ``scan_batches_for``,
+    which applies the same rule to the file listing.
     """
     name = F.col(file_col)
     return df.where(ends_with(name) & (batch_date_of(name) == F.lit(run_date)))
 
 
+def batch_glob(batch_dir: str, run_date: str) -> str:
+    """Glob of the batch names of ``run_date``: ``batch_<date>_<time>.parquet``, also without
+    the prefix or the time part (the names ``batch_date_of`` maps to ``run_date``)."""
+    return f"{batch_dir.rstrip('/')}/{{batch_,}}{run_date}{{_*,}}.parquet"
+
+
 def scan_batches_for(spark: SparkSession, batch_dir: str, run_date: str | None,
                      schema: T.StructType | None = None, file_col: str = "batch_file") -> DataFrame:
-    """All batches under ``batch_dir`` (optionally only those of ``run_date``)."""
-    df = scan_batch(spark, batch_dir, schema, file_col)
-    return select_batch_files(df, run_date, file_col) if run_date else df
+    """All batches under ``batch_dir``, or only those of ``run_date``.
+
+    The run date is applied to the file listing (a glob), so batches of other days are
+    never opened and no per-row predicate runs. No batch of that day gives an empty frame
+    when ``schema`` is known.
+    """
+    if not run_date:
+        return scan_batch(spark, batch_dir, schema, file_col)
+    try:
+        return scan_batch(spark, batch_glob(batch_dir, run_date), schema, file_col)
+    except AnalysisException as err:
+        if _is_missing_path(err) and schema is not None:
+            return spark.createDataFrame([], schema).withColumn(file_col, F.lit(None).cast("string"))
+        raise
 
 
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
