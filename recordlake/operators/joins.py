@@ -8,7 +8,8 @@ Null-key semantics differ per operator and are kept on purpose:
 
 All joins are equi-joins, planned by Catalyst: a side is broadcast only when its size
 estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (or AQE measures it small at
-run time), otherwise it is a sort-merge join. Null-key groups are salted (see ``skew``).
+run time), otherwise it is a sort-merge join whose oversized partitions (null or hot
+keys) AQE splits at run time (see ``skew``).
 """
 
 from __future__ import annotations
@@ -16,13 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.operators.skew import (
-    SALT,
-    null_safe_cond,
-    replicate_null_keys,
-    salt_null_keys,
-    zero_salt,
-)
+from recordlake.operators.skew import any_null, null_safe_cond
 
 
 def _keys(keys) -> list[str]:
@@ -30,28 +25,31 @@ def _keys(keys) -> list[str]:
 
 
 def stored_keys(stored: DataFrame, keys) -> DataFrame:
-    """Distinct complete keys of a stored table (pre-aggregated before the shuffle)."""
+    """Complete keys of a stored table: the build side of an anti or semi join.
+
+    Not deduplicated: duplicates cannot change an anti/semi join, and a build side read
+    straight from its shuffle lets AQE split oversized (skewed) partitions of the row
+    side; a ``distinct`` here would put an aggregate between shuffle and join.
+    """
     ks = _keys(keys)
     cond = None
     for k in ks:
         c = F.col(k).isNotNull()
         cond = c if cond is None else cond & c
-    return stored.select(*ks).where(cond).distinct()
+    return stored.select(*ks).where(cond)
 
 
 def new_rows(batch: DataFrame, stored: DataFrame, keys) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet (J1). Null-key rows always stay."""
     ks = _keys(keys)
-    salted = salt_null_keys(batch, ks)
-    seen = zero_salt(stored_keys(stored, ks))
-    return salted.join(seen, ks + [SALT], "left_anti").drop(SALT)
+    return batch.join(stored_keys(stored, ks), ks, "left_anti")
 
 
 def unmatched_codes(df: DataFrame, registry: DataFrame, code: str,
                     registry_code: str | None = None) -> DataFrame:
     """Distinct codes of ``df`` missing from the registry (J2); a null code is reported once."""
     rc = registry_code or code
-    reg = registry.select(F.col(rc).alias(code)).where(F.col(code).isNotNull()).distinct()
+    reg = registry.select(F.col(rc).alias(code)).where(F.col(code).isNotNull())
     return df.select(code).distinct().join(reg, code, "left_anti")
 
 
@@ -85,8 +83,8 @@ def attach_results(batch: DataFrame, results: DataFrame, keys) -> DataFrame:
     ks = _keys(keys)
     res = dedupe_by_key(results, ks)
     value_cols = [c for c in res.columns if c not in ks]
-    left = salt_null_keys(batch, ks).alias("_b")
-    right = replicate_null_keys(res, ks).alias("_r")
+    left = batch.alias("_b")
+    right = res.alias("_r")
     joined = left.join(right, null_safe_cond("_b", "_r", ks), "left")
     return joined.select(*[F.col(f"_b.{c}") for c in batch.columns],
                          *[F.col(f"_r.{c}") for c in value_cols])
@@ -95,8 +93,8 @@ def attach_results(batch: DataFrame, results: DataFrame, keys) -> DataFrame:
 def skip_seen(df: DataFrame, seen: DataFrame, keys) -> DataFrame:
     """Rows whose key is not in ``seen``, null matching null (P6, like ``~isin``)."""
     ks = _keys(keys)
-    seen_keys = replicate_null_keys(seen.select(*ks).distinct(), ks).alias("_s")
-    left = salt_null_keys(df, ks).alias("_d")
+    seen_keys = seen.select(*ks).alias("_s")
+    left = df.alias("_d")
     return (left.join(seen_keys, null_safe_cond("_d", "_s", ks), "left_anti")
             .select(*[F.col(f"_d.{c}") for c in df.columns]))
 
@@ -110,25 +108,16 @@ def append_first_wins(batch: DataFrame, stored: DataFrame | None, keys, file_col
     (pre-aggregated map-side), then one join on ``(key, file)`` brings the verdict back.
     """
     ks = _keys(keys)
-    firsts = (batch.where(~_any_null(ks))
+    firsts = (batch.where(~any_null(ks))
               .groupBy(*ks).agg(F.min(file_col).alias(file_col)))
     if stored is not None:
         firsts = firsts.join(stored_keys(stored, ks), ks, "left_anti")
-    verdict = zero_salt(firsts.withColumn("_rl_first", F.lit(True)))
-    rows = salt_null_keys(batch, ks)
-    joined = rows.join(verdict, ks + [file_col, SALT], "left")
-    return (joined.where(F.col("_rl_first") | _any_null(ks))
+    verdict = firsts.withColumn("_rl_first", F.lit(True))
+    joined = batch.join(verdict, ks + [file_col], "left")
+    return (joined.where(F.col("_rl_first") | any_null(ks))
             .select(*batch.columns))
 
 
-def _any_null(ks: list[str]):
-    cond = None
-    for k in ks:
-        c = F.col(k).isNull()
-        cond = c if cond is None else cond | c
-    return cond
-
-
 def resolve_and_grow_registry(pending: DataFrame, registry: DataFrame, lookups: DataFrame,
                               code: str, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Resolve codes against a registry, growing it from look-up results.

@@ -1,68 +1,55 @@
-"""Skew handling shared by the join operators.
-
-Hot groups in record flows are mostly null keys (records that never got a key), and a
-null key sends every such row to one shuffle partition. Two tools:
-
-* ``salt_null_keys`` gives null-key rows a salt spread over all shuffle partitions, so
-  the shuffle of a join on ``keys + [SALT]`` spreads them. Non-null keys get salt 0, so
-  matching is unchanged. The salt is deterministic (hash of the row plus the input
-  partition id), so a recomputed task sends every row to the same place, and even exact
-  copies of one row spread over as many partitions as they were read from.
-* ``replicate_null_keys`` copies the (at most one, after ``distinct``) null-key row of a
-  build side once per salt value, for the null-safe joins where null matches null. The
-  copy count is the partition count: a proven bound.
-
-Hot non-null keys are split at run time by AQE's skew-join handling (enabled in
-``recordlake.session``), which cuts an oversized partition into map-output ranges; every
-aggregate in the library is a combinable one (min, max, count, max_by, ...) so hot groups
-are pre-aggregated map-side before any shuffle.
+"""Skew handling shared by the join and aggregate operators.
+
+Hot groups in record flows are mostly null keys (records that never got a key), and any
+key, or any set of exact copies, may hold a large share of the rows. Three rules keep
+such groups from landing whole on one task:
+
+1. Aggregates are combinable only (``min``, ``max``, ``count``, ``max_by``, ``min_by``):
+   Spark pre-aggregates every group map-side, so a hot key reaches the shuffle as one
+   partial row per input partition.
+2. Joins are plain equi-joins whose build side is pre-aggregated to one row per key
+   (``distinct`` keys, per-key verdicts, deduped results). The row side of an oversized
+   shuffle partition is split at run time by AQE's skew-join handling
+   (``spark.sql.adaptive.skewJoin.*`` in ``recordlake.session``): the partition is cut into
+   map-output ranges, each joined with a copy of the (small) matching build partition.
+   That split works for null keys, hot keys and exact copies alike, and adds no column to
+   the plan, so column pruning and filter pushdown to the scan stay intact (a salt column
+   hashed from the row would force every column to be read; a random or partition-id salt
+   would block filter pushdown).
+3. No window is partitioned by a record key; positional numbering uses range partitions
+   (``number_batches``).
+
+``check_skew_settings`` verifies a session keeps rule 2 switched on.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-SALT = "_rl_salt"
+REQUIRED = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
 
 
-def salt_buckets(df: DataFrame) -> int:
-    """Number of salt values: the session's shuffle partition count."""
-    try:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always present
-        n = 200
-    return max(n, 1)
+def check_skew_settings(spark: SparkSession) -> dict[str, str]:
+    """Settings of ``REQUIRED`` that differ in this session (empty when all is well)."""
+    bad = {}
+    for k, v in REQUIRED.items():
+        got = (spark.conf.get(k, None) or "").lower()
+        if got != v:
+            bad[k] = got
+    return bad
 
 
 def any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def salt_null_keys(df: DataFrame, keys: list[str], buckets: int | None = None) -> DataFrame:
-    """Add ``SALT``: 0 for complete keys, a spread value for rows with a null key part."""
-    n = buckets or salt_buckets(df)
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    spread = F.pmod(row_hash + F.spark_partition_id().cast("long"), F.lit(n))
-    return df.withColumn(SALT, F.when(any_null(keys), spread).otherwise(F.lit(0).cast("long")))
-
-
-def zero_salt(df: DataFrame) -> DataFrame:
-    return df.withColumn(SALT, F.lit(0).cast("long"))
-
-
-def replicate_null_keys(df: DataFrame, keys: list[str], buckets: int | None = None) -> DataFrame:
-    """Add ``SALT``: 0 for complete keys; rows with a null key part get every salt value."""
-    n = buckets or salt_buckets(df)
-    salts = F.when(any_null(keys), F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))) \
-        .otherwise(F.array(F.lit(0).cast("long")))
-    return df.withColumn(SALT, F.explode(salts))
-
-
 def null_safe_cond(left: str, right: str, keys: list[str]) -> Column:
-    """``left.k <=> right.k`` for all keys and equal salts (``left``/``right`` are aliases)."""
+    """``left.k <=> right.k`` for all keys (``left``/``right`` are DataFrame aliases)."""
     conds = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
-    conds.append(F.col(f"{left}.{SALT}") == F.col(f"{right}.{SALT}"))
     return reduce(lambda a, b: a & b, conds)

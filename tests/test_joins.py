@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from recordlake.operators import joins
-from recordlake.operators.skew import SALT, salt_null_keys
 
 SCHEMA = "k string, v long, file string"
 
@@ -45,12 +44,32 @@ def test_skip_seen_null_safe(spark):
     assert rows(joins.skip_seen(df, seen2, "k")) == [(2, None), (3, "b")]
 
 
-def test_null_keys_are_spread(spark):
-    df = spark.range(2000).select(F.lit(None).cast("string").alias("k"), F.col("id"))
-    salts = salt_null_keys(df.repartition(4), ["k"], buckets=16).select(SALT).distinct().count()
-    assert salts > 8
-    keyed = spark.createDataFrame([("a", 1)], "k string, id long")
-    assert salt_null_keys(keyed, ["k"], 16).first()[SALT] == 0
+def test_skewed_null_and_hot_keys_are_split(spark):
+    """A third of the rows under a null key and a third under one hot key: AQE cuts the
+    oversized join partitions (skew=true in the final plan) and the result is exact."""
+    from conftest import plan_text
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        batch = spark.range(0, n, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("hot"))
+            .otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
+        stored = spark.range(0, 100).select((F.col("id") * 3 + 2).cast("string").alias("k"))
+        out = joins.new_rows(batch, stored, "k")
+        assert out.count() == n - 100
+        out.collect()
+        assert "skew=true" in plan_text(out, "simple")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def first_wins_loop(files, stored_keys):
