@@ -48,9 +48,11 @@ def new_rows(batch: DataFrame, stored: DataFrame, keys) -> DataFrame:
 def unmatched_codes(df: DataFrame, registry: DataFrame, code: str,
                     registry_code: str | None = None) -> DataFrame:
     """Distinct codes of ``df`` missing from the registry (J2); a null code is reported once."""
+    from recordlake.operators.aggs import distinct_codes
+
     rc = registry_code or code
     reg = registry.select(F.col(rc).alias(code)).where(F.col(code).isNotNull())
-    return df.select(code).distinct().join(reg, code, "left_anti")
+    return distinct_codes(df, code).join(reg, code, "left_anti")
 
 
 def enrich_inner(df: DataFrame, registry: DataFrame, code: str,
@@ -107,9 +109,10 @@ def append_first_wins(batch: DataFrame, stored: DataFrame | None, keys, file_col
     survive, as with a file-by-file anti-join. Per-key work is a combinable ``min``
     (pre-aggregated map-side), then one join on ``(key, file)`` brings the verdict back.
     """
+    from recordlake.operators.setops import first_file
+
     ks = _keys(keys)
-    firsts = (batch.where(~any_null(ks))
-              .groupBy(*ks).agg(F.min(file_col).alias(file_col)))
+    firsts = first_file(batch.where(~any_null(ks)), ks, file_col)
     if stored is not None:
         firsts = firsts.join(stored_keys(stored, ks), ks, "left_anti")
     verdict = firsts.withColumn("_rl_first", F.lit(True))
@@ -132,11 +135,12 @@ def resolve_and_grow_registry(pending: DataFrame, registry: DataFrame, lookups:
     with them appended.
     """
     from recordlake.operators.project import keep_resolved
+    from recordlake.operators.setops import grow_registry
 
     missing = unmatched_codes(pending, registry, code).where(F.col(code).isNotNull())
     per_code = dedupe_by_key(lookups.select(code, name).where(F.col(code).isNotNull()), code)
     found = per_code.join(missing, code, "left_semi")
     resolved = keep_resolved(found, name, [code, name])
-    grown = registry.select(code, name).unionByName(resolved)
+    grown = grow_registry(registry.select(code, name), resolved)
     enriched = enrich_inner(pending, grown, code)
     return enriched, resolved, grown

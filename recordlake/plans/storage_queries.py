@@ -107,6 +107,30 @@ LEFT JOIN firsts f ON ev.user_key = f.user_key AND ev.batch_file = f.batch_file
 WHERE f.user_key IS NOT NULL OR ev.user_key IS NULL"""
 
 
+# ---------------------------------------------------------------------------------------
+# Batches of 50 persisted in units of 10 batches; a first run stops after 100
+# batches (the failure), the re-run writes only the missing units
+
+def q_batched_progress(spark, sf):
+    from recordlake.streaming.incremental import write_progress
+
+    root = f"{scratch_path(spark, 'progress')}/orders"
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    numbered = project.number_batches(orders, "o_orderkey", 50)
+    first = write_progress(numbered.where(F.col("batch_id") < 100), root, batches_per_dir=10)
+    second = write_progress(numbered, root, batches_per_dir=10)
+    if first.get["rows"] + second.get["rows"] != numbered.count():
+        raise RuntimeError("re-run did not write exactly the missing batches")
+    return read_stored(spark, root).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("o_orderkey").alias("first_key"))
+
+
+SQL_BATCHED_PROGRESS = """
+SELECT batch_id, count(*) AS n_rows, min(o_orderkey) AS first_key FROM (
+  SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 50 AS batch_id FROM orders)
+GROUP BY batch_id"""
+
+
 # ---------------------------------------------------------------------------------------
 # Readings CSV -> daily mean -> upsert, loaded twice (the second load changes 5 days)
 
@@ -205,6 +229,7 @@ def queries():
         "q_csv_roundtrip": q_csv_roundtrip,
         "q_table_roundtrip": q_table_roundtrip,
         "q_incremental_append": q_incremental_append,
+        "q_batched_progress": q_batched_progress,
         "q_weather_flow": q_weather_flow,
         "q_permit_flow": q_permit_flow,
     }
@@ -215,6 +240,7 @@ def oracle_sql():
         "q_csv_roundtrip": SQL_CSV_ROUNDTRIP,
         "q_table_roundtrip": SQL_TABLE_ROUNDTRIP,
         "q_incremental_append": SQL_INCREMENTAL_APPEND,
+        "q_batched_progress": SQL_BATCHED_PROGRESS,
         "q_weather_flow": SQL_WEATHER_FLOW,
         "q_permit_flow": SQL_PERMIT_FLOW,
     }

@@ -68,19 +68,27 @@ def resume(records: DataFrame, prior_results: DataFrame, key: str) -> DataFrame:
     return skip_seen(records, prior_results, key)
 
 
-def write_progress(df: DataFrame, root: str, batch_col: str = BATCH_ID):
-    """Persist each numbered batch in its own ``batch_id=N`` directory.
+PROGRESS_UNIT = "progress_unit"
 
-    Batches already present under ``root`` are skipped, so a re-run after a failure writes
-    only the missing ones; returns an Observation with the number of rows written.
+
+def write_progress(df: DataFrame, root: str, batch_col: str = BATCH_ID, batches_per_dir: int = 1):
+    """Persist numbered batches, one directory per progress unit.
+
+    A unit is ``batches_per_dir`` consecutive batches (1: one directory per batch, as in the
+    source flow; larger units keep the directory count proportionate at scale). A write job
+    commits all its units at once; a re-run after a failure writes only the units missing
+    under ``root``. Returns an Observation with the number of rows written.
     """
     from recordlake.operators.aggs import observe_count
 
     spark = df.sparkSession
+    unit = F.floor(F.col(batch_col) / F.lit(batches_per_dir)).cast("long")
+    with_unit = df.withColumn(PROGRESS_UNIT, unit)
     done = read_stored(spark, root)
-    todo = df if done is None else df.join(done.select(batch_col).distinct(), batch_col, "left_anti")
+    todo = with_unit if done is None else \
+        with_unit.join(done.select(PROGRESS_UNIT).distinct(), PROGRESS_UNIT, "left_anti")
     counted, obs = observe_count(todo, "progress")
-    counted.write.mode("append").partitionBy(batch_col).parquet(root)
+    counted.write.mode("append").partitionBy(PROGRESS_UNIT).parquet(root)
     return obs
 
 

@@ -45,6 +45,18 @@ def rows_of(cols, records):
     return sorted(tuple(norm(r[i]) for i in order) for r in records)
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+    "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def spark_types(df):
+    return {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+            for f in df.schema.fields}
+
+
 def duck(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -65,6 +77,7 @@ def compare(spark, sf_dir, names=None):
         try:
             df = qs[name](spark, sf_dir)
             s_cols = df.columns
+            s_types = spark_types(df)
             s_rows = [tuple(r) for r in df.collect()]
         except Exception as e:  # noqa: BLE001
             report[name] = f"SPARK ERROR {type(e).__name__}: {str(e)[:400]}"
@@ -74,6 +87,7 @@ def compare(spark, sf_dir, names=None):
             report[name] = f"rows={len(s_rows)} (no oracle) {secs:.1f}s"
             continue
         try:
+            d_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracle[name]}").fetchall()}
             res = con.execute(oracle[name])
             d_cols = [c[0] for c in res.description]
             d_rows = res.fetchall()
@@ -83,6 +97,10 @@ def compare(spark, sf_dir, names=None):
         if sorted(s_cols) != sorted(d_cols):
             report[name] = f"COLUMNS differ spark={s_cols} duck={d_cols}"
             continue
+        type_diff = {c: (s_types[c], d_types.get(c)) for c in s_cols if s_types[c] != d_types.get(c)}
+        if type_diff:
+            report[name] = f"TYPES differ (spark, duck): {type_diff}"
+            continue
         a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
         if a == b:
             report[name] = f"OK rows={len(a)} {secs:.1f}s"
