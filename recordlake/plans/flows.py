@@ -134,7 +134,8 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
         reg = scan_csv_strings(spark, registry_csv)
         reg = project.rename(reg.select("LicenseNo", "BusinessName"),
                              {"LicenseNo": "license_no", "BusinessName": "business_name"})
-        installers.create_or_replace(reg)
+        # one entry per licence, so the enrichment join never multiplies permits
+        installers.create_or_replace(joins.dedupe_by_key(reg.where(F.col("license_no").isNotNull()), "license_no"))
     results = permit_results.read().select("permit_number", "license_no")
     done = enriched_t.read().select("permit_number") if enriched_t.exists() else None
     pending = joins.new_rows(results, done, "permit_number") if done is not None else results
