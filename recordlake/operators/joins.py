@@ -39,10 +39,47 @@ def stored_keys(stored: DataFrame, keys) -> DataFrame:
     return stored.select(*ks).where(cond)
 
 
-def new_rows(batch: DataFrame, stored: DataFrame, keys) -> DataFrame:
-    """Rows of ``batch`` whose key is not stored yet (J1). Null-key rows always stay."""
+# Largest key set broadcast by the anti joins below (the bound is checked, never assumed).
+BROADCAST_KEYS_MAX = 1_000_000
+
+
+def at_most(df: DataFrame, n: int) -> bool:
+    """True when ``df`` has at most ``n`` rows; stops reading after ``n + 1`` rows."""
+    return df.limit(n + 1).count() <= n
+
+
+def seen_keys(stored: DataFrame, probe_keys: DataFrame, keys) -> DataFrame:
+    """Distinct stored keys that also occur in ``probe_keys`` (a bounded key set).
+
+    Both joins sides that are broadcast here are at most as large as ``probe_keys``; the
+    stored table is scanned (key column only, with the semi join as a filter), never shuffled.
+    """
     ks = _keys(keys)
-    return batch.join(stored_keys(stored, ks), ks, "left_anti")
+    probe = F.broadcast(probe_keys.select(*ks).where(~any_null(ks)).distinct())
+    return stored_keys(stored, ks).join(probe, ks, "left_semi").distinct()
+
+
+def anti_stored(rows: DataFrame, stored: DataFrame, keys, bound_rows: DataFrame | None = None,
+                broadcast_limit: int | None = None) -> DataFrame:
+    """``rows`` whose key is not in ``stored`` (null keys always kept).
+
+    Two plans, chosen by a checked size: when ``bound_rows`` (default ``rows``) has at most
+    ``broadcast_limit`` rows (default ``BROADCAST_KEYS_MAX``), its keys are broadcast into a semi join over the stored keys
+    and the (equally bounded) stored matches are broadcast into the anti join, so neither
+    the rows nor the stored table are shuffled. Otherwise a shuffle anti join against the
+    stored key column, whose oversized partitions AQE splits.
+    """
+    ks = _keys(keys)
+    limit = BROADCAST_KEYS_MAX if broadcast_limit is None else broadcast_limit
+    bound = (bound_rows if bound_rows is not None else rows).select(*ks)
+    if limit and at_most(bound, limit):
+        return rows.join(F.broadcast(seen_keys(stored, rows, ks)), ks, "left_anti")
+    return rows.join(stored_keys(stored, ks), ks, "left_anti")
+
+
+def new_rows(batch: DataFrame, stored: DataFrame, keys, broadcast_limit: int | None = None) -> DataFrame:
+    """Rows of ``batch`` whose key is not stored yet (J1). Null-key rows always stay."""
+    return anti_stored(batch, stored, keys, broadcast_limit=broadcast_limit)
 
 
 def unmatched_codes(df: DataFrame, registry: DataFrame, code: str,
@@ -101,20 +138,22 @@ def skip_seen(df: DataFrame, seen: DataFrame, keys) -> DataFrame:
             .select(*[F.col(f"_d.{c}") for c in df.columns]))
 
 
-def append_first_wins(batch: DataFrame, stored: DataFrame | None, keys, file_col: str) -> DataFrame:
+def append_first_wins(batch: DataFrame, stored: DataFrame | None, keys, file_col: str,
+                      broadcast_limit: int | None = None) -> DataFrame:
     """Rows to append when files are appended one by one in name order (J5), in one job.
 
     A row survives when its key is null, or its key is not stored and its file is the
     first file (by name) holding that key. Two rows of one key in that first file both
     survive, as with a file-by-file anti-join. Per-key work is a combinable ``min``
-    (pre-aggregated map-side), then one join on ``(key, file)`` brings the verdict back.
+    (pre-aggregated map-side), checked against the stored keys (``anti_stored``), then one
+    join on ``(key, file)`` brings the verdict back.
     """
     from recordlake.operators.setops import first_file
 
     ks = _keys(keys)
     firsts = first_file(batch.where(~any_null(ks)), ks, file_col)
     if stored is not None:
-        firsts = firsts.join(stored_keys(stored, ks), ks, "left_anti")
+        firsts = anti_stored(firsts, stored, ks, bound_rows=batch, broadcast_limit=broadcast_limit)
     verdict = firsts.withColumn("_rl_first", F.lit(True))
     joined = batch.join(verdict, ks + [file_col], "left")
     return (joined.where(F.col("_rl_first") | any_null(ks))

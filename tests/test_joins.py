@@ -63,7 +63,7 @@ def test_skewed_null_and_hot_keys_are_split(spark):
             F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("hot"))
             .otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
         stored = spark.range(0, 100).select((F.col("id") * 3 + 2).cast("string").alias("k"))
-        out = joins.new_rows(batch, stored, "k")
+        out = joins.new_rows(batch, stored, "k", broadcast_limit=0)
         assert out.count() == n - 100
         out.collect()
         assert "skew=true" in plan_text(out, "simple")
@@ -111,3 +111,18 @@ def test_resolve_and_grow_registry(spark):
     assert rows(resolved) == [("c2", "Two")]
     assert rows(grown) == [("c1", "One"), ("c2", "Two")]
     assert rows(enriched, "pn", "name") == [("p1", "One"), ("p2", "Two"), ("p5", "Two")]
+
+
+def test_anti_join_plans_agree(spark):
+    """The broadcast plan (small batch) and the shuffle plan give the same rows."""
+    from conftest import plan_text
+
+    rnd = random.Random(3)
+    batch = spark.createDataFrame([(rnd.choice(["a", "b", "c", "d", None]), i, f"f{i % 3}") for i in range(60)], SCHEMA)
+    stored = spark.createDataFrame([("a", 0, "x"), ("a", 1, "x"), ("c", 2, "x"), (None, 3, "x")], SCHEMA)
+    small = joins.new_rows(batch, stored, "k")
+    large = joins.new_rows(batch, stored, "k", broadcast_limit=10)
+    assert rows(small) == rows(large)
+    assert "BroadcastExchange" in plan_text(small)
+    assert rows(joins.append_first_wins(batch, stored, "k", "file")) == \
+        rows(joins.append_first_wins(batch, stored, "k", "file", broadcast_limit=10))
