@@ -117,6 +117,9 @@ def number_batches(df: DataFrame, order_cols, size: int = 50, batch_col: str = "
     two passes below see the same partitions; per-partition counts (one row per
     partition, a proven bound) give each partition its start offset.
     """
+    from recordlake.session import shared_dir
+
+    shared_dir(df.sparkSession)  # checkpoint() needs the shared folder; set only when unset
     cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     ranged = df.repartitionByRange(*cols).sortWithinPartitions(*cols).checkpoint(eager=True)
     pid = F.spark_partition_id()
