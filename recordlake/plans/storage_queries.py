@@ -7,7 +7,6 @@ every input is a whole driver table or a frame Spark derives from it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -245,5 +244,3 @@ def oracle_sql():
         "q_permit_flow": SQL_PERMIT_FLOW,
     }
 
-
-__all__ = ["queries", "oracle_sql", "DataFrame"]

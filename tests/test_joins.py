@@ -126,3 +126,15 @@ def test_anti_join_plans_agree(spark):
     assert "BroadcastExchange" in plan_text(small)
     assert rows(joins.append_first_wins(batch, stored, "k", "file")) == \
         rows(joins.append_first_wins(batch, stored, "k", "file", broadcast_limit=10))
+
+
+def test_new_rows_and_seen_partition_the_batch(spark):
+    """new rows + rows whose key is stored = the whole batch, for both plans."""
+    rnd = random.Random(11)
+    for limit in (None, 5):
+        data = [(rnd.choice(["a", "b", "c", "d", "e", None]), i, "f") for i in range(80)]
+        batch = spark.createDataFrame(data, SCHEMA)
+        stored = spark.createDataFrame([(k, 0, "s") for k in rnd.sample(["a", "b", "c", "x", None], 3)], SCHEMA)
+        new = joins.new_rows(batch, stored, "k", broadcast_limit=limit)
+        seen = batch.join(stored.select("k").where("k IS NOT NULL"), "k", "left_semi")
+        assert rows(new.unionByName(seen)) == rows(batch)

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import rows
 from recordlake.functions.html import extract_first_line, extract_label_value

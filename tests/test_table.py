@@ -63,3 +63,22 @@ def test_batches_by_run_date(spark, tmp_dir):
     got = scan_batches_for(spark, f"{tmp_dir}/b", "20250708")
     assert rows(got, "batch_file") == [("batch_20250708_101112.parquet",), ("batch_20250708_235959.parquet",)]
     assert got.schema["n"].dataType.typeName() == "long"
+
+
+def test_upsert_equals_sequential_replay(spark):
+    """A keyed upsert of random changes = applying them one by one in order."""
+    import random
+
+    rnd = random.Random(5)
+    base_rows = {f"k{i}": (f"a{i}", float(i)) for i in range(6)}
+    changes = [(rnd.choice(["k0", "k2", "k7", "k8", None]), f"n{j}", rnd.choice([None, float(j)]), j) for j in range(25)]
+    expect = dict(base_rows)
+    for k, a, b, _ in changes:
+        if k is not None:
+            expect[k] = (a, b)
+    base = spark.createDataFrame([(k, a, b) for k, (a, b) in base_rows.items()], S)
+    out, rejected = upsert_frames(base, spark.createDataFrame(changes, S + ", seq long"), "k", "seq")
+    assert rows(out) == sorted((k, a, b) for k, (a, b) in expect.items())
+    assert rejected.count() == sum(1 for c in changes if c[0] is None)
+    again, _ = upsert_frames(out, spark.createDataFrame(changes, S + ", seq long"), "k", "seq")
+    assert rows(again) == rows(out)
