@@ -109,8 +109,11 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
     # 1. record list, positional batches of 50 cut before seen records are removed
     records = load_record_list(spark, record_csv, run_date)
     numbered = project.number_batches(records, ["date", "permit_number"], BATCH_SIZE, "batch_seq")
+    # results of earlier runs: the resume file (if any) and the stored output table
     prior = scan_optional(spark, resume_csv, RESUME_SCHEMA) if resume_csv else \
         spark.createDataFrame([], RESUME_SCHEMA)
+    if permit_results.exists():
+        prior = prior.unionByName(permit_results.read().select("permit_number", "license_no"))
     todo = resume(numbered, prior, "permit_number")
 
     # 2. look-ups from captured pages of this batch only, attached to the batch

@@ -25,19 +25,21 @@ from recordlake.streaming.incremental import incremental_append, read_stored
 
 def q_csv_roundtrip(spark, sf):
     base = scratch_path(spark, "csv")
-    nation = _t(spark, sf, "nation")
-    (nation.select("n_nationkey", "n_name", "n_regionkey", F.lit(None).cast("string").alias(""))
-     .write.option("header", True).csv(f"{base}/nation"))
-    typed = project.drop_unnamed(scan_csv_inferred(spark, f"{base}/nation"), strict=True)
-    text = scan_csv_strings(spark, f"{base}/nation").select(F.col("n_nationkey").alias("key_text"),
-                                                            F.col("n_name").alias("name_text"))
+    customer = _t(spark, sf, "customer")
+    (customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", F.lit(None).cast("string").alias(""))
+     .write.option("header", True).csv(f"{base}/customer"))
+    typed = project.drop_unnamed(scan_csv_inferred(spark, f"{base}/customer"), strict=True)
+    text = scan_csv_strings(spark, f"{base}/customer").select(F.col("c_custkey").alias("key_text"),
+                                                              F.col("c_acctbal").alias("acctbal_text"))
     missing = scan_optional(spark, f"{base}/not_there", typed.schema)
     out = typed.unionByName(missing)
-    return out.join(text, out["n_nationkey"].cast("string") == text["key_text"], "inner") \
-        .select("n_nationkey", "n_name", "n_regionkey", "name_text")
+    return out.join(text, out["c_custkey"].cast("string") == text["key_text"], "inner") \
+        .select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal",
+                "acctbal_text")
 
 
-SQL_CSV_ROUNDTRIP = "SELECT n_nationkey, n_name, n_regionkey, n_name AS name_text FROM nation"
+SQL_CSV_ROUNDTRIP = """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(c_acctbal AS VARCHAR) AS acctbal_text FROM customer"""
 
 
 # ---------------------------------------------------------------------------------------
@@ -176,8 +178,9 @@ REGISTRY_HTML = """'<table><tr><td id="MainContent_BusInfo"> '
 FLOW_RUN_DATE = "1997-03-15"
 
 
-def q_permit_flow(spark, sf):
-    base = scratch_path(spark, "permits")
+def permit_flow_inputs(spark, sf, base: str) -> dict:
+    """Write the record list and registry CSVs under ``base`` and derive the captured pages;
+    returns the keyword arguments of ``flows.permit_flow`` (without paths of its outputs)."""
     orders = _t(spark, sf, "orders")
     customer = _t(spark, sf, "customer")
     (orders.select(
@@ -200,8 +203,14 @@ def q_permit_flow(spark, sf):
         F.concat(F.lit("L"), F.col("c_custkey").cast("string")).alias("license_no"),
         F.concat(F.lit("https://registry.example/check?code="), F.col("c_custkey").cast("string")).alias("url"),
         F.expr(REGISTRY_HTML).alias("html"))
-    res = flows.permit_flow(spark, f"{base}/records", permit_pages, f"{base}/registry", registry_pages,
-                            f"{base}/batches", f"{base}/lake", FLOW_RUN_DATE, "19970315_120000")
+    return {"record_csv": f"{base}/records", "permit_pages": permit_pages, "registry_csv": f"{base}/registry",
+            "registry_pages": registry_pages, "run_date": FLOW_RUN_DATE}
+
+
+def q_permit_flow(spark, sf):
+    base = scratch_path(spark, "permits")
+    res = flows.permit_flow(spark, batch_dir=f"{base}/batches", lake_root=f"{base}/lake", stamp="19970315_120000",
+                            **permit_flow_inputs(spark, sf, base))
     return res.permit_results_installer.read()
 
 
