@@ -109,7 +109,7 @@ WHERE f.user_key IS NOT NULL OR ev.user_key IS NULL"""
 
 
 # ---------------------------------------------------------------------------------------
-# Batches of 50 persisted in units of 10 batches; a first run stops after 100
+# Batches of 50 persisted in units of 100 batches; a first run stops after 100
 # batches (the failure), the re-run writes only the missing units
 
 def q_batched_progress(spark, sf):
@@ -118,8 +118,8 @@ def q_batched_progress(spark, sf):
     root = f"{scratch_path(spark, 'progress')}/orders"
     orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
     numbered = project.number_batches(orders, "o_orderkey", 50)
-    first = write_progress(numbered.where(F.col("batch_id") < 100), root, batches_per_dir=10)
-    second = write_progress(numbered, root, batches_per_dir=10)
+    first = write_progress(numbered.where(F.col("batch_id") < 100), root, batches_per_dir=100)
+    second = write_progress(numbered, root, batches_per_dir=100)
     if first.get["rows"] + second.get["rows"] != numbered.count():
         raise RuntimeError("re-run did not write exactly the missing batches")
     return read_stored(spark, root).groupBy("batch_id").agg(
