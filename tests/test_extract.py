@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from recordlake.operators.extract import DETAIL_NAMES, extract_details, extract_new, extract_with, python_rules
 
-# The three worked examples of the source flow (inputs and expected records).
+# The three worked examples of the source flow, inputs and expected records, in order.
 GOLDEN = [
     ("Digital.  19 - REC NPeak2 365 Watt Modules.  1 - SolarEdge HD-Wave 7600H Inverter.  Signed SCMA Affidavit "
      "on file.  Includes two inspections.  Final required.",
