@@ -132,6 +132,21 @@ SELECT batch_id, count(*) AS n_rows, min(o_orderkey) AS first_key FROM (
 GROUP BY batch_id"""
 
 
+# ---------------------------------------------------------------------------------------
+# K6 on a bucketed keyed table: the same order versions as q_upsert, rewriting only the
+# buckets the changes touch
+
+def q_upsert_bucketed(spark, sf):
+    from recordlake.plans.queries import _order_versions
+    from recordlake.sinks.bucketed import BucketedTable
+
+    base, changes = _order_versions(spark, sf)
+    table = BucketedTable(spark, f"{scratch_path(spark, 'bucketed')}/orders", "o_orderkey", buckets=64)
+    table.create(base)
+    table.upsert(changes, order_col="seq")
+    return table.read().select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
 # ---------------------------------------------------------------------------------------
 # Readings CSV -> daily mean -> upsert, loaded twice (the second load changes 5 days)
 
@@ -238,17 +253,21 @@ def queries():
         "q_table_roundtrip": q_table_roundtrip,
         "q_incremental_append": q_incremental_append,
         "q_batched_progress": q_batched_progress,
+        "q_upsert_bucketed": q_upsert_bucketed,
         "q_weather_flow": q_weather_flow,
         "q_permit_flow": q_permit_flow,
     }
 
 
 def oracle_sql():
+    from recordlake.plans.queries import SQL_UPSERT
+
     return {
         "q_csv_roundtrip": SQL_CSV_ROUNDTRIP,
         "q_table_roundtrip": SQL_TABLE_ROUNDTRIP,
         "q_incremental_append": SQL_INCREMENTAL_APPEND,
         "q_batched_progress": SQL_BATCHED_PROGRESS,
+        "q_upsert_bucketed": SQL_UPSERT,
         "q_weather_flow": SQL_WEATHER_FLOW,
         "q_permit_flow": SQL_PERMIT_FLOW,
     }

@@ -23,3 +23,10 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` recursively (no error when it is missing)."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
