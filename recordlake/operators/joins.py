@@ -160,14 +160,15 @@ def append_first_wins(batch: DataFrame, stored: DataFrame | None, keys, file_col
             .select(*batch.columns))
 
 
-def resolve_and_grow_registry(pending: DataFrame, registry: DataFrame, lookups: DataFrame,
-                              code: str, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def resolve_and_grow_registry(pending: DataFrame, registry: DataFrame, lookups, code: str,
+                              name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Resolve codes against a registry, growing it from look-up results.
 
-    ``pending`` rows carry ``code``; ``registry`` is ``(code, name)``; ``lookups`` holds
-    look-up results ``(code, name, ...)`` (for instance names read from captured pages).
-    Only codes missing from the registry are looked up (null codes are not), one result
-    per code; results with a blank name are dropped (P7).
+    ``pending`` rows carry ``code``; ``registry`` is ``(code, name)``. ``lookups`` gives
+    look-up results ``(code, name, ...)``: either a frame, or a function that receives the
+    frame of codes to look up (distinct, non-null, missing from the registry) and returns the
+    results for them, so that expensive look-ups (page extraction) run for those codes only.
+    One result per code is kept; a blank name counts as unresolved (P7).
 
     Returns ``(enriched, resolved, grown_registry)``: pending rows joined to the grown
     registry (unresolved rows left out), the newly resolved entries, and the registry
@@ -177,9 +178,10 @@ def resolve_and_grow_registry(pending: DataFrame, registry: DataFrame, lookups:
     from recordlake.operators.setops import grow_registry
 
     missing = unmatched_codes(pending, registry, code).where(F.col(code).isNotNull())
-    per_code = dedupe_by_key(lookups.select(code, name).where(F.col(code).isNotNull()), code)
-    found = per_code.join(missing, code, "left_semi")
-    resolved = keep_resolved(found, name, [code, name])
+    found = lookups(missing) if callable(lookups) else lookups
+    per_code = dedupe_by_key(found.select(code, name).where(F.col(code).isNotNull()), code)
+    per_code = per_code.join(missing, code, "left_semi")
+    resolved = keep_resolved(per_code, name, [code, name])
     grown = grow_registry(registry.select(code, name), resolved)
     enriched = enrich_inner(pending, grown, code)
     return enriched, resolved, grown

@@ -142,13 +142,18 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
     results = permit_results.read().select("permit_number", "license_no")
     done = enriched_t.read().select("permit_number") if enriched_t.exists() else None
     pending = joins.new_rows(results, done, "permit_number") if done is not None else results
-    lookups = pages.code_to_name(registry_pages, "license_no")
     registry = installers.read()
+    looked_up: dict = {}
+
+    def look_up(missing: DataFrame) -> DataFrame:
+        # captured registry pages of the missing licences only, then the name extraction (H5)
+        found = pages.code_to_name(registry_pages.join(missing, "license_no", "left_semi"), "license_no")
+        looked_up["frame"] = found
+        return found.select("license_no", "business_name")
+
     enriched, resolved, _ = joins.resolve_and_grow_registry(
-        pending, registry, lookups.select("license_no", "business_name"), "license_no", "business_name")
-    reports["resolution"] = aggs.resolution_report(
-        lookups.join(joins.unmatched_codes(pending, registry, "license_no"), "license_no", "left_semi"),
-        "business_name").first().asDict()
+        pending, registry, look_up, "license_no", "business_name")
+    reports["resolution"] = aggs.resolution_report(looked_up["frame"], "business_name").first().asDict()
     # the enriched rows read the registry before the append below; materialize them first
     enriched = enriched.select("license_no", "permit_number", "business_name").checkpoint(eager=True)
     reports["resolved"] = installers.append(resolved)
