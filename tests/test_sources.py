@@ -47,3 +47,11 @@ def test_optional_and_exists(spark, tmp_dir):
     got = scan_optional(spark, f"{tmp_dir}/res.csv", schema)
     assert rows(got) == [("P1", "L1"), ("P2", None)]
     assert path_exists(spark, f"{tmp_dir}/res.csv")
+
+
+def test_optional_empty_file(spark, tmp_dir):
+    schema = T.StructType([T.StructField("Permit Number", T.StringType()), T.StructField("Installer Number", T.StringType())])
+    write(f"{tmp_dir}/empty.csv", "")
+    assert scan_optional(spark, f"{tmp_dir}/empty.csv", schema).count() == 0
+    write(f"{tmp_dir}/header_only.csv", "Permit Number,Installer Number\n")
+    assert scan_optional(spark, f"{tmp_dir}/header_only.csv", schema).count() == 0
