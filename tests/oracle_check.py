@@ -20,15 +20,18 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+FLOAT_FMT = os.environ.get("ORACLE_FLOAT_FMT", ".6g")
+
+
 def norm(v):
     if v is None:
         return "<null>"
     if isinstance(v, float):
         if math.isnan(v):
             return "<null>"
-        return f"{v:.6g}"
+        return repr(v) if FLOAT_FMT == "exact" else format(v, FLOAT_FMT)
     if isinstance(v, decimal.Decimal):
-        return f"{float(v):.6g}"
+        return format(float(v), FLOAT_FMT if FLOAT_FMT != "exact" else ".17g")
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat(sep=" ")
     if isinstance(v, dt.date):
