@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,12 +120,18 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
     wanted = permit_pages.join(todo.select("permit_number").distinct(), "permit_number", "left_semi")
     found = pages.permit_to_license(wanted, "permit_number")
     batch = joins.attach_results(todo, found.select("permit_number", "license_no"), "permit_number")
-    reports["missing"] = aggs.missing_report(
-        setops.union_resumed(prior, batch.select("permit_number", "license_no")), "license_no").first().asDict()
 
-    # 3. the run's batch, files of the run date, first file wins
-    write_batch(batch.withColumn("batch_seq", F.lpad(F.col("batch_seq").cast("string"), 9, "0")),
-                batch_dir, stamp)
+    # 3. the run's batch, counted while it is written (A4 in the same pass), then the files of
+    #    the run date, first file wins
+    counts = Observation("missing")
+    written = batch.withColumn("batch_seq", F.lpad(F.col("batch_seq").cast("string"), 9, "0")).observe(
+        counts, F.count_if(F.col("license_no").isNull()).alias("missing"), F.count(F.lit(1)).alias("total"))
+    write_batch(written, batch_dir, stamp)
+    missing, total = counts.get["missing"], counts.get["total"]
+    if resume_csv or permit_results.exists():
+        earlier = aggs.missing_report(prior, "license_no").first()
+        missing, total = missing + earlier["missing"], total + earlier["total"]
+    reports["missing"] = {"missing": missing, "total": total, "missing_ratio": missing / total if total else None}
     scanned = scan_batches_for(spark, batch_dir, run_date.replace("-", ""))
     scanned = scanned.withColumn("_rl_order", F.concat_ws("#", "batch_file", "batch_seq"))
     stored = permit_results.read() if permit_results.exists() else None

@@ -17,6 +17,10 @@ def test_permit_flow_second_run_adds_nothing(spark, tmp_dir):
     before = snapshot(first)
     assert first.reports["appended"].get["rows"] == len(before["permit_results"]) > 0
     assert before["permit_details"] and before["permit_results_installer"]
+    miss = first.reports["missing"]
+    assert miss["total"] == len(before["permit_results"]) and 0 < miss["missing"] < miss["total"]
+    n_null = sum(1 for r in first.permit_results.read().collect() if r.license_no is None)
+    assert miss["missing"] == n_null
     second = flows.permit_flow(spark, batch_dir=f"{tmp_dir}/batches", lake_root=f"{tmp_dir}/lake",
                                stamp="19970315_130000", **args)
     assert second.reports["appended"].get["rows"] == 0
