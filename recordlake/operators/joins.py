@@ -113,28 +113,56 @@ def dedupe_by_key(results: DataFrame, keys) -> DataFrame:
     return results.groupBy(*ks).agg(*[F.max(c).alias(c) for c in others])
 
 
-def attach_results(batch: DataFrame, results: DataFrame, keys) -> DataFrame:
+def restrict_to_keys(big: DataFrame, probe: DataFrame, keys, null_safe: bool) -> DataFrame:
+    """Rows of ``big`` whose key occurs in ``probe``; the probe's distinct keys are broadcast.
+
+    Callers check the probe's size first (``at_most``), so the broadcast is bounded and
+    ``big`` is only scanned, never shuffled. ``null_safe`` lets a null key match a null key.
+    """
+    ks = _keys(keys)
+    pk = probe.select(*ks).distinct()
+    if not null_safe:
+        return big.join(F.broadcast(pk.where(~any_null(ks))), ks, "left_semi")
+    return big.alias("_big").join(F.broadcast(pk).alias("_pk"), null_safe_cond("_big", "_pk", ks), "left_semi")
+
+
+def _small(df: DataFrame, ks: list[str], broadcast_limit: int | None) -> bool:
+    limit = BROADCAST_KEYS_MAX if broadcast_limit is None else broadcast_limit
+    return bool(limit) and at_most(df.select(*ks), limit)
+
+
+def attach_results(batch: DataFrame, results: DataFrame, keys, broadcast_limit: int | None = None) -> DataFrame:
     """Left join of look-up results onto a batch, null matching null.
 
     Results are first reduced to one row per key, so a key listed twice in the batch gets
-    its value once per batch row (no pairwise fan-out).
+    its value once per batch row (no pairwise fan-out). A batch within the checked bound
+    only needs the results of its own keys: they are cut out of ``results`` by a broadcast
+    semi join and broadcast back, so neither the batch nor the results are shuffled.
     """
     ks = _keys(keys)
-    res = dedupe_by_key(results, ks)
+    small = _small(batch, ks, broadcast_limit)
+    res = dedupe_by_key(restrict_to_keys(results, batch, ks, True) if small else results, ks)
     value_cols = [c for c in res.columns if c not in ks]
     left = batch.alias("_b")
-    right = res.alias("_r")
+    right = (F.broadcast(res) if small else res).alias("_r")
     joined = left.join(right, null_safe_cond("_b", "_r", ks), "left")
     return joined.select(*[F.col(f"_b.{c}") for c in batch.columns],
                          *[F.col(f"_r.{c}") for c in value_cols])
 
 
-def skip_seen(df: DataFrame, seen: DataFrame, keys) -> DataFrame:
-    """Rows whose key is not in ``seen``, null matching null (P6, like ``~isin``)."""
+def skip_seen(df: DataFrame, seen: DataFrame, keys, broadcast_limit: int | None = None) -> DataFrame:
+    """Rows whose key is not in ``seen``, null matching null (P6, like ``~isin``).
+
+    Within the checked bound, ``seen`` is first cut to the keys of ``df`` (broadcast semi
+    join) and the bounded remainder broadcast into the anti join.
+    """
     ks = _keys(keys)
-    seen_keys = seen.select(*ks).alias("_s")
+    if _small(df, ks, broadcast_limit):
+        seen_keys_ = F.broadcast(restrict_to_keys(seen.select(*ks), df, ks, True).distinct()).alias("_s")
+    else:
+        seen_keys_ = seen.select(*ks).alias("_s")
     left = df.alias("_d")
-    return (left.join(seen_keys, null_safe_cond("_d", "_s", ks), "left_anti")
+    return (left.join(seen_keys_, null_safe_cond("_d", "_s", ks), "left_anti")
             .select(*[F.col(f"_d.{c}") for c in df.columns]))
 
 

@@ -138,3 +138,16 @@ def test_new_rows_and_seen_partition_the_batch(spark):
         new = joins.new_rows(batch, stored, "k", broadcast_limit=limit)
         seen = batch.join(stored.select("k").where("k IS NOT NULL"), "k", "left_semi")
         assert rows(new.unionByName(seen)) == rows(batch)
+
+
+def test_null_safe_joins_plans_agree(spark):
+    """attach_results and skip_seen: the bounded broadcast plan equals the shuffle plan."""
+    rnd = random.Random(21)
+    batch = spark.createDataFrame([(i, rnd.choice(["a", "b", "c", None])) for i in range(40)], "id long, k string")
+    results = spark.createDataFrame([(rnd.choice(["a", "b", "z", None]), f"L{i}") for i in range(30)],
+                                    "k string, lic string")
+    assert rows(joins.attach_results(batch, results, "k")) == \
+        rows(joins.attach_results(batch, results, "k", broadcast_limit=0))
+    for seen_keys in (["a", None], ["b", "z"], []):
+        seen = spark.createDataFrame([(k,) for k in seen_keys], "k string")
+        assert rows(joins.skip_seen(batch, seen, "k")) == rows(joins.skip_seen(batch, seen, "k", broadcast_limit=0))
