@@ -6,10 +6,13 @@ Null-key semantics differ per operator and are kept on purpose:
 * the inner join (``enrich_inner``) drops null codes;
 * ``attach_results`` and ``skip_seen`` match null with null (like a pandas merge / isin).
 
-All joins are equi-joins, planned by Catalyst: a side is broadcast only when its size
-estimate is under ``spark.sql.autoBroadcastJoinThreshold`` (or AQE measures it small at
-run time), otherwise it is a sort-merge join whose oversized partitions (null or hot
-keys) AQE splits at run time (see ``skew``).
+All joins are equi-joins. The batch-vs-history joins (J1, J4, J5, P6) pick one of two plans
+by a checked size: when the batch has at most ``BROADCAST_KEYS_MAX`` key rows (counted with
+``limit(n + 1)``), its keys are broadcast into a semi join that cuts the history down to
+those keys, and that bounded remainder is broadcast back, so neither side is shuffled.
+Otherwise, like every other join here, Catalyst plans it: broadcast only under
+``spark.sql.autoBroadcastJoinThreshold`` (or when AQE measures a side small), else a
+sort-merge join whose oversized partitions (null or hot keys) AQE splits (see ``skew``).
 """
 
 from __future__ import annotations
@@ -19,11 +22,25 @@ from pyspark.sql import functions as F
 
 from recordlake.operators.skew import any_null, null_safe_cond
 
+# Largest key set a batch-vs-history join broadcasts (the bound is checked, never assumed).
+BROADCAST_KEYS_MAX = 1_000_000
+
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def at_most(df: DataFrame, n: int) -> bool:
+    """True when ``df`` has at most ``n`` rows; stops reading after ``n + 1`` rows."""
+    return df.limit(n + 1).count() <= n
+
+
+def _small(df: DataFrame, ks: list[str], broadcast_limit: int | None) -> bool:
+    """The checked bound: ``df`` has at most the broadcast limit rows (0 disables)."""
+    limit = BROADCAST_KEYS_MAX if broadcast_limit is None else broadcast_limit
+    return bool(limit) and at_most(df.select(*ks), limit)
+
+
 def stored_keys(stored: DataFrame, keys) -> DataFrame:
     """Complete keys of a stored table: the build side of an anti or semi join.
 
@@ -32,48 +49,34 @@ def stored_keys(stored: DataFrame, keys) -> DataFrame:
     side; a ``distinct`` here would put an aggregate between shuffle and join.
     """
     ks = _keys(keys)
-    cond = None
-    for k in ks:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else cond & c
-    return stored.select(*ks).where(cond)
+    return stored.select(*ks).where(~any_null(ks))
 
 
-# Largest key set broadcast by the anti joins below (the bound is checked, never assumed).
-BROADCAST_KEYS_MAX = 1_000_000
-
-
-def at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; stops reading after ``n + 1`` rows."""
-    return df.limit(n + 1).count() <= n
-
-
-def seen_keys(stored: DataFrame, probe_keys: DataFrame, keys) -> DataFrame:
-    """Distinct stored keys that also occur in ``probe_keys`` (a bounded key set).
+def restrict_to_keys(big: DataFrame, probe: DataFrame, keys, null_safe: bool) -> DataFrame:
+    """Rows of ``big`` whose key occurs in ``probe``; the probe's distinct keys are broadcast.
 
-    Both joins sides that are broadcast here are at most as large as ``probe_keys``; the
-    stored table is scanned (key column only, with the semi join as a filter), never shuffled.
+    Callers check the probe's size first (``_small``), so the broadcast is bounded and
+    ``big`` is only scanned, never shuffled. ``null_safe`` lets a null key match a null key.
     """
     ks = _keys(keys)
-    probe = F.broadcast(probe_keys.select(*ks).where(~any_null(ks)).distinct())
-    return stored_keys(stored, ks).join(probe, ks, "left_semi").distinct()
+    pk = probe.select(*ks).distinct()
+    if not null_safe:
+        return big.join(F.broadcast(pk.where(~any_null(ks))), ks, "left_semi")
+    return big.alias("_big").join(F.broadcast(pk).alias("_pk"), null_safe_cond("_big", "_pk", ks), "left_semi")
 
 
 def anti_stored(rows: DataFrame, stored: DataFrame, keys, bound_rows: DataFrame | None = None,
                 broadcast_limit: int | None = None) -> DataFrame:
     """``rows`` whose key is not in ``stored`` (null keys always kept).
 
-    Two plans, chosen by a checked size: when ``bound_rows`` (default ``rows``) has at most
-    ``broadcast_limit`` rows (default ``BROADCAST_KEYS_MAX``), its keys are broadcast into a semi join over the stored keys
-    and the (equally bounded) stored matches are broadcast into the anti join, so neither
-    the rows nor the stored table are shuffled. Otherwise a shuffle anti join against the
-    stored key column, whose oversized partitions AQE splits.
+    ``bound_rows`` (default ``rows``) is what the size check counts. Within the bound, the
+    stored keys are cut to the keys of ``rows`` and broadcast into the anti join; beyond
+    it, a shuffle anti join against the stored key column.
     """
     ks = _keys(keys)
-    limit = BROADCAST_KEYS_MAX if broadcast_limit is None else broadcast_limit
-    bound = (bound_rows if bound_rows is not None else rows).select(*ks)
-    if limit and at_most(bound, limit):
-        return rows.join(F.broadcast(seen_keys(stored, rows, ks)), ks, "left_anti")
+    if _small(bound_rows if bound_rows is not None else rows, ks, broadcast_limit):
+        seen = restrict_to_keys(stored_keys(stored, ks), rows, ks, null_safe=False).distinct()
+        return rows.join(F.broadcast(seen), ks, "left_anti")
     return rows.join(stored_keys(stored, ks), ks, "left_anti")
 
 
@@ -113,24 +116,6 @@ def dedupe_by_key(results: DataFrame, keys) -> DataFrame:
     return results.groupBy(*ks).agg(*[F.max(c).alias(c) for c in others])
 
 
-def restrict_to_keys(big: DataFrame, probe: DataFrame, keys, null_safe: bool) -> DataFrame:
-    """Rows of ``big`` whose key occurs in ``probe``; the probe's distinct keys are broadcast.
-
-    Callers check the probe's size first (``at_most``), so the broadcast is bounded and
-    ``big`` is only scanned, never shuffled. ``null_safe`` lets a null key match a null key.
-    """
-    ks = _keys(keys)
-    pk = probe.select(*ks).distinct()
-    if not null_safe:
-        return big.join(F.broadcast(pk.where(~any_null(ks))), ks, "left_semi")
-    return big.alias("_big").join(F.broadcast(pk).alias("_pk"), null_safe_cond("_big", "_pk", ks), "left_semi")
-
-
-def _small(df: DataFrame, ks: list[str], broadcast_limit: int | None) -> bool:
-    limit = BROADCAST_KEYS_MAX if broadcast_limit is None else broadcast_limit
-    return bool(limit) and at_most(df.select(*ks), limit)
-
-
 def attach_results(batch: DataFrame, results: DataFrame, keys, broadcast_limit: int | None = None) -> DataFrame:
     """Left join of look-up results onto a batch, null matching null.
 
