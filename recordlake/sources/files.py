@@ -67,14 +67,10 @@ def scan_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when Spark can list ``path`` (a probe, not a read of the data)."""
-    try:
-        spark.read.format("binaryFile").option("pathGlobFilter", "__none__").load(path).schema
-        return True
-    except AnalysisException as err:
-        if _is_missing_path(err):
-            return False
-        raise
+    """True when ``path`` exists (a metadata probe, not a read of the data)."""
+    from recordlake.sources import fs
+
+    return fs.exists(spark, path)
 
 
 def scan_batch(spark: SparkSession, paths, schema: T.StructType | None = None,

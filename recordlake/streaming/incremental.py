@@ -28,6 +28,10 @@ BATCH_ID = "batch_id"
 
 def read_stored(spark: SparkSession, table_root: str) -> DataFrame | None:
     """Rows stored so far under ``table_root`` (with ``batch_id``), or None if nothing yet."""
+    from recordlake.sources import fs
+
+    if not fs.exists(spark, table_root):
+        return None
     try:
         return spark.read.parquet(table_root)
     except AnalysisException as err:

@@ -64,3 +64,25 @@ def test_extract_new_skips_done(spark):
     done = spark.createDataFrame([("p1",)], "permit_number string")
     out = extract_new(res, done, "permit_number", "description").collect()
     assert [r.permit_number for r in out] == ["p2"] and out[0].module_count == 26
+
+
+def test_rules_agree_on_generated_descriptions(spark):
+    """Catalyst rules and the Python batch function agree on random token sequences."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    tokens = ["12", "7", "365", "150", "600", "9.36", "5.53", "13.5", "(1)", "(2)", "kW", "Kw", "kWh", "kw",
+              "W", "Watt", "Watts", "modules", "Modules", "panel", "panels", "battery", "batteries", "each",
+              "(13.5 kWh each)", "Roof", "roof", "ground", "Ground", "mount", "-", "REC", "NPeak2", ".", ",",
+              "Digital:", "storage", "trench", "100'"]
+    text = st.lists(st.sampled_from(tokens), min_size=0, max_size=14).map(" ".join)
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(text, min_size=20, max_size=40))
+    def check(texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+        a = [tuple(r) for r in extract_details(df, "text").orderBy("k").collect()]
+        b = [tuple(r) for r in extract_with(df, "k", "text", python_rules).orderBy("k").collect()]
+        assert a == b
+
+    check()
