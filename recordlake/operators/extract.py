@@ -73,7 +73,9 @@ def extract_with(df: DataFrame, key_col: str, text_col: str, fn: BatchFn) -> Dat
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [None if pd.isna(t) else t for t in pdf[text_col].tolist()]
-            recs = fn(texts) if texts else []
+            recs = list(fn(texts)) if texts else []
+            if len(recs) != len(texts):
+                raise ValueError(f"batch function returned {len(recs)} records for {len(texts)} texts")
             out = pd.DataFrame({key_col: pdf[key_col].values})
             for f in DETAILS_SCHEMA.fields:
                 out[f.name] = _typed([(r or {}).get(f.name) for r in recs], f.dataType)
@@ -82,9 +84,14 @@ def extract_with(df: DataFrame, key_col: str, text_col: str, fn: BatchFn) -> Dat
     return validate_details(df.select(key_col, text_col).mapInPandas(run, out_schema))
 
 
+_COMPILED: dict = {}
+
+
 def python_rules(texts: list) -> list[dict]:
     """The X1 rule set written as a plain batch function, for ``extract_with``."""
-    rx = {k: re.compile(v) for k, v in RULES.items()}
+    if not _COMPILED:
+        _COMPILED.update({k: re.compile(v) for k, v in RULES.items()})
+    rx = _COMPILED
 
     def grab(name: str, s: str):
         m = rx[name].search(s)

@@ -86,3 +86,10 @@ def test_rules_agree_on_generated_descriptions(spark):
         assert a == b
 
     check()
+
+
+def test_hook_must_return_one_record_per_text(spark):
+    import pytest
+
+    with pytest.raises(Exception, match="returned 0 records"):
+        extract_with(frame(spark, GOLDEN), "k", "text", lambda texts: []).collect()
