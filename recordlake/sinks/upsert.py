@@ -12,9 +12,8 @@ Semantics (rows applied in ``order_col`` order, as sequential ``INSERT ... ON CO
   the update columns from its last;
 * changes with a null key are rejected into a separate frame (a primary key refuses them).
 
-Plan shape: stored rows meet the deduped changes in a left join, and new keys are found
-from the (few) matched keys, so a small change set is broadcast by Catalyst's size check
-and the base table is only scanned, never shuffled.
+Plan shape: a change set within the checked bound is broadcast and the base is only
+scanned; a larger one meets the base in a single full outer join.
 """
 
 from __future__ import annotations
@@ -58,11 +57,19 @@ def last_per_key(changes: DataFrame, keys, order_col: str | None,
 
 
 def upsert_frames(base: DataFrame, changes: DataFrame, keys, order_col: str | None = None,
-                  update_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                  update_cols: list[str] | None = None,
+                  broadcast_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Next table version after applying ``changes`` to ``base``; ``(result, rejected)``.
 
     ``update_cols=None`` updates every non-key column (K6); a list updates only those (K7).
+
+    Two plans, chosen by a checked size of the change set (``joins.BROADCAST_KEYS_MAX`` rows by
+    default): within it, the deduped changes are broadcast into a left join with the base, and
+    new keys are found from the (equally bounded) matched keys, so the base is only scanned;
+    beyond it, one full outer join on the key, each side shuffled once.
     """
+    from recordlake.operators.joins import _small
+
     ks = _keys(keys)
     columns = base.columns
     value_cols = [c for c in columns if c not in ks]
@@ -71,13 +78,24 @@ def upsert_frames(base: DataFrame, changes: DataFrame, keys, order_col: str | No
     valid, rejected = split_null_keys(changes, ks)
     last = last_per_key(valid.select(*ks, *upd, *ins, *([order_col] if order_col else [])),
                         ks, order_col, upd, ins)
-    marked = last.select(*ks, *[F.col(c).alias(f"_rl_new_{c}") for c in upd], F.lit(True).alias("_rl_hit"))
-    stored = base.join(marked, ks, "left").select(
-        *[F.col(k) for k in ks],
-        *[(F.when(F.col("_rl_hit"), F.col(f"_rl_new_{c}")).otherwise(F.col(c)) if c in upd else F.col(c)).alias(c)
-          for c in value_cols])
-    matched = base.select(*ks).join(last.select(*ks), ks, "left_semi").distinct()
-    inserts = last.join(matched, ks, "left_anti")
     typed = [F.col(c).cast(base.schema[c].dataType).alias(c) for c in columns]
-    result = stored.select(*columns).unionByName(inserts.select(*typed))
-    return result, rejected
+    if _small(valid, ks, broadcast_limit):
+        marked = F.broadcast(last.select(*ks, *[F.col(c).alias(f"_rl_new_{c}") for c in upd],
+                                         F.lit(True).alias("_rl_hit")))
+        stored = base.join(marked, ks, "left").select(
+            *[F.col(k) for k in ks],
+            *[(F.when(F.col("_rl_hit"), F.col(f"_rl_new_{c}")).otherwise(F.col(c)) if c in upd else F.col(c)).alias(c)
+              for c in value_cols])
+        matched = base.select(*ks).join(F.broadcast(last.select(*ks)), ks, "left_semi").distinct()
+        inserts = last.join(F.broadcast(matched), ks, "left_anti")
+        return stored.select(*typed).unionByName(inserts.select(*typed)), rejected
+    old = base.select(*ks, *[F.col(c).alias(f"_rl_old_{c}") for c in value_cols], F.lit(True).alias("_rl_base"))
+    new = last.select(*ks, *[F.col(c).alias(f"_rl_new_{c}") for c in value_cols], F.lit(True).alias("_rl_hit"))
+    j = old.join(new, ks, "full")
+    out = [F.col(k) for k in ks]
+    for c in value_cols:
+        if c in upd:   # a matched or new key takes the change, a null value included
+            out.append(F.when(F.col("_rl_hit"), F.col(f"_rl_new_{c}")).otherwise(F.col(f"_rl_old_{c}")).alias(c))
+        else:          # insert-only column: kept for stored keys, from the first change for new ones
+            out.append(F.when(F.col("_rl_base"), F.col(f"_rl_old_{c}")).otherwise(F.col(f"_rl_new_{c}")).alias(c))
+    return j.select(*out).select(*typed), rejected

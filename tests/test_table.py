@@ -46,6 +46,8 @@ def test_upsert_partial(spark):
                                S + ", seq long")
     out, _ = upsert_frames(base, ch, "k", "seq", update_cols=["b"])
     assert rows(out) == [("k1", "keep", 5.0), ("k2", "first", 8.0)]
+    full, _ = upsert_frames(base, ch, "k", "seq", update_cols=["b"], broadcast_limit=0)
+    assert rows(full) == rows(out)
 
 
 def test_upsert_creates_missing_table(spark, tmp_dir):
@@ -79,6 +81,8 @@ def test_upsert_equals_sequential_replay(spark):
     base = spark.createDataFrame([(k, a, b) for k, (a, b) in base_rows.items()], S)
     out, rejected = upsert_frames(base, spark.createDataFrame(changes, S + ", seq long"), "k", "seq")
     assert rows(out) == sorted((k, a, b) for k, (a, b) in expect.items())
+    shuffled, _ = upsert_frames(base, spark.createDataFrame(changes, S + ", seq long"), "k", "seq", broadcast_limit=0)
+    assert rows(shuffled) == rows(out)
     assert rejected.count() == sum(1 for c in changes if c[0] is None)
     again, _ = upsert_frames(out, spark.createDataFrame(changes, S + ", seq long"), "k", "seq")
     assert rows(again) == rows(out)
