@@ -26,6 +26,9 @@ SCALE_CONF = {
     # size-checked broadcast: Catalyst broadcasts a join side only under this estimate,
     # otherwise it keeps the sort-merge join.
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # parquet size estimates are compressed bytes; scale them so the check above compares
+    # something closer to the in-memory size of a broadcast relation
+    "spark.sql.sources.fileCompressionFactor": "4",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
