@@ -151,3 +151,14 @@ def test_null_safe_joins_plans_agree(spark):
     for seen_keys in (["a", None], ["b", "z"], []):
         seen = spark.createDataFrame([(k,) for k in seen_keys], "k string")
         assert rows(joins.skip_seen(batch, seen, "k")) == rows(joins.skip_seen(batch, seen, "k", broadcast_limit=0))
+
+
+def test_session_keeps_skew_settings(spark):
+    from recordlake.operators.skew import check_skew_settings
+
+    assert check_skew_settings(spark) == {}
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        assert check_skew_settings(spark) == {"spark.sql.adaptive.skewJoin.enabled": "false"}
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
