@@ -141,7 +141,7 @@ def q_upsert_bucketed(spark, sf):
     from recordlake.sinks.bucketed import BucketedTable
 
     base, changes = _order_versions(spark, sf)
-    table = BucketedTable(spark, f"{scratch_path(spark, 'bucketed')}/orders", "o_orderkey", buckets=64)
+    table = BucketedTable(spark, f"{scratch_path(spark, 'bucketed')}/orders", "o_orderkey", buckets=16)
     table.create(base)
     table.upsert(changes, order_col="seq")
     return table.read().select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
