@@ -60,7 +60,7 @@ RECORD_COLUMNS = {
     "Status": "status",
     "Installer Number": "license_no",
 }
-# The search form criteria.
+# The search form criteria and the look-up batch size.
 SEARCH_USAGE = "Residential"
 SEARCH_TYPE = "Solar Array"
 BATCH_SIZE = 50
