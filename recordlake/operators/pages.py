@@ -19,7 +19,7 @@ from recordlake.functions.html import (
 )
 from recordlake.operators.project import is_error_page
 
-# Look-up outcomes.
+# Look-up outcomes (this library's status values).
 STATUSES = ["ok", "empty_page", "error_page", "missing_section", "missing_label"]
 
 

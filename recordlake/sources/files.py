@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from recordlake.functions.scalars import batch_date_of, ends_with, file_segment
 
-# Date layouts accepted for record dates, tried in this order.
+# Date layouts accepted for record dates, tried in this order.
 RECORD_DATE_FORMATS = ["M/d/yyyy", "M/d/yyyy H:mm:ss", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"]
 
 
