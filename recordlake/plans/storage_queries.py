@@ -147,6 +147,31 @@ def q_upsert_bucketed(spark, sf):
     return table.read().select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
+# ---------------------------------------------------------------------------------------
+# J5 into a bucketed table: day 1 appended, then the other days first-file-wins, the stored
+# side of the check reading only the buckets of the batch's keys
+
+def q_first_wins_bucketed(spark, sf):
+    from recordlake.plans.queries import _event_batches
+    from recordlake.sinks.bucketed import BucketedTable
+
+    ev = _event_batches(spark, sf)
+    cut = F.lit("2024-01-02").cast("timestamp_ntz")
+    table = BucketedTable(spark, f"{scratch_path(spark, 'first-wins')}/events", "user_key", buckets=16)
+    table.append_new(ev.where(F.col("ts") < cut), "batch_file")
+    table.append_new(ev.where(F.col("ts") >= cut), "batch_file")
+    return table.read().select("event_id", "user_key", "batch_file")
+
+
+def _sql_first_wins_bucketed() -> str:
+    from recordlake.plans.queries import _SQL_EVENT_BATCHES, SQL_FIRST_WINS
+
+    return f"""
+SELECT event_id, user_key, batch_file FROM ({_SQL_EVENT_BATCHES}) WHERE ts < TIMESTAMP '2024-01-02'
+UNION ALL
+SELECT * FROM ({SQL_FIRST_WINS})"""
+
+
 # ---------------------------------------------------------------------------------------
 # Readings CSV -> daily mean -> upsert, loaded twice (the second load changes 5 days)
 
@@ -254,6 +279,7 @@ def queries():
         "q_incremental_append": q_incremental_append,
         "q_batched_progress": q_batched_progress,
         "q_upsert_bucketed": q_upsert_bucketed,
+        "q_first_wins_bucketed": q_first_wins_bucketed,
         "q_weather_flow": q_weather_flow,
         "q_permit_flow": q_permit_flow,
     }
@@ -268,6 +294,7 @@ def oracle_sql():
         "q_incremental_append": SQL_INCREMENTAL_APPEND,
         "q_batched_progress": SQL_BATCHED_PROGRESS,
         "q_upsert_bucketed": SQL_UPSERT,
+        "q_first_wins_bucketed": _sql_first_wins_bucketed(),
         "q_weather_flow": SQL_WEATHER_FLOW,
         "q_permit_flow": SQL_PERMIT_FLOW,
     }

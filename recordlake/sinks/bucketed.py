@@ -74,7 +74,7 @@ class BucketedTable:
         self._recover()
         valid, rejected = split_null_keys(changes, self.keys)
         # at most `buckets` small integers (a proven bound) come back to the driver
-        touched = sorted(r[0] for r in valid.select(self.bucket_of().alias(BUCKET)).distinct().collect())
+        touched = self._touched(valid)
         if not touched:
             return rejected
         base = self.spark.read.parquet(self.data).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
@@ -86,6 +86,34 @@ class BucketedTable:
         self._publish(stage)
         return rejected
 
+    def _touched(self, df: DataFrame) -> list[int]:
+        """Bucket ids of ``df``'s keys: at most ``buckets`` small integers (a proven bound)."""
+        return sorted(r[0] for r in df.select(self.bucket_of().alias(BUCKET)).distinct().collect())
+
+    def append_new(self, batch: DataFrame, file_col: str | None = None):
+        """Append the rows of ``batch`` whose key is not stored yet (J1), or with ``file_col``
+        the first-file-wins rows (J5); returns the Observation of appended rows.
+
+        Only the stored buckets that the batch's keys fall into are read (key column only,
+        static partition pruning), so a batch much smaller than the table reads a matching
+        fraction of it. Null-key rows are always appended, as with the anti join.
+        """
+        from recordlake.operators.aggs import observe_count
+        from recordlake.operators.joins import append_first_wins, new_rows
+
+        self._recover()
+        stored = None
+        if self.exists():
+            touched = self._touched(batch)
+            stored = self.spark.read.parquet(self.data).where(F.col(BUCKET).isin(touched)).select(*self.keys)
+        if file_col:
+            rows = append_first_wins(batch, stored, self.keys, file_col)
+        else:
+            rows = batch if stored is None else new_rows(batch, stored, self.keys)
+        counted, obs = observe_count(rows, "append_new")
+        self._clustered(counted).write.mode("append").partitionBy(BUCKET).parquet(self.data)
+        return obs
+
     def _publish(self, stage: str) -> None:
         (self.spark.read.parquet(stage).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.data))

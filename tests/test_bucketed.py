@@ -46,3 +46,26 @@ def test_interrupted_publication_is_finished(spark, tmp_dir):
     staged.withColumn("kb", t.bucket_of()).write.partitionBy("kb").parquet(stage)
     spark.createDataFrame([(stage,)], "s string").write.text(f"{t.root}/_pending")
     assert rows(t.read()) == [(1, "z", 9.0), (2, "y", 2.0)]
+
+
+def test_append_new_reads_touched_buckets_only(spark, tmp_dir):
+    from recordlake.operators.joins import append_first_wins
+
+    t = BucketedTable(spark, f"{tmp_dir}/t", "k", buckets=32)
+    first = spark.createDataFrame([(1, "a", "f1"), (2, "b", "f1"), (None, "n", "f1")], "k long, v string, f string")
+    assert t.append_new(first, "f").get["rows"] == 3
+    batch = spark.createDataFrame([(2, "b2", "f2"), (3, "c", "f2"), (3, "c2", "f3"), (None, "n2", "f2")],
+                                  "k long, v string, f string")
+    expect = append_first_wins(batch, t.read(), "k", "f")
+    assert t.append_new(batch, "f").get["rows"] == 2
+    assert sorted(map(tuple, t.read().select("k", "v").collect()), key=str) == sorted(
+        [(1, "a"), (2, "b"), (None, "n"), (3, "c"), (None, "n2")], key=str)
+    assert expect.count() == 2
+    # the stored side of the check is pruned to the batch's buckets
+    touched = t._touched(batch)
+    stored = spark.read.parquet(t.data).where(F.col("kb").isin(touched)).select("k")
+    import re
+
+    from conftest import plan_text
+    assert re.search(r"PartitionFilters: \[[^\]]*kb#?\d* IN \(", plan_text(stored, "simple"))
+    assert len(touched) < 32
