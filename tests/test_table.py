@@ -86,3 +86,19 @@ def test_upsert_equals_sequential_replay(spark):
     assert rejected.count() == sum(1 for c in changes if c[0] is None)
     again, _ = upsert_frames(out, spark.createDataFrame(changes, S + ", seq long"), "k", "seq")
     assert rows(again) == rows(out)
+
+
+def test_run_date_glob_matches_the_name_rule(spark, tmp_dir):
+    """The listing glob keeps exactly the names the row-level rule (F3) maps to the run date."""
+    from recordlake.sources.files import select_batch_files
+
+    df = spark.createDataFrame([("p1", 1)], "permit_number string, n int")
+    names = ["batch_20250708_101112", "20250708", "batch_20250708", "20250708_x", "batch_20250709_000000",
+             "x", "batch_2025070800_1"]
+    for n in names:
+        df.write.parquet(f"{tmp_dir}/g/{n}.parquet")
+    got = sorted(r.batch_file for r in scan_batches_for(spark, f"{tmp_dir}/g", "20250708").collect())
+    names_df = spark.createDataFrame([(f"{n}.parquet",) for n in names], "batch_file string")
+    expect = sorted(r.batch_file for r in select_batch_files(names_df, "20250708").collect())
+    assert got == expect == ["20250708.parquet", "20250708_x.parquet", "batch_20250708.parquet",
+                             "batch_20250708_101112.parquet"]
