@@ -154,12 +154,16 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
     def look_up(missing: DataFrame) -> DataFrame:
         # captured registry pages of the missing licences only, then the name extraction (H5)
         found = pages.code_to_name(registry_pages.join(missing, "license_no", "left_semi"), "license_no")
-        looked_up["frame"] = found
+        looked_up["codes"], looked_up["found"] = missing, found
         return found.select("license_no", "business_name")
 
     enriched, resolved, _ = joins.resolve_and_grow_registry(
         pending, registry, look_up, "license_no", "business_name")
-    reports["resolution"] = aggs.resolution_report(looked_up["frame"], "business_name").first().asDict()
+    # every licence that needed a look-up; one without a captured page counts as unresolved (A5)
+    outcome = looked_up["codes"].join(
+        joins.dedupe_by_key(looked_up["found"].select("license_no", "business_name"), "license_no"),
+        "license_no", "left")
+    reports["resolution"] = aggs.resolution_report(outcome, "business_name").first().asDict()
     # the enriched rows read the registry before the append below; materialize them first
     enriched = enriched.select("license_no", "permit_number", "business_name").checkpoint(eager=True)
     reports["resolved"] = installers.append(resolved)

@@ -17,6 +17,9 @@ def test_permit_flow_second_run_adds_nothing(spark, tmp_dir):
     before = snapshot(first)
     assert first.reports["appended"].get["rows"] == len(before["permit_results"]) > 0
     assert before["permit_details"] and before["permit_results_installer"]
+    res = first.reports["resolution"]
+    assert res["looked_up"] == res["resolved"] + res["unresolved"] and res["resolved"] > 0
+    assert first.reports["resolved"].get["rows"] == res["resolved"]
     miss = first.reports["missing"]
     assert miss["total"] == len(before["permit_results"]) and 0 < miss["missing"] < miss["total"]
     n_null = sum(1 for r in first.permit_results.read().collect() if r.license_no is None)
