@@ -113,7 +113,7 @@ WHERE f.user_key IS NOT NULL OR ev.user_key IS NULL"""
 # batches (the failure), the re-run writes only the missing units
 
 def q_batched_progress(spark, sf):
-    from recordlake.streaming.incremental import write_progress
+    from recordlake.streaming.incremental import read_progress, write_progress
 
     root = f"{scratch_path(spark, 'progress')}/orders"
     orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
@@ -122,7 +122,7 @@ def q_batched_progress(spark, sf):
     second = write_progress(numbered, root, batches_per_dir=100)
     if first.get["rows"] + second.get["rows"] != numbered.count():
         raise RuntimeError("re-run did not write exactly the missing batches")
-    return read_stored(spark, root).groupBy("batch_id").agg(
+    return read_progress(spark, root).groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("o_orderkey").alias("first_key"))
 
 

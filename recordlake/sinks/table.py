@@ -1,11 +1,12 @@
 """Tables as versioned parquet directories.
 
-A table is a root folder holding ``v=<n>`` data directories. A version is committed when
-its write job has committed (Spark's ``_SUCCESS`` marker in the directory); the current
-version is the highest committed one. Appends add files to the current version; replace
-and upsert write a complete new version, so readers never see a table that is being
-rewritten, and a job that dies before its commit leaves the previous version current.
-Single writer per table; old versions stay until removed by the operator.
+A table is a root folder of versions ``v=<n>``; each version is a list of parts ``a=<m>``,
+each written by one Spark job. A part counts only once its job has committed (Spark's
+``_SUCCESS`` marker), so a write that dies, even half-way through its commit, is invisible
+and is simply redone by the next run. Replace and upsert write part 0 of a new version (the
+current version is the highest one whose part 0 is committed), so readers never see a
+table being rewritten; an append adds the next part to the current version. Single writer
+per table; old versions stay until removed by the operator.
 
 Every write is a Spark job, reads are plain parquet scans with pruning and pushdown, and
 finding the current version is a directory listing (no job).
@@ -26,6 +27,7 @@ from recordlake.sinks.upsert import upsert_frames
 from recordlake.sources import fs
 
 _VERSION_DIR = re.compile(r"^v=(\d+)$")
+_PART_DIR = re.compile(r"^a=(\d+)$")
 
 
 class LakeTable:
@@ -44,10 +46,21 @@ class LakeTable:
         found = (_VERSION_DIR.match(n) for n in fs.list_dirs(self.spark, self.root))
         return sorted(int(m.group(1)) for m in found if m)
 
+    def _part_path(self, version: int, part: int) -> str:
+        return f"{self._data_path(version)}/a={part:06d}"
+
+    def _parts(self, version: int) -> list[int]:
+        """All part directories of a version, committed or not, ascending."""
+        found = (_PART_DIR.match(n) for n in fs.list_dirs(self.spark, self._data_path(version)))
+        return sorted(int(m.group(1)) for m in found if m)
+
+    def _committed(self, path: str) -> bool:
+        return fs.exists(self.spark, f"{path}/_SUCCESS")
+
     def current_version(self) -> int | None:
-        """Latest committed version, or None when the table does not exist."""
+        """Latest version whose first part is committed, or None when the table does not exist."""
         for v in reversed(self._versions()):
-            if fs.exists(self.spark, f"{self._data_path(v)}/_SUCCESS"):
+            if self._committed(self._part_path(v, 0)):
                 return v
         return None
 
@@ -65,7 +78,8 @@ class LakeTable:
         v = self.current_version()
         if v is None:
             raise FileNotFoundError(f"table {self.root} does not exist")
-        return self.spark.read.parquet(self._data_path(v))
+        parts = [self._part_path(v, m) for m in self._parts(v)]
+        return self.spark.read.parquet(*[p for p in parts if self._committed(p)])
 
     def read_or_empty(self, schema: T.StructType) -> DataFrame:
         """The table, or an empty frame of ``schema`` when it does not exist yet (Q4)."""
@@ -78,7 +92,7 @@ class LakeTable:
         """K3: write ``df`` as a new version (safe even when ``df`` reads this table)."""
         v = self._next_version()
         counted, obs = observe_count(df, f"replace_{v}")
-        counted.write.mode("errorifexists").parquet(self._data_path(v))
+        counted.write.mode("errorifexists").parquet(self._part_path(v, 0))
         return obs
 
     def _align(self, df: DataFrame, target: T.StructType) -> DataFrame:
@@ -94,9 +108,10 @@ class LakeTable:
         v = self.current_version()
         if v is None:
             raise FileNotFoundError(f"table {self.root} does not exist")
-        target = self.spark.read.parquet(self._data_path(v)).schema
-        counted, obs = observe_count(self._align(df, target), f"append_{v}")
-        counted.write.mode("append").parquet(self._data_path(v))
+        target = self.spark.read.parquet(self._part_path(v, 0)).schema
+        part = self._parts(v)[-1] + 1
+        counted, obs = observe_count(self._align(df, target), f"append_{v}_{part}")
+        counted.write.mode("errorifexists").parquet(self._part_path(v, part))
         return obs
 
     def create_if_missing_or_append(self, df: DataFrame) -> Observation:

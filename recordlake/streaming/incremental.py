@@ -75,24 +75,44 @@ def resume(records: DataFrame, prior_results: DataFrame, key: str) -> DataFrame:
 PROGRESS_UNIT = "progress_unit"
 
 
+def read_progress(spark: SparkSession, root: str) -> DataFrame | None:
+    """Rows persisted by committed ``write_progress`` runs (with ``progress_unit``), or None.
+
+    A run counts only once its write job has committed (``_SUCCESS``): a run that died, even
+    during its commit, is ignored, and its units are written again by the next run.
+    """
+    from recordlake.sources import fs
+
+    runs = [d for d in fs.list_dirs(spark, root)
+            if d.startswith("run=") and fs.exists(spark, f"{root}/{d}/_SUCCESS")]
+    if not runs:
+        return None
+    return spark.read.option("basePath", root).parquet(*[f"{root}/{d}" for d in sorted(runs)]).drop("run")
+
+
 def write_progress(df: DataFrame, root: str, batch_col: str = BATCH_ID, batches_per_dir: int = 1):
     """Persist numbered batches, one directory per progress unit.
 
     A unit is ``batches_per_dir`` consecutive batches (1: one directory per batch, as in the
-    source flow; larger units keep the directory count proportionate at scale). A write job
-    commits all its units at once; a re-run after a failure writes only the units missing
-    under ``root``. Returns an Observation with the number of rows written.
+    source flow; larger units keep the directory count proportionate at scale). Each run
+    writes its missing units into its own ``run=<id>`` folder in one job, so the units of a
+    run become visible together; a re-run after a failure writes only the units missing from
+    committed runs. Returns an Observation with the number of rows written.
     """
+    import time
+    import uuid
+
     from recordlake.operators.aggs import observe_count
 
     spark = df.sparkSession
     unit = F.floor(F.col(batch_col) / F.lit(batches_per_dir)).cast("long")
     with_unit = df.withColumn(PROGRESS_UNIT, unit)
-    done = read_stored(spark, root)
+    done = read_progress(spark, root)
     todo = with_unit if done is None else \
         with_unit.join(done.select(PROGRESS_UNIT).distinct(), PROGRESS_UNIT, "left_anti")
     counted, obs = observe_count(todo, "progress")
-    counted.write.mode("append").partitionBy(PROGRESS_UNIT).parquet(root)
+    run = f"run={time.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    counted.write.mode("errorifexists").partitionBy(PROGRESS_UNIT).parquet(f"{root}/{run}")
     return obs
 
 

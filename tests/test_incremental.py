@@ -6,7 +6,13 @@ from pyspark.sql import types as T
 from conftest import rows
 from recordlake.operators.joins import append_first_wins
 from recordlake.operators.project import number_batches
-from recordlake.streaming.incremental import append_micro_batch, incremental_append, read_stored, write_progress
+from recordlake.streaming.incremental import (
+    append_micro_batch,
+    incremental_append,
+    read_progress,
+    read_stored,
+    write_progress,
+)
 
 SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
 
@@ -51,7 +57,17 @@ def test_write_progress_resumes(spark, tmp_dir):
     assert first.get["rows"] == 100
     second = write_progress(df, f"{tmp_dir}/p")
     assert second.get["rows"] == 130
-    assert read_stored(spark, f"{tmp_dir}/p").count() == 230
+    assert read_progress(spark, f"{tmp_dir}/p").count() == 230
+    # a run that died during its commit is ignored, and its units are written again
+    import os
+
+    from recordlake.session import local_path
+    again = write_progress(df.where(F.col("batch_id") == 4), f"{tmp_dir}/q")
+    assert again.get["rows"] == 30
+    run = [d for d in os.listdir(local_path(f"{tmp_dir}/q")) if d.startswith("run=")][0]
+    os.remove(os.path.join(local_path(f"{tmp_dir}/q"), run, "_SUCCESS"))
+    assert read_progress(spark, f"{tmp_dir}/q") is None
+    assert write_progress(df, f"{tmp_dir}/q").get["rows"] == 230
 
 
 def test_first_wins_null_keys_skewed(spark):

@@ -102,3 +102,22 @@ def test_run_date_glob_matches_the_name_rule(spark, tmp_dir):
     expect = sorted(r.batch_file for r in select_batch_files(names_df, "20250708").collect())
     assert got == expect == ["20250708.parquet", "20250708_x.parquet", "batch_20250708.parquet",
                              "batch_20250708_101112.parquet"]
+
+
+def test_half_committed_append_is_invisible(spark, tmp_dir):
+    """A write that died during its commit (files present, no _SUCCESS) is not read; the next
+    append lands in a fresh part."""
+    import os
+
+    from recordlake.session import local_path
+
+    t = LakeTable(spark, f"{tmp_dir}/t")
+    t.create_or_replace(spark.createDataFrame([("x", "1", 1.0)], S))
+    t.append(spark.createDataFrame([("y", "2", 2.0)], S))
+    # simulate the crash: copy of a part's data file without the commit marker
+    broken = f"{t.root}/v=000001/a=000002"
+    spark.createDataFrame([("ghost", "g", 9.0)], S).coalesce(1).write.parquet(broken)
+    os.remove(os.path.join(local_path(broken), "_SUCCESS"))
+    assert rows(t.read()) == [("x", "1", 1.0), ("y", "2", 2.0)]
+    t.append(spark.createDataFrame([("z", "3", 3.0)], S))
+    assert rows(t.read()) == [("x", "1", 1.0), ("y", "2", 2.0), ("z", "3", 3.0)]
