@@ -13,8 +13,10 @@ a large keyed table, ``BucketedTable`` stores rows in ``kb=<bucket>`` partitions
    replaces exactly the staged buckets; the marker is removed afterwards.
 
 A run that dies during publication leaves the marker; the next operation on the table
-publishes the same staged buckets again (idempotent) before doing anything else. Single
-writer; a reader during publication may see some buckets already replaced.
+publishes the same staged buckets again (idempotent) before doing anything else. Appends
+(``append_new``) are staged the same way and published by moving the staged files into
+their bucket folders (a metadata operation; a repeated move skips files already moved).
+Single writer; a reader during publication may see some buckets already replaced.
 """
 
 from __future__ import annotations
@@ -79,13 +81,28 @@ class BucketedTable:
             return rejected
         base = self.spark.read.parquet(self.data).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
         result, _ = upsert_frames(base, valid, self.keys, order_col, update_cols)
-        stage = f"{shared_dir(self.spark)}/recordlake/staging/{uuid.uuid4().hex}"
+        stage = self._stage_path()
         self._clustered(result).write.partitionBy(BUCKET).parquet(stage)
-        self.spark.createDataFrame([(stage,)], "stage string").coalesce(1) \
-            .write.mode("overwrite").text(self._pending_path())
+        self._mark("replace", stage)
         self._publish(stage)
         return rejected
 
+    def _stage_path(self) -> str:
+        return f"{shared_dir(self.spark)}/recordlake/staging/{uuid.uuid4().hex}"
+
+    def _mark(self, op: str, stage: str) -> None:
+        """Record a staged, not yet published write (``op`` is replace or append)."""
+        self.spark.createDataFrame([(f"{op}\t{stage}",)], "value string").coalesce(1) \
+            .write.mode("overwrite").text(self._pending_path())
+
+    def _publish_append(self, stage: str) -> None:
+        for bucket_dir in fs.list_dirs(self.spark, stage):
+            if bucket_dir.startswith(f"{BUCKET}="):
+                for name in fs.list_files(self.spark, f"{stage}/{bucket_dir}"):
+                    fs.move(self.spark, f"{stage}/{bucket_dir}/{name}", f"{self.data}/{bucket_dir}")
+        fs.touch(self.spark, f"{self.data}/_SUCCESS")  # the table exists once its first rows are in
+        fs.delete(self.spark, self._pending_path())
+
     def _touched(self, df: DataFrame) -> list[int]:
         """Bucket ids of ``df``'s keys: at most ``buckets`` small integers (a proven bound)."""
         return sorted(r[0] for r in df.select(self.bucket_of().alias(BUCKET)).distinct().collect())
@@ -111,7 +128,10 @@ class BucketedTable:
         else:
             rows = batch if stored is None else new_rows(batch, stored, self.keys)
         counted, obs = observe_count(rows, "append_new")
-        self._clustered(counted).write.mode("append").partitionBy(BUCKET).parquet(self.data)
+        stage = self._stage_path()
+        self._clustered(counted).write.partitionBy(BUCKET).parquet(stage)
+        self._mark("append", stage)
+        self._publish_append(stage)
         return obs
 
     def _publish(self, stage: str) -> None:
@@ -122,5 +142,9 @@ class BucketedTable:
     def _recover(self) -> None:
         """Finish a publication that an earlier run started."""
         if fs.exists(self.spark, f"{self._pending_path()}/_SUCCESS"):
-            stage = self.spark.read.text(self._pending_path()).first()[0]
-            self._publish(stage)
+            line = self.spark.read.text(self._pending_path()).first()[0]
+            op, _, stage = line.partition("\t")
+            if op == "append":
+                self._publish_append(stage)
+            else:
+                self._publish(stage or op)

@@ -30,3 +30,31 @@ def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the plain files directly under ``path`` (empty when missing)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()]
+
+
+def move(spark: SparkSession, src: str, dst_dir: str) -> None:
+    """Move the file ``src`` into the directory ``dst_dir`` (created when missing); a file
+    that was already moved (absent at ``src``) is skipped, so a repeated move is harmless."""
+    sc = spark.sparkContext
+    fs, s = _fs(spark, src)
+    if not fs.exists(s):
+        return
+    d = sc._jvm.org.apache.hadoop.fs.Path(dst_dir)
+    fs.mkdirs(d)
+    if not fs.rename(s, sc._jvm.org.apache.hadoop.fs.Path(d, s.getName())):
+        raise OSError(f"could not move {src} to {dst_dir}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file at ``path`` when it does not exist (a marker)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        fs.create(p, False).close()

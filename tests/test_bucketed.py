@@ -69,3 +69,16 @@ def test_append_new_reads_touched_buckets_only(spark, tmp_dir):
     from conftest import plan_text
     assert re.search(r"PartitionFilters: \[[^\]]*kb#?\d* IN \(", plan_text(stored, "simple"))
     assert len(touched) < 32
+
+
+def test_interrupted_append_is_finished(spark, tmp_dir):
+    """An append staged and marked but not (fully) published is completed by the next call."""
+    t = BucketedTable(spark, f"{tmp_dir}/t", "k", buckets=8)
+    t.append_new(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
+    stage = t._stage_path()
+    staged = spark.createDataFrame([(3, "c"), (4, "d")], "k long, v string")
+    staged.withColumn("kb", t.bucket_of()).write.partitionBy("kb").parquet(stage)
+    t._mark("append", stage)  # the run died here, before publishing
+    assert t.append_new(spark.createDataFrame([(4, "dup"), (5, "e")], "k long, v string")).get["rows"] == 1
+    assert sorted(map(tuple, t.read().select("k", "v").collect())) == [
+        (1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")]
