@@ -143,11 +143,11 @@ def skip_seen(df: DataFrame, seen: DataFrame, keys, broadcast_limit: int | None
     """
     ks = _keys(keys)
     if _small(df, ks, broadcast_limit):
-        seen_keys_ = F.broadcast(restrict_to_keys(seen.select(*ks), df, ks, True).distinct()).alias("_s")
+        seen_side = F.broadcast(restrict_to_keys(seen.select(*ks), df, ks, True).distinct()).alias("_s")
     else:
-        seen_keys_ = seen.select(*ks).alias("_s")
+        seen_side = seen.select(*ks).alias("_s")
     left = df.alias("_d")
-    return (left.join(seen_keys_, null_safe_cond("_d", "_s", ks), "left_anti")
+    return (left.join(seen_side, null_safe_cond("_d", "_s", ks), "left_anti")
             .select(*[F.col(f"_d.{c}") for c in df.columns]))
 
 
