@@ -73,3 +73,10 @@ def test_number_batches_matches_row_number(spark):
 def test_is_error_page(spark):
     df = spark.createDataFrame([("https://x/Error.aspx?x=1",), ("https://x/ok",)], "u string")
     assert [r[0] for r in df.select(project.is_error_page("u")).collect()] == [True, False]
+
+
+def test_number_batches_composite_order(spark):
+    df = spark.range(0, 523, 1, 5).select((F.col("id") % 7).alias("d"), (F.col("id") * 13 % 523).alias("p"))
+    got = project.number_batches(df, ["d", "p"], 50, pos_col="pos")
+    expect = df.select("d", "p", (F.row_number().over(Window.orderBy("d", "p")) - 1).alias("pos"))
+    assert rows(got, "d", "p", "pos") == rows(expect, "d", "p", "pos")
