@@ -80,7 +80,7 @@ _STREAM_SCHEMA = T.StructType([
 ])
 
 
-def q_incremental_append(spark, sf):
+def q_incremental_append(spark, sf, buckets: int | None = None):
     from recordlake.plans import derive as D
 
     base = scratch_path(spark, "stream")
@@ -94,11 +94,21 @@ def q_incremental_append(spark, sf):
              F.col("ts") >= F.lit(cuts[1]).cast("timestamp_ntz")]
     for cond in drops:
         ev.where(cond).write.mode("append").partitionBy("b").parquet(src)
-        incremental_append(spark, src, _STREAM_SCHEMA, table, ckpt, "user_key").awaitTermination()
-    stored = read_stored(spark, table)
+        incremental_append(spark, src, _STREAM_SCHEMA, table, ckpt, "user_key", buckets=buckets).awaitTermination()
+    if buckets:
+        from recordlake.sinks.bucketed import BucketedTable
+
+        stored = BucketedTable(spark, table, "user_key", buckets).read()
+    else:
+        stored = read_stored(spark, table)
     return stored.select("event_id", "user_key", "batch_file")
 
 
+def q_incremental_append_bucketed(spark, sf):
+    """I1 into a bucketed table: each micro-batch reads only its buckets; epochs are idempotent."""
+    return q_incremental_append(spark, sf, buckets=16)
+
+
 SQL_INCREMENTAL_APPEND = """
 WITH ev AS (SELECT event_id, CASE WHEN user_id % 7 = 0 THEN NULL ELSE user_id END AS user_key,
                    'batch_' || strftime(ts, '%Y%m%d') || '_000000.parquet' AS batch_file FROM events),
@@ -277,6 +287,7 @@ def queries():
         "q_csv_roundtrip": q_csv_roundtrip,
         "q_table_roundtrip": q_table_roundtrip,
         "q_incremental_append": q_incremental_append,
+        "q_incremental_append_bucketed": q_incremental_append_bucketed,
         "q_batched_progress": q_batched_progress,
         "q_upsert_bucketed": q_upsert_bucketed,
         "q_first_wins_bucketed": q_first_wins_bucketed,
@@ -292,6 +303,7 @@ def oracle_sql():
         "q_csv_roundtrip": SQL_CSV_ROUNDTRIP,
         "q_table_roundtrip": SQL_TABLE_ROUNDTRIP,
         "q_incremental_append": SQL_INCREMENTAL_APPEND,
+        "q_incremental_append_bucketed": SQL_INCREMENTAL_APPEND,
         "q_batched_progress": SQL_BATCHED_PROGRESS,
         "q_upsert_bucketed": SQL_UPSERT,
         "q_first_wins_bucketed": _sql_first_wins_bucketed(),

@@ -90,26 +90,32 @@ class BucketedTable:
     def _stage_path(self) -> str:
         return f"{shared_dir(self.spark)}/recordlake/staging/{uuid.uuid4().hex}"
 
-    def _mark(self, op: str, stage: str) -> None:
+    def _mark(self, op: str, stage: str, key: str | None = None) -> None:
         """Record a staged, not yet published write (``op`` is replace or append)."""
-        self.spark.createDataFrame([(f"{op}\t{stage}",)], "value string").coalesce(1) \
+        self.spark.createDataFrame([(f"{op}\t{stage}\t{key or ''}",)], "value string").coalesce(1) \
             .write.mode("overwrite").text(self._pending_path())
 
-    def _publish_append(self, stage: str) -> None:
+    def _publish_append(self, stage: str, key: str | None = None) -> None:
         for bucket_dir in fs.list_dirs(self.spark, stage):
             if bucket_dir.startswith(f"{BUCKET}="):
                 for name in fs.list_files(self.spark, f"{stage}/{bucket_dir}"):
                     fs.move(self.spark, f"{stage}/{bucket_dir}/{name}", f"{self.data}/{bucket_dir}")
         fs.touch(self.spark, f"{self.data}/_SUCCESS")  # the table exists once its first rows are in
+        if key:
+            fs.touch(self.spark, self._published_path(key))
         fs.delete(self.spark, self._pending_path())
 
     def _touched(self, df: DataFrame) -> list[int]:
         """Bucket ids of ``df``'s keys: at most ``buckets`` small integers (a proven bound)."""
         return sorted(r[0] for r in df.select(self.bucket_of().alias(BUCKET)).distinct().collect())
 
-    def append_new(self, batch: DataFrame, file_col: str | None = None):
+    def _published_path(self, key: str) -> str:
+        return f"{self.root}/_published/{key}"
+
+    def append_new(self, batch: DataFrame, file_col: str | None = None, idempotency_key: str | None = None):
         """Append the rows of ``batch`` whose key is not stored yet (J1), or with ``file_col``
-        the first-file-wins rows (J5); returns the Observation of appended rows.
+        the first-file-wins rows (J5); returns the Observation of appended rows, or None
+        when ``idempotency_key`` was already published (a replay: nothing is written).
 
         Only the stored buckets that the batch's keys fall into are read (key column only,
         static partition pruning), so a batch much smaller than the table reads a matching
@@ -119,6 +125,8 @@ class BucketedTable:
         from recordlake.operators.joins import append_first_wins, new_rows
 
         self._recover()
+        if idempotency_key and fs.exists(self.spark, self._published_path(idempotency_key)):
+            return None
         stored = None
         if self.exists():
             touched = self._touched(batch)
@@ -130,8 +138,8 @@ class BucketedTable:
         counted, obs = observe_count(rows, "append_new")
         stage = self._stage_path()
         self._clustered(counted).write.partitionBy(BUCKET).parquet(stage)
-        self._mark("append", stage)
-        self._publish_append(stage)
+        self._mark("append", stage, idempotency_key)
+        self._publish_append(stage, idempotency_key)
         return obs
 
     def _publish(self, stage: str) -> None:
@@ -142,9 +150,8 @@ class BucketedTable:
     def _recover(self) -> None:
         """Finish a publication that an earlier run started."""
         if fs.exists(self.spark, f"{self._pending_path()}/_SUCCESS"):
-            line = self.spark.read.text(self._pending_path()).first()[0]
-            op, _, stage = line.partition("\t")
-            if op == "append":
-                self._publish_append(stage)
+            fields = self.spark.read.text(self._pending_path()).first()[0].split("\t")
+            if fields[0] == "append":
+                self._publish_append(fields[1], fields[2] if len(fields) > 2 and fields[2] else None)
             else:
-                self._publish(stage or op)
+                self._publish(fields[1] if len(fields) > 1 else fields[0])

@@ -53,15 +53,31 @@ def append_micro_batch(batch: DataFrame, epoch_id: int, table_root: str, keys,
 
 def incremental_append(spark: SparkSession, source_dir: str, schema: T.StructType, table_root: str,
                        checkpoint: str, keys, file_col: str = "batch_file",
-                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+                       max_files_per_trigger: int | None = None, buckets: int | None = None) -> StreamingQuery:
     """Start I1 over the parquet files under ``source_dir`` and process what is there now
-    (``availableNow``); call ``awaitTermination()`` on the result."""
+    (``availableNow``); call ``awaitTermination()`` on the result.
+
+    With ``buckets``, the target is a ``BucketedTable``: each micro-batch reads only the
+    stored buckets of its own keys, and its epoch id is the idempotency key, so a replayed
+    micro-batch writes nothing.
+    """
+    if buckets:
+        from recordlake.sinks.bucketed import BucketedTable
+
+        table = BucketedTable(spark, table_root, keys, buckets)
+
+        def sink(df, epoch):
+            table.append_new(df, file_col, idempotency_key=f"epoch-{epoch}")
+    else:
+        def sink(df, epoch):
+            append_micro_batch(df, epoch, table_root, keys, file_col)
+
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir).withColumn(file_col, file_segment(F.col("_metadata.file_path")))
     return (stream.writeStream
-            .foreachBatch(lambda df, epoch: append_micro_batch(df, epoch, table_root, keys, file_col))
+            .foreachBatch(sink)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())

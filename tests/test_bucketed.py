@@ -82,3 +82,15 @@ def test_interrupted_append_is_finished(spark, tmp_dir):
     assert t.append_new(spark.createDataFrame([(4, "dup"), (5, "e")], "k long, v string")).get["rows"] == 1
     assert sorted(map(tuple, t.read().select("k", "v").collect())) == [
         (1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")]
+
+
+def test_replayed_epoch_after_crash_is_exactly_once(spark, tmp_dir):
+    t = BucketedTable(spark, f"{tmp_dir}/t", "k", buckets=8)
+    t.append_new(spark.createDataFrame([(1, "a")], "k long, v string"), idempotency_key="epoch-0")
+    stage = t._stage_path()
+    spark.createDataFrame([(2, "b")], "k long, v string").withColumn("kb", t.bucket_of()) \
+        .write.partitionBy("kb").parquet(stage)
+    t._mark("append", stage, "epoch-1")  # epoch 1 died after staging
+    replay = spark.createDataFrame([(2, "b")], "k long, v string")
+    assert t.append_new(replay, idempotency_key="epoch-1") is None
+    assert sorted(map(tuple, t.read().select("k", "v").collect())) == [(1, "a"), (2, "b")]
