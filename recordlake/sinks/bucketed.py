@@ -92,8 +92,7 @@ class BucketedTable:
 
     def _mark(self, op: str, stage: str, key: str | None = None) -> None:
         """Record a staged, not yet published write (``op`` is replace or append)."""
-        self.spark.createDataFrame([(f"{op}\t{stage}\t{key or ''}",)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(self._pending_path())
+        fs.write_text(self.spark, self._pending_path(), f"{op}\t{stage}\t{key or ''}")
 
     def _publish_append(self, stage: str, key: str | None = None) -> None:
         for bucket_dir in fs.list_dirs(self.spark, stage):
@@ -149,8 +148,9 @@ class BucketedTable:
 
     def _recover(self) -> None:
         """Finish a publication that an earlier run started."""
-        if fs.exists(self.spark, f"{self._pending_path()}/_SUCCESS"):
-            fields = self.spark.read.text(self._pending_path()).first()[0].split("\t")
+        pending = fs.read_text(self.spark, self._pending_path())
+        if pending:
+            fields = pending.split("\t")
             if fields[0] == "append":
                 self._publish_append(fields[1], fields[2] if len(fields) > 2 and fields[2] else None)
             else:

@@ -58,3 +58,37 @@ def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         fs.create(p, False).close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file atomically: to a temporary name, then renamed over ``path``."""
+    fs, p = _fs(spark, path)
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Contents of a small text file, or None when it does not exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()

@@ -44,7 +44,7 @@ def test_interrupted_publication_is_finished(spark, tmp_dir):
     stage = f"{tmp_dir}/stage"
     staged = spark.createDataFrame([(1, "z", 9.0)], S)
     staged.withColumn("kb", t.bucket_of()).write.partitionBy("kb").parquet(stage)
-    spark.createDataFrame([(stage,)], "s string").write.text(f"{t.root}/_pending")
+    t._mark("replace", stage)
     assert rows(t.read()) == [(1, "z", 9.0), (2, "y", 2.0)]
 
 
