@@ -1,0 +1,21 @@
+from recordlake.sources import fs
+
+
+def test_markers_and_moves(spark, tmp_dir):
+    p = f"{tmp_dir}/m/marker"
+    assert fs.read_text(spark, p) is None
+    fs.write_text(spark, p, "append\tstage\tepoch-1")
+    assert fs.read_text(spark, p) == "append\tstage\tepoch-1"
+    fs.write_text(spark, p, "replace\tother\t")  # overwritten as a whole
+    assert fs.read_text(spark, p) == "replace\tother\t"
+    assert not fs.exists(spark, f"{p}.tmp")
+
+    fs.touch(spark, f"{tmp_dir}/src/a.parquet")
+    fs.move(spark, f"{tmp_dir}/src/a.parquet", f"{tmp_dir}/dst/kb=1")
+    fs.move(spark, f"{tmp_dir}/src/a.parquet", f"{tmp_dir}/dst/kb=1")  # already moved: skipped
+    assert fs.list_files(spark, f"{tmp_dir}/dst/kb=1") == ["a.parquet"]
+    assert fs.list_files(spark, f"{tmp_dir}/src") == []
+    assert fs.list_dirs(spark, f"{tmp_dir}/dst") == ["kb=1"]
+    fs.delete(spark, f"{tmp_dir}/dst")
+    assert not fs.exists(spark, f"{tmp_dir}/dst")
+    fs.delete(spark, f"{tmp_dir}/dst")  # missing: no error
