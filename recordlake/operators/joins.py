@@ -36,9 +36,13 @@ def at_most(df: DataFrame, n: int) -> bool:
 
 
 def _small(df: DataFrame, ks: list[str], broadcast_limit: int | None) -> bool:
-    """The checked bound: ``df`` has at most the broadcast limit rows (0 disables)."""
+    """The checked bound: ``df`` has at most the broadcast limit rows (0 disables).
+
+    Counts rows, not keys (an upper bound on the distinct keys), over a constant column, so
+    the scan behind it reads no column data.
+    """
     limit = BROADCAST_KEYS_MAX if broadcast_limit is None else broadcast_limit
-    return bool(limit) and at_most(df.select(*ks), limit)
+    return bool(limit) and at_most(df.select(F.lit(1).alias("_rl_one")), limit)
 
 
 def stored_keys(stored: DataFrame, keys) -> DataFrame:
