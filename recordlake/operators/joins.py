@@ -103,8 +103,11 @@ def enrich_inner(df: DataFrame, registry: DataFrame, code: str,
                  dedupe_registry: bool = False) -> DataFrame:
     """Inner equi-join with the registry (J3): unresolved rows and null codes are left out.
 
-    A code listed twice in the registry multiplies rows, as in the source flow, unless
-    ``dedupe_registry`` keeps one entry per code (the greatest of each column).
+    The registry is expected to hold one entry per code; the flows keep it so (deduped when
+    created, resolved codes appended only when missing). That keeps the build side a plain
+    shuffle, which AQE can split under a hot code. A caller whose registry may repeat a
+    code passes ``dedupe_registry=True`` to reduce it to one entry per code (the greatest of
+    each column) first, so rows are never multiplied.
     """
     reg = registry
     if dedupe_registry:
