@@ -21,7 +21,7 @@ def test_unmatched_codes_reports_null_once(spark):
     assert rows(joins.unmatched_codes(df, reg, "code")) == [(None,), ("c1",)]
 
 
-def test_enrich_inner_drops_null_and_fans_out(spark):
+def test_enrich_inner_drops_null_codes_and_dedupes_on_request(spark):
     df = spark.createDataFrame([("p1", "c1"), ("p2", None), ("p3", "c9")], "pn string, code string")
     reg = spark.createDataFrame([("c1", "A"), ("c1", "B")], "code string, name string")
     assert rows(joins.enrich_inner(df, reg, "code"), "pn", "name") == [("p1", "A"), ("p1", "B")]
