@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
     """``mapInArrow`` with a function of one batch; a batch may give none."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -36,6 +37,69 @@ def map_arrow(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch | No
     return df.mapInArrow(each, schema)
 
 
+def map_groups(df: DataFrame, keys: list[str], run: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """``run`` once for each group of rows with equal ``keys``; a group must be of bounded size.
+
+    Rows are dealt by the keys and sorted in their partition, and groups are cut from the stream
+    of Arrow batches, so that many small groups cost little.
+    """
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        last = None
+
+        def done():
+            out = run(pa.concat_tables(held).combine_chunks()) if held else None
+            held.clear()
+            return out
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            change = np.zeros(t.num_rows, dtype=bool)
+            for k in keys:
+                v = np.asarray(batch.column(batch.schema.get_field_index(k)))
+                change[1:] |= v[1:] != v[:-1]
+            cuts = [0, *np.flatnonzero(change).tolist(), t.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                part = t.slice(lo, hi - lo)
+                now = tuple(part[k][0].as_py() for k in keys)
+                if now != last and (out := done()) is not None and out.num_rows:
+                    yield out
+                last = now
+                held.append(part)
+        if (out := done()) is not None and out.num_rows:
+            yield out
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(each, schema)
+
+
+#: Bits of the filter that bitmap_filter() sends to the executors (2 MB).
+FILTER_BITS = 1 << 24
+
+
+def bitmap_filter(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be in ``ids``, before a join that makes sure.
+
+    The filter is a bitmap of fixed size, whatever the number of ids: more ids only let more rows
+    pass. It keeps the other rows' texts out of the join's shuffle.
+    """
+    spark = df.sparkSession
+    bit = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(FILTER_BITS))
+    words = (ids.select(bit.alias("x")).groupBy(F.shiftright("x", 6).alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(x & 63 as int))")).alias("v")).toArrow())
+    bits = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    bits[np.asarray(words["w"], dtype=np.int64)] = np.asarray(words["v"]).view(np.uint64)
+    sent = spark.sparkContext.broadcast(bits)
+    slot = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(FILTER_BITS)).alias("__bit")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x = np.asarray(batch.column(batch.num_columns - 1)).astype(np.uint64)
+        hit = (sent.value[x >> np.uint64(6)] >> (x & np.uint64(63))) & np.uint64(1)
+        return pa.RecordBatch.from_arrays([c.filter(pa.array(hit == 1)) for c in batch.columns[:-1]], batch.schema.names[:-1])
+    return map_arrow(df.select("*", slot), run, df.schema)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of (a, b): one row (node, component) for each node with an edge.
 

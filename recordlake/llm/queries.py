@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordlake.llm.frames import table
 from recordlake.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
+from recordlake.llm.setsketch import near_duplicates
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(docs).select("doc_id", "source", "text", "n_lines", "n_removed")
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 #: The lines kept of ``documents``; also the first SQL step for the pipeline's stage.
 LINES_SQL = f"""
 WITH l AS (
@@ -41,7 +46,7 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_line_dedup": op3_line_dedup}
+    return {"op2_minhash_near_dedup": op2_minhash_near_dedup, "op3_line_dedup": op3_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
