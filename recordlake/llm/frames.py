@@ -26,14 +26,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
-    """``mapInArrow`` with a function of one batch; a batch may give none."""
+def map_arrow(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch | None | Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with a function of one batch, which may give none, one or several."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 out = run(batch)
-                if out is not None and out.num_rows:
-                    yield out
+                if isinstance(out, pa.RecordBatch) or out is None:
+                    out = [out] if out is not None else []
+                yield from (x for x in out if x.num_rows)
     return df.mapInArrow(each, schema)
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from recordlake.llm import bpe
 from recordlake.llm.frames import table
 from recordlake.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from recordlake.llm.setsketch import near_duplicates
@@ -20,6 +22,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 #: The lines kept of ``documents``; also the first SQL step for the pipeline's stage.
 LINES_SQL = f"""
 WITH l AS (
@@ -46,7 +52,8 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_minhash_near_dedup": op2_minhash_near_dedup, "op3_line_dedup": op3_line_dedup}
+    return {"op2_minhash_near_dedup": op2_minhash_near_dedup, "op3_line_dedup": op3_line_dedup,
+            "op4_bpe_codec": op4_bpe_codec}
 
 
 def oracle_sql() -> dict[str, str]:
