@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recordlake.llm import bpe
+from recordlake.llm import bpe, wavelet
 from recordlake.llm.frames import table
 from recordlake.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from recordlake.llm.setsketch import near_duplicates
+from recordlake.session import scratch_path
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,12 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "wavelet")
+    wavelet.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return wavelet.id_checksums(spark, path)
+
+
 #: The lines kept of ``documents``; also the first SQL step for the pipeline's stage.
 LINES_SQL = f"""
 WITH l AS (
@@ -53,7 +60,7 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op2_minhash_near_dedup": op2_minhash_near_dedup, "op3_line_dedup": op3_line_dedup,
-            "op4_bpe_codec": op4_bpe_codec}
+            "op4_bpe_codec": op4_bpe_codec, "op10_wavelet_ids": op10_wavelet_ids}
 
 
 def oracle_sql() -> dict[str, str]:
