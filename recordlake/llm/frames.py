@@ -79,9 +79,11 @@ def map_groups(df: DataFrame, keys: list[str], run: Callable[[pa.Table], pa.Reco
 FILTER_BITS = 1 << 24
 
 
-def bitmap_filter(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+def bitmap_filter(df: DataFrame, key: str, ids: DataFrame, name: str, keep: bool = True) -> DataFrame:
     """Rows of ``df`` whose ``key`` may be in ``ids``, before a join that makes sure.
 
+    With ``keep=False`` the other rows: those whose key is surely not in ``ids``.
+
     The filter is a bitmap of fixed size, whatever the number of ids: more ids only let more rows
     pass. It keeps the other rows' texts out of the join's shuffle.
     """
@@ -97,7 +99,7 @@ def bitmap_filter(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFra
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = np.asarray(batch.column(batch.num_columns - 1)).astype(np.uint64)
         hit = (sent.value[x >> np.uint64(6)] >> (x & np.uint64(63))) & np.uint64(1)
-        return pa.RecordBatch.from_arrays([c.filter(pa.array(hit == 1)) for c in batch.columns[:-1]], batch.schema.names[:-1])
+        return pa.RecordBatch.from_arrays([c.filter(pa.array((hit == 1) == keep)) for c in batch.columns[:-1]], batch.schema.names[:-1])
     return map_arrow(df.select("*", slot), run, df.schema)
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from recordlake.llm import bpe, wavelet
 from recordlake.llm.frames import table
 from recordlake.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
+from recordlake.llm.neighbours import nearest
 from recordlake.llm.setsketch import near_duplicates
+from recordlake.llm.tokencounts import count_tokens
 from recordlake.session import scratch_path
 
 
@@ -27,6 +29,15 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                        scratch_path(spark, "token-cache"))
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "wavelet")
     wavelet.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -58,10 +69,28 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 
+NEAREST_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op2_minhash_near_dedup": op2_minhash_near_dedup, "op3_line_dedup": op3_line_dedup,
-            "op4_bpe_codec": op4_bpe_codec, "op10_wavelet_ids": op10_wavelet_ids}
+            "op4_bpe_codec": op4_bpe_codec, "op7_token_counts": op7_token_counts,
+            "op9_nearest_neighbours": op9_nearest_neighbours, "op10_wavelet_ids": op10_wavelet_ids}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINES_SQL}
+    return {"op3_line_dedup": LINES_SQL, "op9_nearest_neighbours": NEAREST_SQL}
