@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from recordlake.llm import bpe, wavelet
+from recordlake.llm.decontaminate import contaminated
 from recordlake.llm.frames import table
 from recordlake.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from recordlake.llm.neighbours import nearest
@@ -29,6 +30,10 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
                         scratch_path(spark, "token-cache"))
@@ -69,12 +74,26 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 
+_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+_SHINGLES = """SELECT DISTINCT {id}, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+    ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT {id}, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i
+        FROM (SELECT {id}, {words} AS w FROM {table} WHERE text IS NOT NULL) WHERE len(w) > 0)"""
+CONTAINED_SQL = f"""
+WITH items AS ({_SHINGLES.format(id="item_id", words=_WORDS, table="benchmark")}),
+docs AS ({_SHINGLES.format(id="doc_id", words=_WORDS, table="documents")}),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM items GROUP BY 1),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM items JOIN docs USING (s) GROUP BY 1, 2)
+SELECT doc_id, item_id, n_shingles, n_shared FROM shared JOIN sizes USING (item_id)
+WHERE 100 * n_shared >= 80 * n_shingles
+"""
+
 NEAREST_SQL = """
 WITH v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
@@ -88,9 +107,10 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op2_minhash_near_dedup": op2_minhash_near_dedup, "op3_line_dedup": op3_line_dedup,
-            "op4_bpe_codec": op4_bpe_codec, "op7_token_counts": op7_token_counts,
+            "op4_bpe_codec": op4_bpe_codec, "op6_benchmark_decontamination": op6_benchmark_decontamination,
+            "op7_token_counts": op7_token_counts,
             "op9_nearest_neighbours": op9_nearest_neighbours, "op10_wavelet_ids": op10_wavelet_ids}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": LINES_SQL, "op9_nearest_neighbours": NEAREST_SQL}
+    return {"op3_line_dedup": LINES_SQL, "op6_benchmark_decontamination": CONTAINED_SQL, "op9_nearest_neighbours": NEAREST_SQL}
