@@ -14,6 +14,7 @@ from recordlake.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from recordlake.llm.neighbours import nearest
 from recordlake.llm.setsketch import near_duplicates
 from recordlake.llm.tokencounts import count_tokens
+from recordlake.llm.toxicity import scored
 from recordlake.session import scratch_path
 
 
@@ -39,6 +40,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         scratch_path(spark, "token-cache"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
@@ -109,7 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op2_minhash_near_dedup": op2_minhash_near_dedup, "op3_line_dedup": op3_line_dedup,
             "op4_bpe_codec": op4_bpe_codec, "op6_benchmark_decontamination": op6_benchmark_decontamination,
             "op7_token_counts": op7_token_counts,
-            "op9_nearest_neighbours": op9_nearest_neighbours, "op10_wavelet_ids": op10_wavelet_ids}
+            "op8_toxicity": op8_toxicity, "op9_nearest_neighbours": op9_nearest_neighbours, "op10_wavelet_ids": op10_wavelet_ids}
 
 
 def oracle_sql() -> dict[str, str]:

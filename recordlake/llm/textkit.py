@@ -35,8 +35,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
-_VALUE_LOWER = _VALUE.copy()
-_VALUE_LOWER[65:91] = _VALUE[97:123]
+VALUE_LOWER = _VALUE.copy()
+VALUE_LOWER[65:91] = _VALUE[97:123]
 
 
 class _Powers:
@@ -137,7 +137,7 @@ def words_of(texts: Texts, lower: bool = False) -> Words:
     end = np.flatnonzero(last) + 1
     before = np.searchsorted(start, at)
     text = np.repeat(np.arange(len(at) - 1), np.diff(before))
-    return Words(start, end, span_hashes(data, start, end, _VALUE_LOWER if lower else _VALUE), text, before)
+    return Words(start, end, span_hashes(data, start, end, VALUE_LOWER if lower else _VALUE), text, before)
 
 
 def runs(words: Words, k: int) -> np.ndarray:
