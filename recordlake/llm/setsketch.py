@@ -186,7 +186,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def band_keys(nodes: DataFrame, percent: int) -> DataFrame:
-    """(key, node) for each band of each sketch."""
+    """(key, node, band) for each band of each sketch."""
     count = bands(percent)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -198,8 +198,9 @@ def band_keys(nodes: DataFrame, percent: int) -> DataFrame:
                 h = mix(h ^ regs[:, c])
             keys[:, b] = h
         node = np.repeat(np.asarray(batch.column(0)), count)
-        return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(node)], ["key", "node"])
-    return map_arrow(nodes.select("node", "registers"), run, "key long, node long")
+        band = np.tile(np.arange(count, dtype=np.int32), len(regs))
+        return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(node), pa.array(band)], ["key", "node", "band"])
+    return map_arrow(nodes.select("node", "registers"), run, "key long, node long, band int")
 
 
 def _likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -240,7 +241,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
 
 
 def _rest_groups(members: DataFrame) -> DataFrame:
-    """Bucket members (key, node, comp) dealt to groups of bounded size.
+    """Bucket members (key, node, band, comp) dealt to groups of bounded size.
 
     A group has a kind: 0, all pairs of its rows; 1, pairs of a row of side 0 and one of side 1.
     Every pair of members of different components meets in exactly one group of the bucket.
@@ -265,13 +266,16 @@ def _rest_groups(members: DataFrame) -> DataFrame:
     small = F.array(group(0, F.lit(0), F.lit(0), 0))
     groups = (F.when(F.col("all") <= BLOCK, small).when(F.col("is_base"), base)
               .otherwise(F.concat(cross, own, others)))
-    return rows.select("key", "node", "comp", F.explode(groups).alias("g")).select("key", "g.*", "node", "comp")
+    return rows.select("key", "node", "band", "comp", F.explode(groups).alias("g")).select("key", "g.*", "node", "band", "comp")
 
 
 def _rest_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and may be linked."""
+    """Pairs (a, b) of different components that share a bucket and may be linked.
+
+    A pair that shares several buckets comes from that of its first band alone.
+    """
     def pairs(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        kind, side = rows["kind"][0].as_py(), np.asarray(rows["side"])
+        kind, side, band = rows["kind"][0].as_py(), np.asarray(rows["side"]), rows["band"][0].as_py()
         node, comp, n = (np.asarray(rows[c]) for c in ("node", "comp", "n"))
         regs = _matrix(rows["registers"])
         for x in range(len(node) - 1):
@@ -287,6 +291,9 @@ def _rest_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
                 ys = ys[few >= percent / 100 - (SLACK + 0.5) * math.sqrt(percent / 100 * (1 - percent / 100) / 96)]
             if len(ys):
                 ok = ys[likely(np.broadcast_to(regs[x], (len(ys), regs.shape[1])), regs[ys], np.full(len(ys), n[x]), n[ys], percent)]
+                if band and len(ok):
+                    before = (regs[ok, :band * ROWS] == regs[x, :band * ROWS]).reshape(len(ok), band, ROWS).all(axis=2).any(axis=1)
+                    ok = ok[~before]
                 yield np.minimum(node[x], node[ok]), np.maximum(node[x], node[ok])
 
     def run(rows: pa.Table) -> pa.RecordBatch | None:
@@ -326,8 +333,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     star = shared.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
     links = settle(verified(_likely_pairs(star, some, percent), texts, k, percent), "links")
     comps = components(links)
-    held = (shared.select("key", "node").join(comps, "node", "left")
-            .select("key", "node", F.coalesce("component", "node").alias("comp")))
+    held = (shared.select("key", "node", "band").join(comps, "node", "left")
+            .select("key", "node", "band", F.coalesce("component", "node").alias("comp")))
     rest = settle(_rest_pairs(settle(held, "held"), some, percent), "rest")
     more = verified(rest, texts, k, percent)
     same_id = member.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
