@@ -15,6 +15,7 @@ one of the three encodings.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,7 +36,9 @@ WINDOW = 48
 AGREE = 2
 #: Pieces up to this length are remembered, up to so many pieces and ids in a worker.
 REMEMBER = 64
-MOST = 400_000
+MOST = 300_000
+#: Bytes of new pieces put together in one call of the library.
+TOGETHER = 1 << 16
 
 _ASCII_SPACE = np.zeros(256, dtype=bool)
 _ASCII_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -163,7 +166,8 @@ class Codec:
         at = first[new]
         loose = (size[at] <= LONG) & _ASCII_SPACE[data[start[at]]] & (data[end[at] - 1] > 0x20) & (data[end[at] - 1] < 0x7F)
         together = at[loose]
-        got = np.array(self.plain(gather(data, start[together], size[together]).tobytes().decode()), dtype=np.int32)
+        slices = np.split(together, np.flatnonzero(np.diff(np.cumsum(size[together]) // TOGETHER)) + 1)
+        got = np.concatenate([np.array(self.plain(gather(data, start[s], size[s]).tobytes().decode()), dtype=np.int32) for s in slices])
         edges = np.searchsorted(np.cumsum(self.token_length[got]), np.cumsum(size[together])) + 1
         parts, lengths = [got], np.zeros(len(new), dtype=np.int64)
         lengths[loose] = np.diff(np.concatenate([[0], edges]))
@@ -252,8 +256,19 @@ def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> D
     return _appended(df, ids, to, make, StringType())
 
 
-def token_digests(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row of ``docs``, by way of ids and text."""
-    coded = decode(encode(docs.select("doc_id", "text"), path).select("doc_id", "ids"), path)
-    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+def token_digests(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row, from its ids and the text decoded from them.
+
+    What encode(), decode() and two digests give, made in one step, so that ids and texts stay in the task.
+    """
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        own = codec(path)
+        for t in texts_of(batch.column(1)):
+            ids, at = own.encode(t)
+            each = [ids[a:b] for a, b in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.first, len(t)), pa.array(np.diff(at)),
+                                              pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in each]),
+                                              pa.array([hashlib.sha256(own.decode(x).encode()).hexdigest() for x in each])],
+                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    named = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return map_arrow(named, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
