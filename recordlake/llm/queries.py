@@ -13,6 +13,7 @@ from recordlake.llm.frames import table
 from recordlake.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from recordlake.llm.neighbours import nearest
 from recordlake.llm.setsketch import near_duplicates
+from recordlake.llm.substrings import remove_repeats
 from recordlake.llm.tokencounts import count_tokens
 from recordlake.llm.toxicity import scored
 from recordlake.session import scratch_path
@@ -31,6 +32,10 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -112,7 +117,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op2_minhash_near_dedup": op2_minhash_near_dedup, "op3_line_dedup": op3_line_dedup,
-            "op4_bpe_codec": op4_bpe_codec, "op6_benchmark_decontamination": op6_benchmark_decontamination,
+            "op4_bpe_codec": op4_bpe_codec, "op5_substring_dedup": op5_substring_dedup,
+            "op6_benchmark_decontamination": op6_benchmark_decontamination,
             "op7_token_counts": op7_token_counts,
             "op8_toxicity": op8_toxicity, "op9_nearest_neighbours": op9_nearest_neighbours, "op10_wavelet_ids": op10_wavelet_ids}
 
