@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordlake.llm import bpe, wavelet
 from recordlake.llm.decontaminate import contaminated
+from recordlake.llm.extract import extract
 from recordlake.llm.frames import table
 from recordlake.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from recordlake.llm.neighbours import nearest
@@ -24,6 +25,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(docs).select("doc_id", "source", "text", "n_lines", "n_removed")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -116,8 +121,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_minhash_near_dedup": op2_minhash_near_dedup, "op3_line_dedup": op3_line_dedup,
-            "op4_bpe_codec": op4_bpe_codec, "op5_substring_dedup": op5_substring_dedup,
+    return {"op1_html_extraction": op1_html_extraction, "op2_minhash_near_dedup": op2_minhash_near_dedup,
+            "op3_line_dedup": op3_line_dedup, "op4_bpe_codec": op4_bpe_codec, "op5_substring_dedup": op5_substring_dedup,
             "op6_benchmark_decontamination": op6_benchmark_decontamination,
             "op7_token_counts": op7_token_counts,
             "op8_toxicity": op8_toxicity, "op9_nearest_neighbours": op9_nearest_neighbours, "op10_wavelet_ids": op10_wavelet_ids}
