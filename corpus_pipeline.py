@@ -1,25 +1,75 @@
-"""The training-text pipeline: STAGES applied in turn to ``documents``."""
+"""The training-text pipeline: STAGES applied in turn to ``documents``.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return the
+columns of ``documents``; the last returns each kept document's token ids. Texts are filtered where they are read:
+no stage shuffles the texts of all documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.llm.frames import settle, table
+from recordlake.llm import bpe, toxicity
+from recordlake.llm.decontaminate import drop_contaminated
+from recordlake.llm.frames import bitmap_filter, settle, table
 from recordlake.llm.lines import drop_boilerplate
+from recordlake.llm.setsketch import near_duplicates
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score as toxic go (op 8); the network is fitted to ``labels``, without the held-out ones."""
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select(*COLUMNS), net, to="toxic_score").where(F.col("toxic_score") < toxicity.THRESHOLD).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of each source go; every document stays, n_chars follows the new text."""
+    """Boilerplate lines of each source go (op 3); every document stays, n_chars follows the new text."""
     return drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays (op 2).
+
+    Groups are formed at a similarity of 0.8. Documents without words are in no group, and stay; so do
+    rows with a null id. Of rows that repeat an id one stays.
+    """
+    docs = docs.select(*COLUMNS)
+    marks = settle(near_duplicates(docs, percent=80).select("doc_id", "kept"), "marks").where("doc_id is not null")
+    gone = marks.where("not kept").select("doc_id").distinct()
+    repeated = marks.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    # only rows that share a bit with a removed or repeated id are shuffled
+    looked_at = gone.unionByName(repeated)
+    alone = bitmap_filter(docs, "doc_id", looked_at, "doc_id", keep=False)
+    unsure = bitmap_filter(docs, "doc_id", looked_at, "doc_id")
+    some = unsure.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return alone.unionByName(some).unionByName(unsure.where("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain an item of ``benchmark`` go (op 6)."""
+    return drop_contaminated(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens and ids (little-endian unsigned 32-bit integers) of each document (op 4)."""
+    rows = bpe.encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER)
+    return rows.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line dedup", line_dedup),
+    ("near dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("bpe", encode),
 ]
 
+#: A trained network decides the first stage, which SQL can't express; the tests compare each stage to brute force.
 ORACLE_SQL = None
 
 
