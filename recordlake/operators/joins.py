@@ -6,13 +6,13 @@ Null-key semantics differ per operator and are kept on purpose:
 * the inner join (``enrich_inner``) drops null codes;
 * ``attach_results`` and ``skip_seen`` match null with null (like a pandas merge / isin).
 
-All joins are equi-joins. The batch-vs-history joins (J1, J4, J5, P6) pick one of two plans
-by a checked size: when the batch has at most ``BROADCAST_KEYS_MAX`` key rows (counted with
-``limit(n + 1)``), its keys are broadcast into a semi join that cuts the history down to
-those keys, and that bounded remainder is broadcast back, so neither side is shuffled.
-Otherwise, like every other join here, Catalyst plans it: broadcast only under
-``spark.sql.autoBroadcastJoinThreshold`` (or when AQE measures a side small), else a
-sort-merge join whose oversized partitions (null or hot keys) AQE splits (see ``skew``).
+All joins are equi-joins without hints, one plan for every size. The batch-vs-history anti joins (J1, P6)
+read the history's key column alone and shuffle it once; both sides come straight from their
+shuffles, so AQE can split the partitions that null or hot keys make too large (see ``skew``) and
+turn a join whose history is small into a broadcast one. J5 reduces the batch to one row per key
+before it meets the history, so no key is hot there, and J4 cuts the results to the batch's keys
+before it reduces them. Catalyst and AQE broadcast a side where its bytes are under
+``spark.sql.autoBroadcastJoinThreshold``, never by a number of rows.
 """
 
 from __future__ import annotations
@@ -22,29 +22,11 @@ from pyspark.sql import functions as F
 
 from recordlake.operators.skew import any_null, null_safe_cond
 
-# Largest key set a batch-vs-history join broadcasts (the bound is checked, never assumed).
-BROADCAST_KEYS_MAX = 1_000_000
-
 
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; stops reading after ``n + 1`` rows."""
-    return df.limit(n + 1).count() <= n
-
-
-def _small(df: DataFrame, ks: list[str], broadcast_limit: int | None) -> bool:
-    """The checked bound: ``df`` has at most the broadcast limit rows (0 disables).
-
-    Counts rows, not keys (an upper bound on the distinct keys), over a constant column, so
-    the scan behind it reads no column data.
-    """
-    limit = BROADCAST_KEYS_MAX if broadcast_limit is None else broadcast_limit
-    return bool(limit) and at_most(df.select(F.lit(1).alias("_rl_one")), limit)
-
-
 def stored_keys(stored: DataFrame, keys) -> DataFrame:
     """Complete keys of a stored table: the build side of an anti or semi join.
 
@@ -56,37 +38,10 @@ def stored_keys(stored: DataFrame, keys) -> DataFrame:
     return stored.select(*ks).where(~any_null(ks))
 
 
-def restrict_to_keys(big: DataFrame, probe: DataFrame, keys, null_safe: bool) -> DataFrame:
-    """Rows of ``big`` whose key occurs in ``probe``; the probe's distinct keys are broadcast.
-
-    Callers check the probe's size first (``_small``), so the broadcast is bounded and
-    ``big`` is only scanned, never shuffled. ``null_safe`` lets a null key match a null key.
-    """
-    ks = _keys(keys)
-    pk = probe.select(*ks).distinct()
-    if not null_safe:
-        return big.join(F.broadcast(pk.where(~any_null(ks))), ks, "left_semi")
-    return big.alias("_big").join(F.broadcast(pk).alias("_pk"), null_safe_cond("_big", "_pk", ks), "left_semi")
-
-
-def anti_stored(rows: DataFrame, stored: DataFrame, keys, bound_rows: DataFrame | None = None,
-                broadcast_limit: int | None = None) -> DataFrame:
-    """``rows`` whose key is not in ``stored`` (null keys always kept).
-
-    ``bound_rows`` (default ``rows``) is what the size check counts. Within the bound, the
-    stored keys are cut to the keys of ``rows`` and broadcast into the anti join; beyond
-    it, a shuffle anti join against the stored key column.
-    """
-    ks = _keys(keys)
-    if _small(bound_rows if bound_rows is not None else rows, ks, broadcast_limit):
-        seen = restrict_to_keys(stored_keys(stored, ks), rows, ks, null_safe=False).distinct()
-        return rows.join(F.broadcast(seen), ks, "left_anti")
-    return rows.join(stored_keys(stored, ks), ks, "left_anti")
-
-
-def new_rows(batch: DataFrame, stored: DataFrame, keys, broadcast_limit: int | None = None) -> DataFrame:
+def new_rows(batch: DataFrame, stored: DataFrame, keys) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet (J1). Null-key rows always stay."""
-    return anti_stored(batch, stored, keys, broadcast_limit=broadcast_limit)
+    ks = _keys(keys)
+    return batch.join(stored_keys(stored, ks), ks, "left_anti")
 
 
 def unmatched_codes(df: DataFrame, registry: DataFrame, code: str,
@@ -106,78 +61,66 @@ def enrich_inner(df: DataFrame, registry: DataFrame, code: str,
     The registry is expected to hold one entry per code; the flows keep it so (deduped when
     created, resolved codes appended only when missing). That keeps the build side a plain
     shuffle, which AQE can split under a hot code. A caller whose registry may repeat a
-    code passes ``dedupe_registry=True`` to reduce it to one entry per code (the greatest of
-    each column) first, so rows are never multiplied.
+    code passes ``dedupe_registry=True`` to reduce it to one entry per code (the greatest row)
+    first, so rows are never multiplied.
     """
-    reg = registry
-    if dedupe_registry:
-        others = [c for c in registry.columns if c != code]
-        reg = registry.groupBy(code).agg(*[F.max(c).alias(c) for c in others])
-    return df.join(reg, code, "inner")
+    return df.join(dedupe_by_key(registry, code) if dedupe_registry else registry, code, "inner")
 
 
 def dedupe_by_key(results: DataFrame, keys) -> DataFrame:
-    """One row per key (null is one key): the greatest value of each other column."""
+    """One row per key (null is one key): the greatest row, compared column by column, nulls lowest."""
     ks = _keys(keys)
     others = [c for c in results.columns if c not in ks]
-    return results.groupBy(*ks).agg(*[F.max(c).alias(c) for c in others])
+    if not others:
+        return results.distinct()
+    best = results.groupBy(*ks).agg(F.max(F.struct(*[F.col(c) for c in others])).alias("_rl_row"))
+    return best.select(*[F.col(k) if k in ks else F.col(f"_rl_row.{k}").alias(k) for k in results.columns])
 
 
-def attach_results(batch: DataFrame, results: DataFrame, keys, broadcast_limit: int | None = None) -> DataFrame:
+def attach_results(batch: DataFrame, results: DataFrame, keys) -> DataFrame:
     """Left join of look-up results onto a batch, null matching null.
 
-    Results are first reduced to one row per key, so a key listed twice in the batch gets
-    its value once per batch row (no pairwise fan-out). A batch within the checked bound
-    only needs the results of its own keys: they are cut out of ``results`` by a broadcast
-    semi join and broadcast back, so neither the batch nor the results are shuffled.
+    Results are first reduced to one row per key (a row that some look-up produced), so a key
+    listed twice in the batch gets its value once per batch row (no pairwise fan-out). Only the
+    results of the batch's keys are reduced and joined.
     """
     ks = _keys(keys)
-    small = _small(batch, ks, broadcast_limit)
-    res = dedupe_by_key(restrict_to_keys(results, batch, ks, True) if small else results, ks)
+    wanted = batch.select(*ks).distinct().alias("_w")
+    res = dedupe_by_key(results.alias("_a").join(wanted, null_safe_cond("_a", "_w", ks), "left_semi"), ks)
     value_cols = [c for c in res.columns if c not in ks]
-    left = batch.alias("_b")
-    right = (F.broadcast(res) if small else res).alias("_r")
-    joined = left.join(right, null_safe_cond("_b", "_r", ks), "left")
+    joined = batch.alias("_b").join(res.alias("_r"), null_safe_cond("_b", "_r", ks), "left")
     return joined.select(*[F.col(f"_b.{c}") for c in batch.columns],
                          *[F.col(f"_r.{c}") for c in value_cols])
 
 
-def skip_seen(df: DataFrame, seen: DataFrame, keys, broadcast_limit: int | None = None) -> DataFrame:
-    """Rows whose key is not in ``seen``, null matching null (P6, like ``~isin``).
-
-    Within the checked bound, ``seen`` is first cut to the keys of ``df`` (broadcast semi
-    join) and the bounded remainder broadcast into the anti join.
-    """
+def skip_seen(df: DataFrame, seen: DataFrame, keys) -> DataFrame:
+    """Rows whose key is not in ``seen``, null matching null (P6, like ``~isin``)."""
     ks = _keys(keys)
-    if _small(df, ks, broadcast_limit):
-        seen_side = F.broadcast(restrict_to_keys(seen.select(*ks), df, ks, True).distinct()).alias("_s")
-    else:
-        seen_side = seen.select(*ks).alias("_s")
-    left = df.alias("_d")
-    return (left.join(seen_side, null_safe_cond("_d", "_s", ks), "left_anti")
+    return (df.alias("_d").join(seen.select(*ks).alias("_s"), null_safe_cond("_d", "_s", ks), "left_anti")
             .select(*[F.col(f"_d.{c}") for c in df.columns]))
 
 
-def append_first_wins(batch: DataFrame, stored: DataFrame | None, keys, file_col: str,
-                      broadcast_limit: int | None = None) -> DataFrame:
+def append_first_wins(batch: DataFrame, stored: DataFrame | None, keys, file_col: str) -> DataFrame:
     """Rows to append when files are appended one by one in name order (J5), in one job.
 
     A row survives when its key is null, or its key is not stored and its file is the
     first file (by name) holding that key. Two rows of one key in that first file both
     survive, as with a file-by-file anti-join. Per-key work is a combinable ``min``
-    (pre-aggregated map-side), checked against the stored keys (``anti_stored``), then one
-    join on ``(key, file)`` brings the verdict back.
+    (pre-aggregated map-side), checked against the stored keys, then one
+    join on ``(key, file)`` brings the verdict back. Null-key rows are certain to survive and
+    take no part in the joins.
     """
     from recordlake.operators.setops import first_file
 
     ks = _keys(keys)
-    firsts = first_file(batch.where(~any_null(ks)), ks, file_col)
+    keyed = batch.where(~any_null(ks))
+    firsts = first_file(keyed, ks, file_col)
     if stored is not None:
-        firsts = anti_stored(firsts, stored, ks, bound_rows=batch, broadcast_limit=broadcast_limit)
-    verdict = firsts.withColumn("_rl_first", F.lit(True))
-    joined = batch.join(verdict, ks + [file_col], "left")
-    return (joined.where(F.col("_rl_first") | any_null(ks))
-            .select(*batch.columns))
+        # the history is cut to the batch's keys first: a small batch is broadcast to it
+        seen = stored_keys(stored, ks).join(firsts.select(*ks), ks, "left_semi")
+        firsts = firsts.join(seen, ks, "left_anti")
+    kept = keyed.join(firsts, ks + [file_col], "left_semi").select(*batch.columns)
+    return kept.unionByName(batch.where(any_null(ks)))
 
 
 def resolve_and_grow_registry(pending: DataFrame, registry: DataFrame, lookups, code: str,

@@ -80,11 +80,12 @@ _STREAM_SCHEMA = T.StructType([
 ])
 
 
-def q_incremental_append(spark, sf, buckets: int | None = None):
+def q_incremental_append(spark, sf):
+    """Two streams with checkpoints of their own feed one table: three drops, then the same files and one more."""
     from recordlake.plans import derive as D
 
     base = scratch_path(spark, "stream")
-    src, table, ckpt = f"{base}/drops", f"{base}/events_table", f"{base}/checkpoint"
+    src, table = f"{base}/drops", f"{base}/events_table"
     ev = _t(spark, sf, "events").select(
         "event_id", "ts", F.expr(D.EVENT_USER_KEY).alias("user_key"),
         F.concat(F.lit(S.BATCH_PREFIX), S.format_date("ts", "day"), F.lit("_000000" + S.BATCH_SUFFIX)).alias("b"))
@@ -92,21 +93,12 @@ def q_incremental_append(spark, sf, buckets: int | None = None):
     drops = [F.col("ts") < F.lit(cuts[0]).cast("timestamp_ntz"),
              (F.col("ts") >= F.lit(cuts[0]).cast("timestamp_ntz")) & (F.col("ts") < F.lit(cuts[1]).cast("timestamp_ntz")),
              F.col("ts") >= F.lit(cuts[1]).cast("timestamp_ntz")]
-    for cond in drops:
-        ev.where(cond).write.mode("append").partitionBy("b").parquet(src)
-        incremental_append(spark, src, _STREAM_SCHEMA, table, ckpt, "user_key", buckets=buckets).awaitTermination()
-    if buckets:
-        from recordlake.sinks.bucketed import BucketedTable
-
-        stored = BucketedTable(spark, table, "user_key", buckets).read()
-    else:
-        stored = read_stored(spark, table)
-    return stored.select("event_id", "user_key", "batch_file")
-
-
-def q_incremental_append_bucketed(spark, sf):
-    """I1 into a bucketed table: each micro-batch reads only its buckets; epochs are idempotent."""
-    return q_incremental_append(spark, sf, buckets=16)
+    for n, cond in enumerate(drops):
+        # the last drop arrives in another folder, read by a second stream
+        own = f"{src}_{n // 2}"
+        ev.where(cond).write.mode("append").partitionBy("b").parquet(own)
+        incremental_append(spark, own, _STREAM_SCHEMA, table, f"{base}/checkpoint_{n // 2}", "user_key").awaitTermination()
+    return read_stored(spark, table).select("event_id", "user_key", "batch_file")
 
 
 SQL_INCREMENTAL_APPEND = """
@@ -119,8 +111,8 @@ WHERE f.user_key IS NOT NULL OR ev.user_key IS NULL"""
 
 
 # ---------------------------------------------------------------------------------------
-# Batches of 50 persisted in units of 100 batches; a first run stops after 100
-# batches (the failure), the re-run writes only the missing units
+# Batches of 50 persisted in several commits; a first run stops after 103 batches (the
+# failure), the re-run writes only the missing ones
 
 def q_batched_progress(spark, sf):
     from recordlake.streaming.incremental import read_progress, write_progress
@@ -128,9 +120,9 @@ def q_batched_progress(spark, sf):
     root = f"{scratch_path(spark, 'progress')}/orders"
     orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
     numbered = project.number_batches(orders, "o_orderkey", 50)
-    first = write_progress(numbered.where(F.col("batch_id") < 100), root, batches_per_dir=100)
-    second = write_progress(numbered, root, batches_per_dir=100)
-    if first.get["rows"] + second.get["rows"] != numbered.count():
+    first = write_progress(numbered.where(F.col("batch_id") < 103), root, commits=4)
+    second = write_progress(numbered, root, commits=4)
+    if first + second != numbered.count():
         raise RuntimeError("re-run did not write exactly the missing batches")
     return read_progress(spark, root).groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("o_orderkey").alias("first_key"))
@@ -142,46 +134,6 @@ SELECT batch_id, count(*) AS n_rows, min(o_orderkey) AS first_key FROM (
 GROUP BY batch_id"""
 
 
-# ---------------------------------------------------------------------------------------
-# K6 on a bucketed keyed table: the same order versions as q_upsert, rewriting only the
-# buckets the changes touch
-
-def q_upsert_bucketed(spark, sf):
-    from recordlake.plans.queries import _order_versions
-    from recordlake.sinks.bucketed import BucketedTable
-
-    base, changes = _order_versions(spark, sf)
-    table = BucketedTable(spark, f"{scratch_path(spark, 'bucketed')}/orders", "o_orderkey", buckets=16)
-    table.create(base)
-    table.upsert(changes, order_col="seq")
-    return table.read().select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-
-
-# ---------------------------------------------------------------------------------------
-# J5 into a bucketed table: day 1 appended, then the other days first-file-wins, the stored
-# side of the check reading only the buckets of the batch's keys
-
-def q_first_wins_bucketed(spark, sf):
-    from recordlake.plans.queries import _event_batches
-    from recordlake.sinks.bucketed import BucketedTable
-
-    ev = _event_batches(spark, sf)
-    cut = F.lit("2024-01-02").cast("timestamp_ntz")
-    table = BucketedTable(spark, f"{scratch_path(spark, 'first-wins')}/events", "user_key", buckets=16)
-    table.append_new(ev.where(F.col("ts") < cut), "batch_file")
-    table.append_new(ev.where(F.col("ts") >= cut), "batch_file")
-    return table.read().select("event_id", "user_key", "batch_file")
-
-
-def _sql_first_wins_bucketed() -> str:
-    from recordlake.plans.queries import _SQL_EVENT_BATCHES, SQL_FIRST_WINS
-
-    return f"""
-SELECT event_id, user_key, batch_file FROM ({_SQL_EVENT_BATCHES}) WHERE ts < TIMESTAMP '2024-01-02'
-UNION ALL
-SELECT * FROM ({SQL_FIRST_WINS})"""
-
-
 # ---------------------------------------------------------------------------------------
 # Readings CSV -> daily mean -> upsert, loaded twice (the second load changes 5 days)
 
@@ -287,26 +239,18 @@ def queries():
         "q_csv_roundtrip": q_csv_roundtrip,
         "q_table_roundtrip": q_table_roundtrip,
         "q_incremental_append": q_incremental_append,
-        "q_incremental_append_bucketed": q_incremental_append_bucketed,
         "q_batched_progress": q_batched_progress,
-        "q_upsert_bucketed": q_upsert_bucketed,
-        "q_first_wins_bucketed": q_first_wins_bucketed,
         "q_weather_flow": q_weather_flow,
         "q_permit_flow": q_permit_flow,
     }
 
 
 def oracle_sql():
-    from recordlake.plans.queries import SQL_UPSERT
-
     return {
         "q_csv_roundtrip": SQL_CSV_ROUNDTRIP,
         "q_table_roundtrip": SQL_TABLE_ROUNDTRIP,
         "q_incremental_append": SQL_INCREMENTAL_APPEND,
-        "q_incremental_append_bucketed": SQL_INCREMENTAL_APPEND,
         "q_batched_progress": SQL_BATCHED_PROGRESS,
-        "q_upsert_bucketed": SQL_UPSERT,
-        "q_first_wins_bucketed": _sql_first_wins_bucketed(),
         "q_weather_flow": SQL_WEATHER_FLOW,
         "q_permit_flow": SQL_PERMIT_FLOW,
     }

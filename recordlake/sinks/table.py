@@ -57,6 +57,11 @@ class LakeTable:
     def _committed(self, path: str) -> bool:
         return fs.exists(self.spark, f"{path}/_SUCCESS")
 
+    def _committed_parts(self, version: int) -> list[str]:
+        """Paths of the committed parts of a version, from one listing of the markers."""
+        marks = fs.glob(self.spark, f"{self._data_path(version)}/a=*/_SUCCESS")
+        return [m.rsplit("/", 1)[0] for m in marks]
+
     def current_version(self) -> int | None:
         """Latest version whose first part is committed, or None when the table does not exist."""
         for v in reversed(self._versions()):
@@ -78,8 +83,7 @@ class LakeTable:
         v = self.current_version()
         if v is None:
             raise FileNotFoundError(f"table {self.root} does not exist")
-        parts = [self._part_path(v, m) for m in self._parts(v)]
-        return self.spark.read.parquet(*[p for p in parts if self._committed(p)])
+        return self.spark.read.parquet(*self._committed_parts(v))
 
     def read_or_empty(self, schema: T.StructType) -> DataFrame:
         """The table, or an empty frame of ``schema`` when it does not exist yet (Q4)."""
@@ -124,12 +128,13 @@ class LakeTable:
                update_cols: list[str] | None = None) -> tuple[Observation, DataFrame]:
         """K6/K7: keyed upsert into a new version; returns (row count, rejected null keys).
 
-        A missing table is created from the deduped changes.
+        A missing table is created from the deduped changes, by the same rules: with
+        ``update_cols`` the other columns come from the first change of a key.
         """
         if not self.exists():
             cols = [c for c in changes.columns if c != order_col]
             empty = self.spark.createDataFrame([], changes.select(*cols).schema)
-            result, rejected = upsert_frames(empty, changes, keys, order_col, None)
+            result, rejected = upsert_frames(empty, changes, keys, order_col, update_cols)
         else:
             result, rejected = upsert_frames(self.read(), changes, keys, order_col, update_cols)
         return self.create_or_replace(result), rejected

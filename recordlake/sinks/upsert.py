@@ -12,8 +12,9 @@ Semantics (rows applied in ``order_col`` order, as sequential ``INSERT ... ON CO
   the update columns from its last;
 * changes with a null key are rejected into a separate frame (a primary key refuses them).
 
-Plan shape: a change set within the checked bound is broadcast and the base is only
-scanned; a larger one meets the base in a single full outer join.
+A null ``order_col`` is the lowest order: such a change loses to any ordered one of its key.
+
+Plan shape: one full outer join of the base and the deduped changes.
 """
 
 from __future__ import annotations
@@ -46,7 +47,9 @@ def last_per_key(changes: DataFrame, keys, order_col: str | None,
     upd = F.struct(*[F.col(c) for c in update_cols]) if update_cols else F.struct(F.lit(0).alias("_"))
     ins = F.struct(*[F.col(c) for c in insert_cols]) if insert_cols else F.struct(F.lit(0).alias("_"))
     if order_col:
-        aggs = [F.max_by(upd, F.col(order_col)).alias("_rl_u"), F.min_by(ins, F.col(order_col)).alias("_rl_i")]
+        # max_by skips null orders, so the order is a struct whose first field puts them lowest
+        at = F.struct(F.col(order_col).isNotNull().alias("has"), F.col(order_col).alias("at"))
+        aggs = [F.max_by(upd, at).alias("_rl_u"), F.min_by(ins, at).alias("_rl_i")]
     else:
         aggs = [F.max(upd).alias("_rl_u"), F.min(ins).alias("_rl_i")]
     grouped = changes.groupBy(*ks).agg(*aggs)
@@ -57,19 +60,11 @@ def last_per_key(changes: DataFrame, keys, order_col: str | None,
 
 
 def upsert_frames(base: DataFrame, changes: DataFrame, keys, order_col: str | None = None,
-                  update_cols: list[str] | None = None,
-                  broadcast_limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+                  update_cols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Next table version after applying ``changes`` to ``base``; ``(result, rejected)``.
 
     ``update_cols=None`` updates every non-key column (K6); a list updates only those (K7).
-
-    Two plans, chosen by a checked size of the change set (``joins.BROADCAST_KEYS_MAX`` rows by
-    default): within it, the deduped changes are broadcast into a left join with the base, and
-    new keys are found from the (equally bounded) matched keys, so the base is only scanned;
-    beyond it, one full outer join on the key, each side shuffled once.
     """
-    from recordlake.operators.joins import _small
-
     ks = _keys(keys)
     columns = base.columns
     value_cols = [c for c in columns if c not in ks]
@@ -79,16 +74,6 @@ def upsert_frames(base: DataFrame, changes: DataFrame, keys, order_col: str | No
     last = last_per_key(valid.select(*ks, *upd, *ins, *([order_col] if order_col else [])),
                         ks, order_col, upd, ins)
     typed = [F.col(c).cast(base.schema[c].dataType).alias(c) for c in columns]
-    if _small(valid, ks, broadcast_limit):
-        marked = F.broadcast(last.select(*ks, *[F.col(c).alias(f"_rl_new_{c}") for c in upd],
-                                         F.lit(True).alias("_rl_hit")))
-        stored = base.join(marked, ks, "left").select(
-            *[F.col(k) for k in ks],
-            *[(F.when(F.col("_rl_hit"), F.col(f"_rl_new_{c}")).otherwise(F.col(c)) if c in upd else F.col(c)).alias(c)
-              for c in value_cols])
-        matched = base.select(*ks).join(F.broadcast(last.select(*ks)), ks, "left_semi").distinct()
-        inserts = last.join(F.broadcast(matched), ks, "left_anti")
-        return stored.select(*typed).unionByName(inserts.select(*typed)), rejected
     old = base.select(*ks, *[F.col(c).alias(f"_rl_old_{c}") for c in value_cols], F.lit(True).alias("_rl_base"))
     new = last.select(*ks, *[F.col(c).alias(f"_rl_new_{c}") for c in value_cols], F.lit(True).alias("_rl_hit"))
     j = old.join(new, ks, "full")

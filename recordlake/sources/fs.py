@@ -40,55 +40,8 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()]
 
 
-def move(spark: SparkSession, src: str, dst_dir: str) -> None:
-    """Move the file ``src`` into the directory ``dst_dir`` (created when missing); a file
-    that was already moved (absent at ``src``) is skipped, so a repeated move is harmless."""
-    sc = spark.sparkContext
-    fs, s = _fs(spark, src)
-    if not fs.exists(s):
-        return
-    d = sc._jvm.org.apache.hadoop.fs.Path(dst_dir)
-    fs.mkdirs(d)
-    if not fs.rename(s, sc._jvm.org.apache.hadoop.fs.Path(d, s.getName())):
-        raise OSError(f"could not move {src} to {dst_dir}")
-
-
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty file at ``path`` when it does not exist (a marker)."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        fs.create(p, False).close()
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file atomically: to a temporary name, then renamed over ``path``."""
-    fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not write {path}")
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """Contents of a small text file, or None when it does not exist."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Full paths that match a Hadoop glob (one listing; empty when nothing matches)."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return sorted(st.getPath().toString() for st in found) if found is not None else []

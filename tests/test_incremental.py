@@ -44,30 +44,62 @@ def test_micro_batch_replay_is_idempotent(spark, tmp_dir):
     table = f"{tmp_dir}/t"
     b0 = spark.createDataFrame([("a", 1, "f1"), (None, 2, "f1")], "k string, v long, batch_file string")
     b1 = spark.createDataFrame([("a", 3, "f2"), ("b", 4, "f2"), (None, 5, "f2")], "k string, v long, batch_file string")
-    append_micro_batch(b0, 0, table, "k")
-    append_micro_batch(b1, 1, table, "k")
+    append_micro_batch(b0, 0, table, "k", stream_id="s1")
+    append_micro_batch(b1, 1, table, "k", stream_id="s1")
     once = rows(read_stored(spark, table), "k", "v")
-    append_micro_batch(b1, 1, table, "k")  # replay
+    append_micro_batch(b1, 1, table, "k", stream_id="s1")  # replay
     assert rows(read_stored(spark, table), "k", "v") == once == [(None, 2), (None, 5), ("a", 1), ("b", 4)]
 
 
-def test_write_progress_resumes(spark, tmp_dir):
-    df = number_batches(spark.range(0, 230).withColumnRenamed("id", "k"), "k", 50)
-    first = write_progress(df.where(F.col("batch_id") < 2), f"{tmp_dir}/p")
-    assert first.get["rows"] == 100
-    second = write_progress(df, f"{tmp_dir}/p")
-    assert second.get["rows"] == 130
-    assert read_progress(spark, f"{tmp_dir}/p").count() == 230
-    # a run that died during its commit is ignored, and its units are written again
+def test_two_checkpoints_and_a_lost_one_keep_all_rows(spark, tmp_dir):
+    table = f"{tmp_dir}/table"
+    drop(spark, f"{tmp_dir}/one", 1, [("a", 1), ("b", 2), (None, 0)])
+    drop(spark, f"{tmp_dir}/two", 2, [("c", 3), ("d", 4), ("a", 9)])
+    incremental_append(spark, f"{tmp_dir}/one", SCHEMA, table, f"{tmp_dir}/ck1", "k").awaitTermination()
+    incremental_append(spark, f"{tmp_dir}/two", SCHEMA, table, f"{tmp_dir}/ck2", "k").awaitTermination()
+    want = [(None, 0), ("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    assert rows(read_stored(spark, table), "k", "v") == want
+    # the checkpoint of the first is lost, its old file is gone, and a new one has arrived
+    drop(spark, f"{tmp_dir}/one-later", 3, [("b", 7), ("e", 5)])
+    incremental_append(spark, f"{tmp_dir}/one-later", SCHEMA, table, f"{tmp_dir}/ck3", "k").awaitTermination()
+    assert rows(read_stored(spark, table), "k", "v") == [*want, ("e", 5)]
+
+
+def test_unfinished_epoch_is_invisible(spark, tmp_dir):
     import os
 
     from recordlake.session import local_path
-    again = write_progress(df.where(F.col("batch_id") == 4), f"{tmp_dir}/q")
-    assert again.get["rows"] == 30
-    run = [d for d in os.listdir(local_path(f"{tmp_dir}/q")) if d.startswith("run=")][0]
-    os.remove(os.path.join(local_path(f"{tmp_dir}/q"), run, "_SUCCESS"))
-    assert read_progress(spark, f"{tmp_dir}/q") is None
-    assert write_progress(df, f"{tmp_dir}/q").get["rows"] == 230
+
+    table = f"{tmp_dir}/t"
+    schema = "k string, v long, batch_file string"
+    append_micro_batch(spark.createDataFrame([("a", 1, "f1")], schema), 0, table, "k", stream_id="s1")
+    late = spark.createDataFrame([("b", 2, "f2"), ("a", 3, "f2")], schema)
+    append_micro_batch(late, 1, table, "k", stream_id="s1")
+    os.remove(os.path.join(local_path(table), "stream=s1", "batch_id=1", "_SUCCESS"))
+    assert rows(read_stored(spark, table), "k", "v") == [("a", 1)]
+    append_micro_batch(late, 1, table, "k", stream_id="s1")
+    assert rows(read_stored(spark, table), "k", "v") == [("a", 1), ("b", 2)]
+
+
+def test_write_progress_resumes_inside_a_range(spark, tmp_dir):
+    df = number_batches(spark.range(0, 500).withColumnRenamed("id", "k"), "k", 50)
+    assert write_progress(df.where(F.col("batch_id") < 3), f"{tmp_dir}/p", commits=2) == 150
+    assert write_progress(df, f"{tmp_dir}/p", commits=2) == 350
+    assert write_progress(df, f"{tmp_dir}/p") == 0
+    got = read_progress(spark, f"{tmp_dir}/p")
+    assert sorted((r.k, r.batch_id) for r in got.collect()) == [(i, i // 50) for i in range(500)]
+
+
+def test_write_progress_keeps_what_a_failed_run_committed(spark, tmp_dir):
+    import pytest
+
+    df = number_batches(spark.range(0, 500).withColumnRenamed("id", "k"), "k", 50)
+    broken = df.withColumn("k", F.when(F.col("batch_id") == 7, F.raise_error(F.lit("look-up failed"))).otherwise(F.col("k")).cast("long"))
+    with pytest.raises(Exception, match="look-up failed"):
+        write_progress(broken, f"{tmp_dir}/q", commits=5)
+    assert sorted(r.k for r in read_progress(spark, f"{tmp_dir}/q").collect()) == list(range(300))
+    assert write_progress(df, f"{tmp_dir}/q") == 200
+    assert sorted(r.k for r in read_progress(spark, f"{tmp_dir}/q").collect()) == list(range(500))
 
 
 def test_first_wins_null_keys_skewed(spark):
@@ -85,22 +117,3 @@ def test_first_wins_null_keys_skewed(spark):
     first_hot = out.where(F.col("k") == "hot").agg(F.min("batch_file"), F.max("batch_file")).first()
     assert first_hot[0] == first_hot[1]
     assert dt is not None
-
-
-def test_stream_into_bucketed_table(spark, tmp_dir):
-    """I1 with a bucketed target equals the one-pass result; a replayed epoch writes nothing."""
-    from recordlake.sinks.bucketed import BucketedTable
-
-    src, root, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/bt", f"{tmp_dir}/ckpt"
-    drops = [{1: [("a", 1), ("b", 2), (None, 3)], 2: [("a", 4), ("c", 5)]},
-             {3: [("c", 6), ("d", 7), ("d", 8), (None, 9)]}]
-    for d in drops:
-        for day, data in d.items():
-            drop(spark, src, day, data)
-        incremental_append(spark, src, SCHEMA, root, ckpt, "k", buckets=8).awaitTermination()
-    t = BucketedTable(spark, root, "k", 8)
-    got = rows(t.read(), "k", "v")
-    assert got == [(None, 3), (None, 9), ("a", 1), ("b", 2), ("c", 5), ("d", 7), ("d", 8)]
-    replay = spark.createDataFrame([("z", 99, "batch_20240109_000000.parquet")], "k string, v long, batch_file string")
-    assert t.append_new(replay, "batch_file", idempotency_key="epoch-0") is None
-    assert rows(t.read(), "k", "v") == got

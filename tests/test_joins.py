@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -63,7 +65,7 @@ def test_skewed_null_and_hot_keys_are_split(spark):
             F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("hot"))
             .otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"))
         stored = spark.range(0, 100).select((F.col("id") * 3 + 2).cast("string").alias("k"))
-        out = joins.new_rows(batch, stored, "k", broadcast_limit=0)
+        out = joins.new_rows(batch, stored, "k")
         assert out.count() == n - 100
         out.collect()
         assert "skew=true" in plan_text(out, "simple")
@@ -113,44 +115,65 @@ def test_resolve_and_grow_registry(spark):
     assert rows(enriched, "pn", "name") == [("p1", "One"), ("p2", "Two"), ("p5", "Two")]
 
 
-def test_anti_join_plans_agree(spark):
-    """The broadcast plan (small batch) and the shuffle plan give the same rows."""
+@pytest.fixture(params=["-1", "10MB"])
+def threshold(spark, request):
+    """Every test that takes it runs with broadcasts off and on."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_no_forced_broadcast_and_no_single_partition(spark):
+    """Catalyst alone decides on broadcasts, and no row limit gathers rows in one task."""
     from conftest import plan_text
 
-    rnd = random.Random(3)
-    batch = spark.createDataFrame([(rnd.choice(["a", "b", "c", "d", None]), i, f"f{i % 3}") for i in range(60)], SCHEMA)
-    stored = spark.createDataFrame([("a", 0, "x"), ("a", 1, "x"), ("c", 2, "x"), (None, 3, "x")], SCHEMA)
-    small = joins.new_rows(batch, stored, "k")
-    large = joins.new_rows(batch, stored, "k", broadcast_limit=10)
-    assert rows(small) == rows(large)
-    assert "BroadcastExchange" in plan_text(small)
-    assert rows(joins.append_first_wins(batch, stored, "k", "file")) == \
-        rows(joins.append_first_wins(batch, stored, "k", "file", broadcast_limit=10))
+    from recordlake.sinks.upsert import upsert_frames
+
+    batch = spark.range(100).select(F.col("id").alias("k"), F.lit("f").alias("file"))
+    stored = spark.range(50).select(F.col("id").alias("k"), F.lit("s").alias("file"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = [joins.new_rows(batch, stored, "k"), joins.attach_results(batch, stored.withColumnRenamed("file", "x"), "k"),
+                  joins.append_first_wins(batch, stored, "k", "file"), joins.skip_seen(batch, stored, "k"),
+                  upsert_frames(stored, batch, "k")[0], upsert_frames(stored, batch, "k", update_cols=[])[0]]
+        for f in frames:
+            txt = plan_text(f, "simple")
+            assert "Broadcast" not in txt and "SinglePartition" not in txt
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_results_are_rows_that_a_look_up_gave(spark, threshold):
+    batch = spark.createDataFrame([("p1",), ("p1",), (None,), ("p3",)], "k string")
+    results = spark.createDataFrame([("p1", "L1", "ok"), ("p1", "L0", "zz"), (None, None, "x"), (None, "L9", None), ("p2", "L2", "no")],
+                                    "k string, lic string, status string")
+    assert rows(joins.attach_results(batch, results, "k")) == [
+        (None, "L9", None), ("p1", "L1", "ok"), ("p1", "L1", "ok"), ("p3", None, None)]
+    reg = spark.createDataFrame([("p1", "A", "z"), ("p1", "B", "a")], "k string, name string, city string")
+    assert rows(joins.enrich_inner(batch, reg, "k", dedupe_registry=True)) == [("p1", "B", "a"), ("p1", "B", "a")]
 
 
-def test_new_rows_and_seen_partition_the_batch(spark):
-    """new rows + rows whose key is stored = the whole batch, for both plans."""
+def test_new_rows_and_seen_partition_the_batch(spark, threshold):
+    """new rows + rows whose key is stored = the whole batch."""
     rnd = random.Random(11)
-    for limit in (None, 5):
+    for _ in range(2):
         data = [(rnd.choice(["a", "b", "c", "d", "e", None]), i, "f") for i in range(80)]
         batch = spark.createDataFrame(data, SCHEMA)
         stored = spark.createDataFrame([(k, 0, "s") for k in rnd.sample(["a", "b", "c", "x", None], 3)], SCHEMA)
-        new = joins.new_rows(batch, stored, "k", broadcast_limit=limit)
+        new = joins.new_rows(batch, stored, "k")
         seen = batch.join(stored.select("k").where("k IS NOT NULL"), "k", "left_semi")
         assert rows(new.unionByName(seen)) == rows(batch)
 
 
-def test_null_safe_joins_plans_agree(spark):
-    """attach_results and skip_seen: the bounded broadcast plan equals the shuffle plan."""
+def test_skip_seen_matches_null_with_null(spark, threshold):
     rnd = random.Random(21)
-    batch = spark.createDataFrame([(i, rnd.choice(["a", "b", "c", None])) for i in range(40)], "id long, k string")
-    results = spark.createDataFrame([(rnd.choice(["a", "b", "z", None]), f"L{i}") for i in range(30)],
-                                    "k string, lic string")
-    assert rows(joins.attach_results(batch, results, "k")) == \
-        rows(joins.attach_results(batch, results, "k", broadcast_limit=0))
+    data = [(i, rnd.choice(["a", "b", "c", None])) for i in range(40)]
+    batch = spark.createDataFrame(data, "id long, k string")
     for seen_keys in (["a", None], ["b", "z"], []):
         seen = spark.createDataFrame([(k,) for k in seen_keys], "k string")
-        assert rows(joins.skip_seen(batch, seen, "k")) == rows(joins.skip_seen(batch, seen, "k", broadcast_limit=0))
+        assert sorted(r.id for r in joins.skip_seen(batch, seen, "k").collect()) == [i for i, k in data if k not in seen_keys]
 
 
 def test_session_keeps_skew_settings(spark):
@@ -164,8 +187,8 @@ def test_session_keeps_skew_settings(spark):
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
-def test_composite_keys_both_plans(spark):
-    """Two-column keys with null parts: the anti joins, J5 and null-safe joins, both plans."""
+def test_composite_keys(spark, threshold):
+    """Two-column keys with null parts: the anti joins and J5."""
     rnd = random.Random(99)
     sch = "k1 string, k2 long, v long, file string"
     pick = lambda: (rnd.choice(["a", "b", None]), rnd.choice([1, 2, None]))
@@ -173,13 +196,10 @@ def test_composite_keys_both_plans(spark):
     batch = spark.createDataFrame(data, sch)
     stored = spark.createDataFrame([(*pick(), 0, "s") for _ in range(6)], sch)
     ks = ["k1", "k2"]
-    for fn in (lambda lim: joins.new_rows(batch, stored, ks, broadcast_limit=lim),
-               lambda lim: joins.append_first_wins(batch, stored, ks, "file", broadcast_limit=lim),
-               lambda lim: joins.skip_seen(batch, stored, ks, broadcast_limit=lim),
-               lambda lim: joins.attach_results(batch.select("k1", "k2", "v"),
-                                                stored.select("k1", "k2", F.col("v").alias("w")), ks,
-                                                broadcast_limit=lim)):
-        assert rows(fn(None)) == rows(fn(0))
+    seen = {(r[0], r[1]) for r in stored.collect()}
+    whole = {k for k in seen if None not in k}
+    assert sorted(r.v for r in joins.new_rows(batch, stored, ks).collect()) == [r[2] for r in data if (r[0], r[1]) not in whole]
+    assert sorted(r.v for r in joins.skip_seen(batch, stored, ks).collect()) == [r[2] for r in data if (r[0], r[1]) not in seen]
     # J5 against the file-by-file loop, composite key (a key with a null part never matches)
     files = {}
     for k1, k2, v, f in data:
