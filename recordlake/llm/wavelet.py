@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordlake.llm import bpe
-from recordlake.llm.frames import map_arrow
+from recordlake.llm.frames import map_arrow, settle
 from recordlake.llm.textkit import texts_of
 
 #: Ids from which a block ends; one document is never cut.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 STRIDE = 512
 MAGIC = b"WVM1"
 END_ID = 0
@@ -217,12 +217,13 @@ def blocks(spark: SparkSession, path: str) -> DataFrame:
     Offsets come from sums by shard and then inside each shard; neither holds more than
     a few integers for each shard or block.
     """
-    rows = spark.read.parquet(path)
+    rows = spark.read.schema(SCHEMA).parquet(path)
     shards = rows.groupBy("shard").agg(F.sum("n").alias("all"))
     before = shards.select("shard", (F.sum("all").over(Window.orderBy("shard")) - F.col("all")).alias("ahead"))
     inside = Window.partitionBy("shard").orderBy("block")
     at = rows.select("shard", "block", (F.sum("n").over(inside) - F.col("n")).alias("inner")).join(before, "shard")
-    at = at.select("shard", "block", (F.col("inner") + F.col("ahead")).alias("first"))
+    # written first, so that its size is known: a small table is broadcast, and no block is shuffled
+    at = settle(at.select("shard", "block", (F.col("inner") + F.col("ahead")).alias("first")), "offsets")
     return rows.join(at, ["shard", "block"])
 
 
