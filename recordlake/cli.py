@@ -25,10 +25,13 @@ def _append(spark, a) -> dict:
     from recordlake.operators.joins import append_first_wins
     from recordlake.operators.project import canonical_names
     from recordlake.sinks.table import LakeTable
-    from recordlake.sources.files import scan_batches_for
+    from recordlake.plans.flows import RECORD_COLUMNS
+    from recordlake.sources.files import has_batches, scan_batches_for
 
     table = LakeTable(spark, a.table)
-    batch = canonical_names(scan_batches_for(spark, a.batch_dir, a.run_date))
+    if not has_batches(spark, a.batch_dir, a.run_date):  # a day without batches is a normal day
+        return {"appended": 0}
+    batch = canonical_names(scan_batches_for(spark, a.batch_dir, a.run_date), RECORD_COLUMNS)
     stored = table.read() if table.exists() else None
     new = append_first_wins(batch, stored, a.key, "batch_file").drop("batch_file")
     return {"appended": table.create_if_missing_or_append(new).get["rows"]}

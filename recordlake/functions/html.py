@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from recordlake.functions.scalars import clean_text, first_segment
+from recordlake.functions.scalars import clean_text
 
 # Where the permit page holds the licence and the registry page the name.
 LICENSE_LABEL = "License Number:"
@@ -29,19 +29,34 @@ def _escape(text: str) -> str:
     return r"\s+".join(parts)
 
 
+def class_pattern(css_class: str) -> str:
+    """A ``class`` attribute that contains ``css_class``, quoted either way or not at all."""
+    return r"class\s*=\s*[\"']?[^\"'>]*" + _escape(css_class)
+
+
 def label_value_pattern(label: str = LICENSE_LABEL, css_class: str = LABEL_CLASS) -> str:
-    """``<div class="..C..">  <span> LABEL </span></div> <div ...> ... <span>VALUE</span>``."""
-    return (r'(?s)<div[^>]*class="[^"]*' + _escape(css_class) + r'[^"]*"[^>]*>\s*'
-            r"<span[^>]*>\s*" + _escape(label) + r"\s*</span>\s*</div>\s*"
-            r"<div[^>]*>.*?<span[^>]*>(.*?)</span>")
+    """``<div class="..C..">  <span> LABEL </span></div> <div ...>CELL</div>``: the cell beside the label."""
+    return (r"(?is)<div[^>]*\b" + class_pattern(css_class) + r"[^>]*>\s*"
+            r"<span[^>]*>\s*" + _escape(label) + r"\s*</span>\s*</div\s*>\s*"
+            r"<div[^>]*>(.*?)</div\s*>")
+
+
+SPAN_PATTERN = r"(?is)<span[^>]*>(.*?)</span\s*>"
+BREAK_PATTERN = r"(?i)<br\b[^>]*>"
+#: From the first line break on.
+AFTER_BREAK = r"(?is)<br\b[^>]*>.*$"
+#: The references that captured cells hold, in the order in which they are replaced; others stay as they are.
+REFERENCES = [(r"(?i)&(?:nbsp|#160|#xa0);", "\u00a0"), ("(?i)&lt;", "<"), ("(?i)&gt;", ">"), (r"(?i)&(?:quot|#34);", '"'),
+              (r"(?i)&(?:apos|#39|#x27);", "'"), ("(?i)&amp;", "&")]
 
 
 def element_pattern(tag: str, elem_id: str | None = None) -> str:
-    """Inner HTML of the first ``<tag>`` (with ``id="elem_id"`` when given)."""
+    """Inner HTML of the first ``<tag>`` (with the id ``elem_id`` when given), in any case and quoting."""
     t = _escape(tag)
     if elem_id:
-        return r"(?s)<" + t + r'\b[^>]*\bid="' + _escape(elem_id) + r'"[^>]*>(.*?)</' + t + ">"
-    return r"(?s)<" + t + r"\b[^>]*>(.*?)</" + t + ">"
+        i = _escape(elem_id)
+        return (r"(?is)<" + t + r"\b[^>]*\bid\s*=\s*(?:\"" + i + r"\"|'" + i + "'|" + i + r")(?:\s[^>]*)?>(.*?)</" + t + r"\s*>")
+    return r"(?is)<" + t + r"\b[^>]*>(.*?)</" + t + r"\s*>"
 
 
 def _group_or_null(html: Column, pattern: str) -> Column:
@@ -50,17 +65,26 @@ def _group_or_null(html: Column, pattern: str) -> Column:
     return F.when(whole.isNotNull(), F.regexp_extract(whole, pattern, 1))
 
 
+def inner_text(c: Column) -> Column:
+    """Text of a piece of HTML: a line break is a new line, other tags go, references are decoded."""
+    out = F.regexp_replace(F.regexp_replace(c, BREAK_PATTERN, "\n"), "<[^>]*>", "")
+    for pattern, text in REFERENCES:
+        out = F.regexp_replace(out, pattern, text)
+    return out
+
+
 def extract_label_value(html, label: str = LICENSE_LABEL, css_class: str = LABEL_CLASS) -> Column:
-    """Value next to a label (H1), white space stripped; null when the label is absent."""
+    """Text of the cell beside a label (H1), white space stripped; null when the label is absent or
+    the cell holds no value."""
     h = F.col(html) if isinstance(html, str) else html
-    return clean_text(_group_or_null(h, label_value_pattern(label, css_class)))
+    cell = _group_or_null(h, label_value_pattern(label, css_class))
+    return clean_text(inner_text(_group_or_null(cell, SPAN_PATTERN)))
 
 
-def extract_first_line(html, tag: str = NAME_TAG, elem_id: str | None = NAME_ID,
-                       sep: str = "<br>") -> Column:
-    """Inner HTML of an element up to the first ``<br>``, stripped (H2); null when absent."""
+def extract_first_line(html, tag: str = NAME_TAG, elem_id: str | None = NAME_ID) -> Column:
+    """Inner HTML of an element up to the first line break in any form, stripped (H2); null when absent."""
     h = F.col(html) if isinstance(html, str) else html
-    return clean_text(first_segment(_group_or_null(h, element_pattern(tag, elem_id)), sep))
+    return clean_text(F.regexp_replace(_group_or_null(h, element_pattern(tag, elem_id)), AFTER_BREAK, ""))
 
 
 def has_section(html, tag: str, elem_id: str | None = None) -> Column:
@@ -70,4 +94,4 @@ def has_section(html, tag: str, elem_id: str | None = None) -> Column:
 
 def has_class(html, css_class: str) -> Column:
     h = F.col(html) if isinstance(html, str) else html
-    return h.rlike(r'class="[^"]*' + _escape(css_class))
+    return h.rlike("(?i)" + class_pattern(css_class))

@@ -47,22 +47,24 @@ def _grab(text: Column, rule: str) -> Column:
 
 
 def detail_columns(text: Column) -> dict[str, Column]:
-    """The six raw detail columns (before validation) for a text column."""
+    """The six raw detail columns (before validation) for a text column, and ``unreadable``: names of
+    columns whose text is no value of their type (a number out of range), separated by commas."""
     t = F.coalesce(text, F.lit(""))
     without_storage = F.regexp_replace(t, RULES["storage_phrase"], " ")
-    system_size = _grab(without_storage, "system_size").cast("double")
-    module_watts = _grab(t, "module_watts").cast("int")
-    module_count = F.coalesce(_grab(t, "module_count"), _grab(t, "module_count_listed")).cast("int")
+    system_size = _grab(without_storage, "system_size").try_cast("double")
+    module_watts = _grab(t, "module_watts").try_cast("int")
+    count_text = F.coalesce(_grab(t, "module_count"), _grab(t, "module_count_listed"))
+    module_count = count_text.try_cast("int")
     module_brand = _grab(t, "module_brand")
-    n_batt = _grab(t, "battery_count").cast("double")
-    each = _grab(t, "battery_each").cast("double")
-    paren = F.coalesce(_grab(t, "battery_count_paren").cast("double"), F.lit(1.0))
-    size_one = _grab(t, "battery_size").cast("double")
+    n_batt = _grab(t, "battery_count").try_cast("double")
+    each = _grab(t, "battery_each").try_cast("double")
+    paren = F.coalesce(_grab(t, "battery_count_paren").try_cast("double"), F.lit(1.0))
+    size_one = _grab(t, "battery_size").try_cast("double")
     storage_size = F.when(n_batt.isNotNull() & each.isNotNull(), n_batt * each) \
         .otherwise(paren * size_one)
     permit_type = (F.when(t.rlike(RULES["ground"]), F.lit("Ground Mount"))
                    .when(t.rlike(RULES["roof"]), F.lit("Roof Mount"))
-                   .when(storage_size.isNotNull() & system_size.isNull() & module_count.isNull(),
+                   .when(storage_size.isNotNull() & system_size.isNull() & count_text.isNull(),
                          F.lit("Storage only")))
     return {
         "system_size": system_size,
@@ -71,4 +73,5 @@ def detail_columns(text: Column) -> dict[str, Column]:
         "module_watts": module_watts,
         "module_count": module_count,
         "module_brand": module_brand,
+        "unreadable": F.when(count_text.isNotNull() & module_count.isNull(), F.lit("module_count")).otherwise(F.lit("")),
     }

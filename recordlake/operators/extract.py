@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordlake.functions.textrules import PERMIT_TYPES, RULES, WATTS_MAX, WATTS_MIN, detail_columns
+from recordlake.functions.textrules import PERMIT_TYPES, WATTS_MAX, WATTS_MIN, detail_columns
 from recordlake.operators.joins import new_rows
 
 DETAILS_SCHEMA = T.StructType([
@@ -21,21 +20,24 @@ DETAILS_SCHEMA = T.StructType([
     T.StructField("module_count", T.IntegerType()),
     T.StructField("module_brand", T.StringType()),
 ])
+UNREADABLE = "unreadable"
 DETAIL_NAMES = [f.name for f in DETAILS_SCHEMA.fields]
 
 
 def validate_details(df: DataFrame) -> DataFrame:
     """Range and enum checks (X3): an invalid value becomes null and is named in
-    ``violations`` (one bad field never fails the batch)."""
+    ``violations`` (one bad field never fails the batch), after the names in the column
+    ``unreadable``, which goes."""
     watts_bad = F.col("module_watts").isNotNull() & ~F.col("module_watts").between(WATTS_MIN, WATTS_MAX)
     type_bad = F.col("permit_type").isNotNull() & ~F.col("permit_type").isin(*PERMIT_TYPES)
     # names of the failed checks; built without higher-order functions so the projection
     # stays inside whole-stage codegen
-    failed = F.concat_ws(",", F.when(watts_bad, F.lit("module_watts")), F.when(type_bad, F.lit("permit_type")))
+    failed = F.concat_ws(",", F.when(F.col(UNREADABLE) != F.lit(""), F.col(UNREADABLE)), F.when(watts_bad, F.lit("module_watts")), F.when(type_bad, F.lit("permit_type")))
     violations = F.when(failed == F.lit(""), F.array().cast("array<string>")).otherwise(F.split(failed, ","))
     return (df.withColumn("violations", violations)
               .withColumn("module_watts", F.when(watts_bad, F.lit(None)).otherwise(F.col("module_watts")))
-              .withColumn("permit_type", F.when(type_bad, F.lit(None)).otherwise(F.col("permit_type"))))
+              .withColumn("permit_type", F.when(type_bad, F.lit(None)).otherwise(F.col("permit_type")))
+              .drop(UNREADABLE))
 
 
 def extract_details(df: DataFrame, text_col: str, keep: list[str] | None = None) -> DataFrame:
@@ -46,29 +48,40 @@ def extract_details(df: DataFrame, text_col: str, keep: list[str] | None = None)
     """
     cols = detail_columns(F.col(text_col))
     kept = keep if keep is not None else [c for c in df.columns if c != text_col]
-    out = df.select(*kept, *[cols[n].alias(n) for n in DETAIL_NAMES])
+    out = df.select(*kept, *[cols[n].alias(n) for n in [*DETAIL_NAMES, UNREADABLE]])
     return validate_details(out)
 
 
 BatchFn = Callable[[list], list]
 
 
-def _typed(values: list, dt: T.DataType) -> pd.Series:
-    if isinstance(dt, T.IntegerType):
-        return pd.array([None if v is None else int(v) for v in values], dtype="Int32")
-    if isinstance(dt, T.DoubleType):
-        return pd.array([None if v is None else float(v) for v in values], dtype="Float64")
-    return pd.array([None if v is None else str(v) for v in values], dtype=object)
+INT_MAX = 2**31 - 1
+
+
+def _typed(values: list, dt: T.DataType) -> tuple[list, list[bool]]:
+    """Values of a column's type, and which of them can't be read as one (they become null)."""
+    out, bad = [], []
+    for v in values:
+        try:
+            x = None if v is None else int(v) if isinstance(dt, T.IntegerType) else float(v) if isinstance(dt, T.DoubleType) else str(v)
+        except (TypeError, ValueError, OverflowError):
+            x = None
+        if isinstance(dt, T.IntegerType) and x is not None and not -INT_MAX - 1 <= x <= INT_MAX:
+            x = None
+        out.append(x)
+        bad.append(v is not None and x is None)
+    return out, bad
 
 
 def extract_with(df: DataFrame, key_col: str, text_col: str, fn: BatchFn) -> DataFrame:
     """Batch-inference hook (X2): ``fn(list of texts) -> list of dicts`` with the detail
     fields, run per Arrow batch with ``mapInPandas``; each row keeps its key (P4).
 
-    Any batch model plugs in here; results then get the X3 checks.
+    Any batch model plugs in here; results then get the X3 checks. A value that is none of its
+    column's type becomes null and is named in ``violations``.
     """
     key_field = df.schema[key_col]
-    out_schema = T.StructType([T.StructField(key_col, key_field.dataType, True), *DETAILS_SCHEMA.fields])
+    out_schema = T.StructType([T.StructField(key_col, key_field.dataType, True), *DETAILS_SCHEMA.fields, T.StructField(UNREADABLE, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -77,60 +90,19 @@ def extract_with(df: DataFrame, key_col: str, text_col: str, fn: BatchFn) -> Dat
             if len(recs) != len(texts):
                 raise ValueError(f"batch function returned {len(recs)} records for {len(texts)} texts")
             out = pd.DataFrame({key_col: pdf[key_col].values})
+            names = [[] for _ in recs]
             for f in DETAILS_SCHEMA.fields:
-                out[f.name] = _typed([(r or {}).get(f.name) for r in recs], f.dataType)
+                values, bad = _typed([(r or {}).get(f.name) for r in recs], f.dataType)
+                kind = {T.IntegerType: "Int32", T.DoubleType: "Float64"}.get(type(f.dataType), object)
+                out[f.name] = pd.array(values, dtype=kind)
+                for own, b in zip(names, bad):
+                    own += [f.name] if b else []
+            out[UNREADABLE] = [",".join(x) for x in names]
             yield out
 
     return validate_details(df.select(key_col, text_col).mapInPandas(run, out_schema))
 
 
-_COMPILED: dict = {}
-
-
-def python_rules(texts: list) -> list[dict]:
-    """The X1 rule set written as a plain batch function, for ``extract_with``."""
-    if not _COMPILED:
-        _COMPILED.update({k: re.compile(v) for k, v in RULES.items()})
-    rx = _COMPILED
-
-    def grab(name: str, s: str):
-        m = rx[name].search(s)
-        return m.group(1) if m and m.group(1) != "" else None
-
-    out = []
-    for text in texts:
-        t = text or ""
-        without = rx["storage_phrase"].sub(" ", t)
-        size = grab("system_size", without)
-        watts = grab("module_watts", t)
-        count = grab("module_count", t) or grab("module_count_listed", t)
-        brand = grab("module_brand", t)
-        n_batt, each = grab("battery_count", t), grab("battery_each", t)
-        if n_batt is not None and each is not None:
-            storage = float(n_batt) * float(each)
-        else:
-            one = grab("battery_size", t)
-            paren = grab("battery_count_paren", t)
-            storage = None if one is None else float(paren or 1) * float(one)
-        if rx["ground"].search(t):
-            ptype = "Ground Mount"
-        elif rx["roof"].search(t):
-            ptype = "Roof Mount"
-        elif storage is not None and size is None and count is None:
-            ptype = "Storage only"
-        else:
-            ptype = None
-        out.append({
-            "system_size": None if size is None else float(size),
-            "permit_type": ptype,
-            "storage_size": storage,
-            "module_watts": None if watts is None else int(watts),
-            "module_count": None if count is None else int(count),
-            "module_brand": brand,
-        })
-    return out
-
-
 def extract_new(results: DataFrame, extracted: DataFrame | None, key_col: str, text_col: str,
                 fn: BatchFn | None = None) -> DataFrame:
     """Details for records not extracted yet (X4): anti-join on the key, then X1 (or the

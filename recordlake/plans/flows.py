@@ -65,10 +65,12 @@ SEARCH_USAGE = "Residential"
 SEARCH_TYPE = "Solar Array"
 BATCH_SIZE = 50
 
-RESUME_SCHEMA = T.StructType([
-    T.StructField("permit_number", T.StringType()),
-    T.StructField("license_no", T.StringType()),
+# The header of a resume file.
+RESUME_FILE = T.StructType([
+    T.StructField("Permit Number", T.StringType()),
+    T.StructField("Installer Number", T.StringType()),
 ])
+FILE_ROW = "file_row"
 
 
 @dataclass
@@ -82,9 +84,12 @@ class PermitFlowResult:
 
 
 def load_record_list(spark: SparkSession, csv_path: str, run_date: str) -> DataFrame:
-    """The previous month's residential solar records, canonical names."""
+    """The previous month's residential solar records, canonical names.
+
+    ``file_row`` ascends in file order (a unique key, as a permit may be listed twice on one day).
+    """
     raw = project.drop_unnamed(scan_csv_dates(spark, csv_path, "Date"))
-    records = project.canonical_names(raw, RECORD_COLUMNS)
+    records = project.canonical_names(raw, RECORD_COLUMNS).withColumn(FILE_ROW, F.monotonically_increasing_id())
     start, end = previous_month_range(F.lit(run_date).cast("date"))
     return project.search_records(records, "date", start, end,
                                   {"usage": SEARCH_USAGE, "permit_type": SEARCH_TYPE})
@@ -108,10 +113,11 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
 
     # 1. record list, positional batches of 50 cut before seen records are removed
     records = load_record_list(spark, record_csv, run_date)
-    numbered = project.number_batches(records, ["date", "permit_number"], BATCH_SIZE, "batch_seq")
+    numbered = project.number_batches(records, FILE_ROW, BATCH_SIZE, "batch_seq").drop(FILE_ROW)
     # results of earlier runs: the resume file (if any) and the stored output table
-    prior = scan_optional(spark, resume_csv, RESUME_SCHEMA) if resume_csv else \
-        spark.createDataFrame([], RESUME_SCHEMA)
+    resumed = scan_optional(spark, resume_csv, RESUME_FILE) if resume_csv else spark.createDataFrame([], RESUME_FILE)
+    resumed = project.rename(resumed, {"Permit Number": "permit_number", "Installer Number": "license_no"})
+    prior = resumed
     if permit_results.exists():
         prior = prior.unionByName(permit_results.read().select("permit_number", "license_no"))
     todo = resume(numbered, prior, "permit_number")
@@ -128,8 +134,8 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
         counts, F.count_if(F.col("license_no").isNull()).alias("missing"), F.count(F.lit(1)).alias("total"))
     write_batch(written, batch_dir, stamp)
     missing, total = counts.get["missing"], counts.get["total"]
-    if resume_csv or permit_results.exists():
-        earlier = aggs.missing_report(prior, "license_no").first()
+    if resume_csv:  # the report covers this run and what it resumed, not the stored history
+        earlier = aggs.missing_report(resumed, "license_no").first()
         missing, total = missing + earlier["missing"], total + earlier["total"]
     reports["missing"] = {"missing": missing, "total": total, "missing_ratio": missing / total if total else None}
     scanned = scan_batches_for(spark, batch_dir, run_date.replace("-", ""))
@@ -153,7 +159,9 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
 
     def look_up(missing: DataFrame) -> DataFrame:
         # captured registry pages of the missing licences only, then the name extraction (H5)
-        found = pages.code_to_name(registry_pages.join(missing, "license_no", "left_semi"), "license_no")
+        # (evaluated once: the report, the registry and the enrichment read the checkpoint)
+        missing = missing.checkpoint(eager=True)
+        found = pages.code_to_name(registry_pages.join(missing, "license_no", "left_semi"), "license_no").checkpoint(eager=True)
         looked_up["codes"], looked_up["found"] = missing, found
         return found.select("license_no", "business_name")
 

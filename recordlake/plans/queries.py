@@ -16,10 +16,10 @@ from recordlake.functions import html as H
 from recordlake.functions import scalars as S
 from recordlake.functions.textrules import PERMIT_TYPES, RULES, WATTS_MAX, WATTS_MIN
 from recordlake.operators import aggs, joins, pages, project, setops
-from recordlake.operators.extract import extract_details, extract_with, python_rules
+from recordlake.operators.extract import extract_details, extract_with
 from recordlake.plans import derive as D
 from recordlake.sinks.upsert import upsert_frames
-from recordlake.sources.files import scan_table
+from recordlake.sources.files import scan_pages, scan_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,18 +111,22 @@ FROM lineitem l JOIN grown g ON l.l_suppkey = g.code GROUP BY 1, 2"""
 
 # Look-up results attached to a batch, null key matching null key
 def q_attach_results(spark, sf):
+    # every look-up was made twice, with different outcomes: one whole outcome is attached
     batch = _t(spark, sf, "orders").select("o_orderkey", F.expr(D.ORDER_PERMIT_KEY).alias("permit_number"))
-    results = _t(spark, sf, "customer").select(F.expr(D.CUSTOMER_PERMIT_KEY).alias("permit_number"),
-                                               F.expr(D.CUSTOMER_LICENSE).alias("license_no"))
+    once = _t(spark, sf, "customer").select(F.expr(D.CUSTOMER_PERMIT_KEY).alias("permit_number"),
+                                            F.expr(D.CUSTOMER_LICENSE).alias("license_no"), F.col("c_mktsegment").alias("note"))
+    again = once.select("permit_number", F.reverse("license_no").alias("license_no"), F.lower("note").alias("note"))
+    results = once.unionByName(again)
     return joins.attach_results(batch, results, "permit_number")
 
 
 SQL_ATTACH_RESULTS = f"""
 WITH b AS (SELECT o_orderkey, {D.ORDER_PERMIT_KEY} AS permit_number FROM orders),
-r AS (SELECT {D.CUSTOMER_PERMIT_KEY} AS permit_number, {D.CUSTOMER_LICENSE} AS license_no FROM customer),
-rd AS (SELECT permit_number, max(license_no) AS license_no FROM r GROUP BY permit_number)
-SELECT b.o_orderkey, b.permit_number, rd.license_no
-FROM b LEFT JOIN rd ON b.permit_number IS NOT DISTINCT FROM rd.permit_number"""
+once AS (SELECT {D.CUSTOMER_PERMIT_KEY} AS permit_number, {D.CUSTOMER_LICENSE} AS license_no, c_mktsegment AS note FROM customer),
+r AS (SELECT * FROM once UNION ALL SELECT permit_number, reverse(license_no) AS license_no, lower(note) AS note FROM once),
+rd AS (SELECT *, row_number() OVER (PARTITION BY permit_number ORDER BY license_no DESC NULLS LAST, note DESC NULLS LAST) AS rn FROM r)
+SELECT b.o_orderkey, b.permit_number, rd.license_no, rd.note
+FROM b LEFT JOIN rd ON b.permit_number IS NOT DISTINCT FROM rd.permit_number AND rd.rn = 1"""
 
 
 def _event_batches(spark, sf) -> DataFrame:
@@ -282,15 +286,17 @@ def q_upsert_last_wins(spark, sf):
                                             F.col("c_acctbal").alias("value"))
     changes = _t(spark, sf, "events").select(
         "user_id", "event_type",
-        F.expr("CASE WHEN event_type = 'error' THEN NULL ELSE value END").alias("value"), "event_id")
-    return upsert_frames(base, changes, "user_id", order_col="event_id")[0]
+        F.expr("CASE WHEN event_type = 'error' THEN NULL ELSE value END").alias("value"),
+        F.expr("CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id END").alias("seq"))
+    return upsert_frames(base, changes, "user_id", order_col="seq")[0]
 
 
 SQL_UPSERT_LAST_WINS = """
 WITH base AS (SELECT c_custkey AS user_id, c_mktsegment AS event_type, c_acctbal AS value FROM customer),
 last AS (SELECT user_id, event_type, value FROM (
    SELECT user_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
-          row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+          row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id END DESC NULLS LAST,
+            event_type DESC NULLS LAST, CASE WHEN event_type = 'error' THEN NULL ELSE value END DESC NULLS LAST) AS rn
    FROM events WHERE user_id IS NOT NULL) WHERE rn = 1)
 SELECT * FROM base WHERE user_id NOT IN (SELECT user_id FROM last)
 UNION ALL SELECT * FROM last"""
@@ -405,23 +411,19 @@ def q_page_fields(spark, sf):
         "page_id",
         H.extract_first_line("html", "h1", None).alias("h1"),
         H.extract_first_line("html", "article", None).alias("article_head"),
-        H.extract_label_value(F.expr(D.PAGE_DETAIL_SNIPPET)).alias("license_no"))
+        H.extract_label_value(F.expr(D.PAGE_WITH_DETAIL)).alias("license_no"))
 
 
 def _sql_first_line(x: str, pattern: str) -> str:
     inner = f"regexp_extract({x}, {q(pattern)}, 1)"
-    return f"CASE WHEN regexp_matches({x}, {q(pattern)}) THEN {_sql_clean(f'split_part({inner}, {q(chr(60) + 'br>')}, 1)')} END"
-
-
-def _sql_label_value(x: str, pattern: str) -> str:
-    return f"CASE WHEN regexp_matches({x}, {q(pattern)}) THEN {_sql_clean(f'regexp_extract({x}, {q(pattern)}, 1)')} END"
+    return f"CASE WHEN regexp_matches({x}, {q(pattern)}) THEN {_sql_clean(f'regexp_replace({inner}, {q(H.AFTER_BREAK)}, {q(str())})')} END"
 
 
 SQL_PAGE_FIELDS = f"""
 SELECT page_id,
        {_sql_first_line('html', H.element_pattern('h1'))} AS h1,
        {_sql_first_line('html', H.element_pattern('article'))} AS article_head,
-       {_sql_label_value(D.PAGE_DETAIL_SNIPPET, H.label_value_pattern())} AS license_no
+       {D.PAGE_DETAIL_VALUE} AS license_no
 FROM pages"""
 
 
@@ -450,33 +452,54 @@ def q_code_to_name(spark, sf):
     return pages.code_to_name(sup, "code")
 
 
-_TD = H.element_pattern(H.NAME_TAG, H.NAME_ID)
-SQL_CODE_TO_NAME = f"""
-SELECT code, CASE WHEN status = 'ok' THEN name END AS business_name, status FROM (
-  SELECT code, name,
-    CASE WHEN html IS NULL OR html = '' THEN 'empty_page'
-         WHEN contains(url, 'Error.aspx') THEN 'error_page'
-         WHEN NOT regexp_matches(html, {q(_TD)}) THEN 'missing_section'
-         WHEN name IS NULL THEN 'missing_label' ELSE 'ok' END AS status
-  FROM (SELECT code, url, html, {_sql_first_line('html', _TD)} AS name FROM (
-        SELECT s_suppkey AS code, {D.SUPPLIER_PAGE_URL} AS url, {D.SUPPLIER_PAGE_HTML} AS html FROM supplier)))"""
+SQL_CODE_TO_NAME = """
+SELECT s_suppkey AS code, CASE WHEN s_nationkey <> 3 THEN s_name END AS business_name,
+       CASE WHEN s_nationkey = 3 THEN 'error_page' ELSE 'ok' END AS status
+FROM supplier"""
 
 
+# Whole captured pages, scanned from a folder, with a detail block at the end of each
 def q_permit_to_license(spark, sf):
-    p = _t(spark, sf, "pages").select("page_id", "url", F.expr(D.PAGE_DETAIL_SNIPPET).alias("html"))
+    p = scan_pages(spark, f"{sf}/pages.parquet").select("page_id", "url", F.expr(D.PAGE_WITH_DETAIL).alias("html"))
     return pages.permit_to_license(p, "page_id", error_marker="page=2")
 
 
-_LV = H.label_value_pattern()
 SQL_PERMIT_TO_LICENSE = f"""
 SELECT page_id, CASE WHEN status = 'ok' THEN v END AS license_no, status FROM (
-  SELECT page_id, v,
-    CASE WHEN html IS NULL OR html = '' THEN 'empty_page'
-         WHEN contains(url, 'page=2') THEN 'error_page'
-         WHEN NOT regexp_matches(html, {q('class="[^"]*MoreDetail_ItemCol1')}) THEN 'missing_section'
-         WHEN v IS NULL THEN 'missing_label' ELSE 'ok' END AS status
-  FROM (SELECT page_id, url, html, {_sql_label_value('html', _LV)} AS v FROM (
-        SELECT page_id, url, {D.PAGE_DETAIL_SNIPPET} AS html FROM pages)))"""
+  SELECT page_id, v, CASE WHEN html IS NULL THEN 'empty_page' WHEN contains(url, 'page=2') THEN 'error_page'
+                          WHEN v IS NULL THEN 'missing_label' ELSE 'ok' END AS status
+  FROM (SELECT page_id, url, html, {D.PAGE_DETAIL_VALUE} AS v FROM pages))"""
+
+
+# Captured pages as they are
+def q_scan_pages(spark, sf):
+    p = scan_pages(spark, f"{sf}/pages.parquet")
+    return p.select("page_id", "url", F.length("html").cast("bigint").alias("n_html"), F.md5(F.col("html")).alias("html_md5"))
+
+
+SQL_SCAN_PAGES = "SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_html, md5(html) AS html_md5 FROM pages"
+
+
+# a ratio and how it is shown
+def q_ratio_pct(spark, sf):
+    r = S.ratio("l_extendedprice", F.col("l_quantity") * F.expr("CASE WHEN l_linenumber = 7 THEN 0 ELSE 40000 END"))
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", S.ratio_pct(r).alias("shown"))
+
+
+SQL_RATIO_PCT = """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 7 AND l_quantity <> 0 THEN
+  format('{:.1f}%', l_extendedprice / (l_quantity * 40000) * 100.0) END AS shown FROM lineitem"""
+
+
+# I4: only documents that have no label yet
+def q_incremental_enrich(spark, sf):
+    from recordlake.streaming.incremental import incremental_enrich
+    docs = _t(spark, sf, "documents").select("doc_id", "source")
+    return incremental_enrich(docs, _t(spark, sf, "labels"), "doc_id")
+
+
+SQL_INCREMENTAL_ENRICH = """
+SELECT doc_id, source FROM documents WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)"""
 
 
 # Permit descriptions -> typed details
@@ -502,7 +525,8 @@ def _sql_details() -> str:
     t2 = f"regexp_replace({t}, {q(RULES['storage_phrase'])}, ' ', 'g')"
     size = f"CAST({_sql_grab(t2, 'system_size')} AS DOUBLE)"
     watts = f"CAST({_sql_grab(t, 'module_watts')} AS INTEGER)"
-    count = f"CAST(coalesce({_sql_grab(t, 'module_count')}, {_sql_grab(t, 'module_count_listed')}) AS INTEGER)"
+    listed = f"coalesce({_sql_grab(t, 'module_count')}, {_sql_grab(t, 'module_count_listed')})"
+    count = f"TRY_CAST({listed} AS INTEGER)"
     brand = _sql_grab(t, "module_brand")
     n_batt = f"CAST({_sql_grab(t, 'battery_count')} AS DOUBLE)"
     each = f"CAST({_sql_grab(t, 'battery_each')} AS DOUBLE)"
@@ -511,25 +535,53 @@ def _sql_details() -> str:
     storage = f"CASE WHEN {n_batt} IS NOT NULL AND {each} IS NOT NULL THEN {n_batt} * {each} ELSE {paren} * {one} END"
     ptype = (f"CASE WHEN regexp_matches({t}, {q(RULES['ground'])}) THEN 'Ground Mount' "
              f"WHEN regexp_matches({t}, {q(RULES['roof'])}) THEN 'Roof Mount' "
-             f"WHEN ({storage}) IS NOT NULL AND ({size}) IS NULL AND ({count}) IS NULL THEN 'Storage only' END")
+             f"WHEN ({storage}) IS NOT NULL AND ({size}) IS NULL AND {listed} IS NULL THEN 'Storage only' END")
     return f"""permit_number, {size} AS system_size, {ptype} AS permit_type, {storage} AS storage_size,
-       {watts} AS module_watts, {count} AS module_count, {brand} AS module_brand"""
+       {watts} AS module_watts, {count} AS module_count, {brand} AS module_brand,
+       {listed} IS NOT NULL AND {count} IS NULL AS count_bad"""
 
 
 _ENUM = ", ".join(q(v) for v in PERMIT_TYPES)
-SQL_EXTRACT_DETAILS = f"""
-WITH raw AS (SELECT {_sql_details()} FROM (SELECT p_partkey AS permit_number, {D.PART_DESCRIPTION} AS description FROM part)),
+def sql_checked_details(source: str) -> str:
+    """Details with their checks, over a query of (permit_number, description)."""
+    return f"""
+WITH raw AS (SELECT {_sql_details()} FROM ({source})),
 chk AS (SELECT *, module_watts IS NOT NULL AND NOT (module_watts BETWEEN {WATTS_MIN} AND {WATTS_MAX}) AS watts_bad,
                permit_type IS NOT NULL AND permit_type NOT IN ({_ENUM}) AS type_bad FROM raw)
 SELECT permit_number, system_size, CASE WHEN type_bad THEN NULL ELSE permit_type END AS permit_type, storage_size,
        CASE WHEN watts_bad THEN NULL ELSE module_watts END AS module_watts, module_count, module_brand,
-       concat_ws(',', CASE WHEN watts_bad THEN 'module_watts' END, CASE WHEN type_bad THEN 'permit_type' END) AS violations
+       concat_ws(',', CASE WHEN count_bad THEN 'module_count' END, CASE WHEN watts_bad THEN 'module_watts' END, CASE WHEN type_bad THEN 'permit_type' END) AS violations
 FROM chk"""
 
 
-# The same descriptions through the batch-inference hook (mapInPandas)
+SQL_EXTRACT_DETAILS = sql_checked_details(f"SELECT p_partkey AS permit_number, {D.PART_DESCRIPTION} AS description FROM part")
+
+
+# The same descriptions through the batch-inference hook (mapInPandas); the batch function
+# works on whole pandas columns
+def batch_rules(texts: list) -> list[dict]:
+    import pandas as pd
+
+    t = pd.Series(texts, dtype=object).fillna("").astype(str)
+
+    def grab(rule, x=t):
+        return x.str.extract(RULES[rule], expand=True)[0].replace("", None)
+
+    count = grab("module_count").fillna(grab("module_count_listed"))
+    each = pd.to_numeric(grab("battery_count")) * pd.to_numeric(grab("battery_each"))
+    storage = each.fillna(pd.to_numeric(grab("battery_count_paren")).fillna(1.0) * pd.to_numeric(grab("battery_size")))
+    size = grab("system_size", t.str.replace(RULES["storage_phrase"], " ", regex=True))
+    kind = pd.Series(None, index=t.index, dtype=object)
+    kind[storage.notna() & size.isna() & count.isna()] = "Storage only"
+    kind[t.str.contains(RULES["roof"])] = "Roof Mount"
+    kind[t.str.contains(RULES["ground"])] = "Ground Mount"
+    out = pd.DataFrame({"system_size": size, "permit_type": kind, "storage_size": storage.astype(object),
+                        "module_watts": grab("module_watts"), "module_count": count, "module_brand": grab("module_brand")})
+    return out.astype(object).where(out.notna(), None).to_dict("records")
+
+
 def q_extract_with(spark, sf):
-    return _flat(extract_with(_descriptions(spark, sf), "permit_number", "description", python_rules))
+    return _flat(extract_with(_descriptions(spark, sf), "permit_number", "description", batch_rules))
 
 
 # O3: last 75 events (a top-k report)
@@ -569,6 +621,9 @@ def queries() -> dict[str, Query]:
         "q_extract_details": q_extract_details,
         "q_extract_with": q_extract_with,
         "q_tail": q_tail,
+        "q_scan_pages": q_scan_pages,
+        "q_ratio_pct": q_ratio_pct,
+        "q_incremental_enrich": q_incremental_enrich,
     }
 
 
@@ -601,4 +656,7 @@ def oracle_sql() -> dict[str, str]:
         "q_extract_details": SQL_EXTRACT_DETAILS,
         "q_extract_with": SQL_EXTRACT_DETAILS,
         "q_tail": SQL_TAIL,
+        "q_scan_pages": SQL_SCAN_PAGES,
+        "q_ratio_pct": SQL_RATIO_PCT,
+        "q_incremental_enrich": SQL_INCREMENTAL_ENRICH,
     }

@@ -23,23 +23,32 @@ from recordlake.streaming.incremental import incremental_append, read_stored
 # A CSV drop with a trailing header-less column, read back typed
 
 
+NOTE = """c_name || CASE c_custkey % 4 WHEN 0 THEN ', 6" rail, 9kW roof' WHEN 1 THEN chr(10) || 'second line' WHEN 2 THEN '"quoted"' ELSE '' END"""
+
+
 def q_csv_roundtrip(spark, sf):
+    """Text with commas, quotes and line feeds, as spreadsheets write it; a resume file whose columns stand in another order."""
     base = scratch_path(spark, "csv")
-    customer = _t(spark, sf, "customer")
-    (customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", F.lit(None).cast("string").alias(""))
-     .write.option("header", True).csv(f"{base}/customer"))
-    typed = project.drop_unnamed(scan_csv_inferred(spark, f"{base}/customer"), strict=True)
-    text = scan_csv_strings(spark, f"{base}/customer").select(F.col("c_custkey").alias("key_text"),
-                                                              F.col("c_acctbal").alias("acctbal_text"))
+    customer = _t(spark, sf, "customer").withColumn("note", F.expr(NOTE))
+    def write(df, name):
+        df.write.option("header", True).option("escape", '"').csv(f"{base}/{name}")
+    write(customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "note", F.lit(None).cast("string").alias("")), "customer")
+    write(customer.select(F.col("note").alias("Installer Number"), F.lit("x").alias("Other"), F.col("c_custkey").alias("Permit Number")), "resume")
+    typed = project.drop_unnamed(scan_csv_inferred(spark, f"{base}/customer", multi_line=True), strict=True)
+    text = scan_csv_strings(spark, f"{base}/customer", multi_line=True).select(F.col("c_custkey").alias("key_text"),
+                                                                               F.col("c_acctbal").alias("acctbal_text"))
     missing = scan_optional(spark, f"{base}/not_there", typed.schema)
+    resumed = scan_optional(spark, f"{base}/resume", flows.RESUME_FILE)
     out = typed.unionByName(missing)
-    return out.join(text, out["c_custkey"].cast("string") == text["key_text"], "inner") \
-        .select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal",
-                "acctbal_text")
+    return (out.join(text, out["c_custkey"].cast("string") == text["key_text"], "inner")
+            .join(resumed, F.col("Permit Number") == F.col("key_text"))
+            .select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_nationkey", "c_acctbal",
+                    "acctbal_text", "note", F.col("Installer Number").alias("resumed")))
 
 
-SQL_CSV_ROUNDTRIP = """
-SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(c_acctbal AS VARCHAR) AS acctbal_text FROM customer"""
+SQL_CSV_ROUNDTRIP = f"""
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(c_acctbal AS VARCHAR) AS acctbal_text, {NOTE} AS note, {NOTE} AS resumed
+FROM customer"""
 
 
 # ---------------------------------------------------------------------------------------
@@ -209,11 +218,28 @@ def permit_flow_inputs(spark, sf, base: str) -> dict:
             "registry_pages": registry_pages, "run_date": FLOW_RUN_DATE}
 
 
-def q_permit_flow(spark, sf):
+def _permit_flow(spark, sf) -> flows.PermitFlowResult:
     base = scratch_path(spark, "permits")
-    res = flows.permit_flow(spark, batch_dir=f"{base}/batches", lake_root=f"{base}/lake", stamp="19970315_120000",
-                            **permit_flow_inputs(spark, sf, base))
-    return res.permit_results_installer.read()
+    return flows.permit_flow(spark, batch_dir=f"{base}/batches", lake_root=f"{base}/lake", stamp="19970315_120000",
+                             **permit_flow_inputs(spark, sf, base))
+
+
+def q_permit_flow(spark, sf):
+    return _permit_flow(spark, sf).permit_results_installer.read()
+
+
+def q_permit_results(spark, sf):
+    return _permit_flow(spark, sf).permit_results.read().select(
+        "date", "permit_number", "permit_type", "usage", "description", "address", "status", "license_no")
+
+
+def q_permit_installers(spark, sf):
+    return _permit_flow(spark, sf).installers.read().select("license_no", "business_name")
+
+
+def q_permit_details(spark, sf):
+    details = _permit_flow(spark, sf).permit_details.read()
+    return details.withColumn("violations", F.array_join("violations", ","))
 
 
 SQL_PERMIT_FLOW = f"""
@@ -234,6 +260,24 @@ grown AS (SELECT * FROM reg UNION ALL SELECT * FROM resolved)
 SELECT g.license_no, r.permit_number, g.business_name FROM rec r JOIN grown g ON r.license_no = g.license_no"""
 
 
+_SQL_RECORDS = f"""
+SELECT CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS date, 'P' || CAST(o_orderkey AS VARCHAR) AS permit_number,
+    {RECORD_TYPE} AS permit_type, {RECORD_USAGE} AS usage, {RECORD_DESCRIPTION} AS description,
+    CAST(o_custkey AS VARCHAR) || ' Main St' AS address, o_orderstatus AS status,
+    CASE WHEN o_orderkey % 17 = 0 OR o_orderkey % 11 = 0 THEN NULL ELSE 'L' || CAST(o_custkey AS VARCHAR) END AS license_no
+  FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1997-02-01' AND o_orderdate < TIMESTAMP '1997-03-01'
+    AND {RECORD_USAGE} = 'Residential' AND {RECORD_TYPE} = 'Solar Array'"""
+
+SQL_PERMIT_INSTALLERS = SQL_PERMIT_FLOW[:SQL_PERMIT_FLOW.index("SELECT g.license_no")] + "SELECT license_no, business_name FROM grown"
+
+
+def _sql_permit_details() -> str:
+    from recordlake.plans.queries import sql_checked_details
+
+    return sql_checked_details(f"SELECT permit_number, description FROM ({_SQL_RECORDS})")
+
+
 def queries():
     return {
         "q_csv_roundtrip": q_csv_roundtrip,
@@ -242,6 +286,9 @@ def queries():
         "q_batched_progress": q_batched_progress,
         "q_weather_flow": q_weather_flow,
         "q_permit_flow": q_permit_flow,
+        "q_permit_results": q_permit_results,
+        "q_permit_installers": q_permit_installers,
+        "q_permit_details": q_permit_details,
     }
 
 
@@ -253,5 +300,8 @@ def oracle_sql():
         "q_batched_progress": SQL_BATCHED_PROGRESS,
         "q_weather_flow": SQL_WEATHER_FLOW,
         "q_permit_flow": SQL_PERMIT_FLOW,
+        "q_permit_results": _SQL_RECORDS,
+        "q_permit_installers": SQL_PERMIT_INSTALLERS,
+        "q_permit_details": _sql_permit_details(),
     }
 

@@ -61,8 +61,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a fresh local
-    folder is created and registered.
+    Read from the session. Where it is unset, a local run (one process, as in tests) gets a fresh local
+    folder; on a cluster that is an error, as executors don't share machine-local folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,6 +70,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="recordlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")

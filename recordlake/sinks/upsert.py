@@ -48,8 +48,10 @@ def last_per_key(changes: DataFrame, keys, order_col: str | None,
     ins = F.struct(*[F.col(c) for c in insert_cols]) if insert_cols else F.struct(F.lit(0).alias("_"))
     if order_col:
         # max_by skips null orders, so the order is a struct whose first field puts them lowest
-        at = F.struct(F.col(order_col).isNotNull().alias("has"), F.col(order_col).alias("at"))
-        aggs = [F.max_by(upd, at).alias("_rl_u"), F.min_by(ins, at).alias("_rl_i")]
+        # and whose last field, the row itself, decides between equal orders
+        at = [F.col(order_col).isNotNull().alias("has"), F.col(order_col).alias("at")]
+        aggs = [F.max_by(upd, F.struct(*at, upd.alias("row"))).alias("_rl_u"),
+                F.min_by(ins, F.struct(*at, ins.alias("row"))).alias("_rl_i")]
     else:
         aggs = [F.max(upd).alias("_rl_u"), F.min(ins).alias("_rl_i")]
     grouped = changes.groupBy(*ks).agg(*aggs)

@@ -19,17 +19,33 @@ def _is_missing_path(err: AnalysisException) -> bool:
     return cls == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(err) or "Path does not exist" in str(err)
 
 
-def scan_csv_inferred(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Header CSV (S1). With ``schema`` one pass; without, types are inferred (a second pass)."""
-    reader = spark.read.option("header", True)
+def _csv(spark: SparkSession, multi_line: bool):
+    """Header CSV as spreadsheets write it: a quote in a quoted field is doubled.
+
+    ``multi_line`` allows line feeds in quoted fields, and makes each file one task: on for the monthly
+    record lists, whose descriptions are free text; off for bulk data without line feeds.
+    """
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+
+
+def _by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` by their header names, wherever they stand in the file; what can't be read
+    as its type, or isn't there, is null."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+                       for f in schema.fields])
+
+
+def scan_csv_inferred(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = False) -> DataFrame:
+    """Header CSV (S1). With ``schema`` one pass and columns by name; without, types are inferred (a second pass)."""
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+        return _by_name(scan_csv_strings(spark, path, multi_line), schema)
+    return _csv(spark, multi_line).option("inferSchema", True).csv(path)
 
 
-def scan_csv_strings(spark: SparkSession, path: str) -> DataFrame:
+def scan_csv_strings(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header CSV, every column text (S3)."""
-    return spark.read.option("header", True).csv(path)
+    return _csv(spark, multi_line).csv(path)
 
 
 def parse_dates(df: DataFrame, cols, formats=None) -> DataFrame:
@@ -42,28 +58,24 @@ def parse_dates(df: DataFrame, cols, formats=None) -> DataFrame:
     return out
 
 
-def scan_csv_dates(spark: SparkSession, path: str, date_cols, formats=None) -> DataFrame:
+def scan_csv_dates(spark: SparkSession, path: str, date_cols, formats=None, multi_line: bool = True) -> DataFrame:
     """Header CSV as text, then date columns parsed."""
-    return parse_dates(scan_csv_strings(spark, path), date_cols, formats)
+    return parse_dates(scan_csv_strings(spark, path, multi_line), date_cols, formats)
 
 
-def scan_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
-                  header: bool = True) -> DataFrame:
-    """Read ``path`` with ``schema``; a missing path gives an empty frame.
+def scan_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
+    """Read the columns of ``schema`` from ``path``, by name; a missing path gives an empty frame.
 
     Only a missing path is treated as "nothing yet": any other read error is raised.
     """
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", header)
     try:
-        df = reader.format(fmt).load(path)
-        df.schema  # resolve now so a missing path surfaces here
-        return df
+        # resolved at once, so a missing path surfaces here
+        df = scan_csv_strings(spark, path, True) if fmt == "csv" else spark.read.schema(schema).format(fmt).load(path)
     except AnalysisException as err:
         if _is_missing_path(err):
             return spark.createDataFrame([], schema)
         raise
+    return _by_name(df, schema)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -118,6 +130,13 @@ def scan_batches_for(spark: SparkSession, batch_dir: str, run_date: str | None,
         raise
 
 
+def has_batches(spark: SparkSession, batch_dir: str, run_date: str) -> bool:
+    """Whether any batch of ``run_date`` is there (one listing)."""
+    from recordlake.sources import fs
+
+    return bool(fs.glob(spark, batch_glob(batch_dir, run_date)))
+
+
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     """Captured pages ``(page_id, url, html)``."""
     return spark.read.parquet(path).select("page_id", "url", "html")
