@@ -11,11 +11,15 @@ def test_steps_end_to_end(spark, tmp_dir):
     recs = spark.createDataFrame(
         [("P1", "L1", "Web. Roof PV - 5.5kW - 14 panels"), ("P2", "L9", "Ground mount 20 modules 400W"),
          ("P3", None, "nothing")], "`Permit Number` string, `Installer Number` string, Description string")
-    write_batch(recs.withColumnRenamed("Installer Number", "license_no"), f"{tmp_dir}/b", "20250708_100000")
+    write_batch(recs, f"{tmp_dir}/b", "20250708_100000")
     write_batch(recs.where(F.col("Permit Number") == "P1"), f"{tmp_dir}/b", "20250708_110000")
     out = main(["append", "--batch-dir", f"{tmp_dir}/b", "--table", f"{tmp_dir}/lake/results",
                 "--run-date", "20250708"], spark)
     assert out == {"appended": 3}
+    assert "license_no" in LakeTable(spark, f"{tmp_dir}/lake/results").read().columns
+    # a day without batches is a normal day
+    assert main(["append", "--batch-dir", f"{tmp_dir}/b", "--table", f"{tmp_dir}/lake/results",
+                 "--run-date", "20250709"], spark) == {"appended": 0}
     assert main(["append", "--batch-dir", f"{tmp_dir}/b", "--table", f"{tmp_dir}/lake/results",
                  "--run-date", "20250708"], spark) == {"appended": 0}
 

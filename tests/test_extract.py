@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from recordlake.operators.extract import DETAIL_NAMES, extract_details, extract_new, extract_with, python_rules
+from recordlake.operators.extract import DETAIL_NAMES, extract_details, extract_new, extract_with
+from recordlake.plans.queries import batch_rules
 
 # The three worked examples of the source flow, inputs and expected records, in order.
 GOLDEN = [
@@ -19,6 +20,8 @@ EXTRA = [
     (None, (None, None, None, None, None, None), []),
     ("Ground mount, 20 panels 150 W", (None, "Ground Mount", None, None, 20, None), ["module_watts"]),
     ("12 - Acme X 600 Watt Modules", (None, None, None, None, 12, "Acme X"), ["module_watts"]),
+    ("99999999999 panels, 400 Watt Modules", (None, None, None, 400, None, None), ["module_count"]),
+    ("Ground 99999999999 panels 150 W", (None, "Ground Mount", None, None, None, None), ["module_count", "module_watts"]),
     ("Battery only: 13.5 kWh battery", (None, "Storage only", 13.5, None, None, None), []),
 ]
 
@@ -47,7 +50,7 @@ def test_hook_equals_rules(spark):
                                                    F.lit("kW -"), F.col("p_size").cast("string"), F.lit("panels")).alias("text"))
     cases = frame(spark, GOLDEN + [(t, e) for t, e, _ in EXTRA]).unionByName(descr)
     a = extract_details(cases, "text").orderBy("k")
-    b = extract_with(cases, "k", "text", python_rules).orderBy("k")
+    b = extract_with(cases, "k", "text", batch_rules).orderBy("k")
     assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()]
 
 
@@ -59,6 +62,14 @@ def test_hook_output_is_validated(spark):
     assert all(r.violations == ["module_watts", "permit_type"] for r in out)
 
 
+def test_hook_values_of_no_type_are_violations(spark):
+    def odd_model(texts):
+        return [{"module_count": 10**12, "system_size": "five", "module_watts": "365", "storage_size": 2}, None, {"module_brand": 7}]
+    out = extract_with(frame(spark, GOLDEN).coalesce(1), "k", "text", odd_model).orderBy("k").collect()
+    assert [tuple(r[n] for n in DETAIL_NAMES) for r in out] == [(None, None, 2.0, 365, None, None), (None,) * 6, (None,) * 5 + ("7",)]
+    assert [r.violations for r in out] == [["system_size", "module_count"], [], []]
+
+
 def test_extract_new_skips_done(spark):
     res = spark.createDataFrame([("p1", GOLDEN[0][0]), ("p2", GOLDEN[1][0])], "permit_number string, description string")
     done = spark.createDataFrame([("p1",)], "permit_number string")
@@ -82,7 +93,7 @@ def test_rules_agree_on_generated_descriptions(spark):
     def check(texts):
         df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
         a = [tuple(r) for r in extract_details(df, "text").orderBy("k").collect()]
-        b = [tuple(r) for r in extract_with(df, "k", "text", python_rules).orderBy("k").collect()]
+        b = [tuple(r) for r in extract_with(df, "k", "text", batch_rules).orderBy("k").collect()]
         assert a == b
 
     check()

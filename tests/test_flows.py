@@ -27,6 +27,8 @@ def test_permit_flow_second_run_adds_nothing(spark, tmp_dir):
     second = flows.permit_flow(spark, batch_dir=f"{tmp_dir}/batches", lake_root=f"{tmp_dir}/lake",
                                stamp="19970315_130000", **args)
     assert second.reports["appended"].get["rows"] == 0
+    # the report covers this run, which had nothing left to look up
+    assert second.reports["missing"] == {"missing": 0, "total": 0, "missing_ratio": None}
     assert second.reports["enriched"].get["rows"] == 0
     assert second.reports["extracted"].get["rows"] == 0
     assert snapshot(second) == before
@@ -36,6 +38,25 @@ def test_permit_flow_second_run_adds_nothing(spark, tmp_dir):
     assert sorted(details) == sorted(stored) and len(set(details)) == len(details)
 
 
+def test_resumed_permits_count_once(spark, tmp_dir):
+    """A permit in the resume file is not looked up again, and the report counts it with this run."""
+    import os
+
+    from recordlake.session import local_path
+
+    args = permit_flow_inputs(spark, SF, tmp_dir)
+    listed = [r.permit_number for r in flows.load_record_list(spark, args["record_csv"], args["run_date"]).collect()]
+    assert len(listed) > 3
+    path = f"{tmp_dir}/resume/r.csv"
+    os.makedirs(os.path.dirname(local_path(path)), exist_ok=True)
+    with open(local_path(path), "w") as fh:
+        fh.write(f"Installer Number,Permit Number\nL1,{listed[0]}\n,{listed[1]}\n")
+    res = flows.permit_flow(spark, batch_dir=f"{tmp_dir}/batches", lake_root=f"{tmp_dir}/lake", stamp="19970315_120000",
+                            resume_csv=path, **args)
+    assert res.reports["appended"].get["rows"] == len(listed) - 2
+    assert res.reports["missing"]["total"] == len(listed)
+
+
 def test_weather_flow_golden(spark, tmp_dir):
     import os
 

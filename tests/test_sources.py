@@ -55,3 +55,16 @@ def test_optional_empty_file(spark, tmp_dir):
     assert scan_optional(spark, f"{tmp_dir}/empty.csv", schema).count() == 0
     write(f"{tmp_dir}/header_only.csv", "Permit Number,Installer Number\n")
     assert scan_optional(spark, f"{tmp_dir}/header_only.csv", schema).count() == 0
+
+
+def test_quotes_line_feeds_and_columns_by_name(spark, tmp_dir):
+    write(f"{tmp_dir}/q.csv", 'Date,Permit Number,Description\n2/3/2024,P1,"6"" rail, 9kW roof"\n2/4/2024,P2,"one\ntwo"\n')
+    df = scan_csv_dates(spark, f"{tmp_dir}/q.csv", "Date")
+    assert rows(df, "Permit Number", "Description") == [("P1", '6" rail, 9kW roof'), ("P2", "one\ntwo")]
+    schema = T.StructType([T.StructField("Permit Number", T.StringType()), T.StructField("Installer Number", T.StringType())])
+    write(f"{tmp_dir}/swapped.csv", "Installer Number,Other,Permit Number\nL1,x,P1\n,y,P2\n")
+    assert rows(scan_optional(spark, f"{tmp_dir}/swapped.csv", schema)) == [("P1", "L1"), ("P2", None)]
+    typed = T.StructType([T.StructField("temperature", T.DoubleType()), T.StructField("date", T.DateType()), T.StructField("gone", T.StringType())])
+    write(f"{tmp_dir}/w.csv", "date,temperature\n2024-06-01,75\n2024-06-02,n/a\n")
+    assert rows(scan_csv_inferred(spark, f"{tmp_dir}/w.csv", typed)) == [
+        (None, dt.date(2024, 6, 2), None), (75.0, dt.date(2024, 6, 1), None)]
