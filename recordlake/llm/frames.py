@@ -79,28 +79,39 @@ def map_groups(df: DataFrame, keys: list[str], run: Callable[[pa.Table], pa.Reco
 FILTER_BITS = 1 << 24
 
 
-def bitmap_filter(df: DataFrame, key: str, ids: DataFrame, name: str, keep: bool = True) -> DataFrame:
-    """Rows of ``df`` whose ``key`` may be in ``ids``, before a join that makes sure.
+class Bitmap:
+    """Which ids may be in a set: a bitmap of fixed size, whatever the number of ids.
 
-    With ``keep=False`` the other rows: those whose key is surely not in ``ids``.
-
-    The filter is a bitmap of fixed size, whatever the number of ids: more ids only let more rows
-    pass. It keeps the other rows' texts out of the join's shuffle.
+    It only tells which rows surely aren't in the set; a join makes sure of the others. More ids let more
+    rows pass. It keeps most texts out of the join's shuffle.
     """
-    spark = df.sparkSession
-    bit = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(FILTER_BITS))
-    words = (ids.select(bit.alias("x")).groupBy(F.shiftright("x", 6).alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(x & 63 as int))")).alias("v")).toArrow())
-    bits = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
-    bits[np.asarray(words["w"], dtype=np.int64)] = np.asarray(words["v"]).view(np.uint64)
-    sent = spark.sparkContext.broadcast(bits)
-    slot = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(FILTER_BITS)).alias("__bit")
+
+    def __init__(self, ids: DataFrame, name: str):
+        words = (ids.select(self.slot(name).alias("x")).groupBy(F.shiftright("x", 6).alias("w"))
+                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(x & 63 as int))")).alias("v")).toArrow())
+        bits = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+        bits[np.asarray(words["w"], dtype=np.int64)] = np.asarray(words["v"]).view(np.uint64)
+        self.sent = ids.sparkSession.sparkContext.broadcast(bits)
+
+    @staticmethod
+    def slot(name: str):
+        """The bit of each row's id, as a column."""
+        return F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(FILTER_BITS))
+
+    def hits(self, slots: pa.Array) -> np.ndarray:
+        """Which rows may be in the set, from their slots; for use in tasks."""
+        x = np.asarray(slots).astype(np.uint64)
+        return (self.sent.value[x >> np.uint64(6)] >> (x & np.uint64(63))) & np.uint64(1) == 1
+
+
+def bitmap_filter(df: DataFrame, key: str, ids: DataFrame | Bitmap, name: str, keep: bool = True) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be in ``ids``; with ``keep=False`` those whose key surely isn't."""
+    bits = ids if isinstance(ids, Bitmap) else Bitmap(ids, name)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = np.asarray(batch.column(batch.num_columns - 1)).astype(np.uint64)
-        hit = (sent.value[x >> np.uint64(6)] >> (x & np.uint64(63))) & np.uint64(1)
-        return pa.RecordBatch.from_arrays([c.filter(pa.array((hit == 1) == keep)) for c in batch.columns[:-1]], batch.schema.names[:-1])
-    return map_arrow(df.select("*", slot), run, df.schema)
+        hit = pa.array(bits.hits(batch.column(batch.num_columns - 1)) == keep)
+        return pa.RecordBatch.from_arrays([c.filter(hit) for c in batch.columns[:-1]], batch.schema.names[:-1])
+    return map_arrow(df.select("*", Bitmap.slot(key).alias("__bit")), run, df.schema)
 
 
 def components(edges: DataFrame) -> DataFrame:

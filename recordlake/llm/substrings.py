@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.llm.bpe import gather
-from recordlake.llm.frames import bitmap_filter, map_arrow, map_groups, settle
+from recordlake.llm.frames import Bitmap, bitmap_filter, map_arrow, map_groups, settle
 from recordlake.llm.textkit import Texts, Words, mix, runs, texts_of, whole_runs, words_of
 
 WINDOW = 50
 BLOCK = 25
 #: Windows that a task gathers before it deals them out, and windows of a partition (on average).
-GATHER = 1 << 21
-PARTITION = 1 << 21
+GATHER = 1 << 20
+PARTITION = 1 << 20
 
 _DEALT = "p int, kind int, rows binary, ids binary, counts binary, pos binary, hash binary, flags binary"
 _NAMES = [f.split()[0] for f in _DEALT.split(", ")]
@@ -60,14 +60,15 @@ def joined(texts: Texts, words: Words, keep: np.ndarray | None = None) -> Iterat
         yield flat[a:b].tobytes()
 
 
-def _meta(named: DataFrame) -> DataFrame:
+def _meta(keyed: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for t in texts_of(batch.column(1)):
+        for t in texts_of(batch.column(2)):
             w = words_of(t)
             sha = [hashlib.sha256(x).hexdigest() for x in joined(t, w)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.first, len(t)), pa.array(w.counts()), pa.array(sha)],
-                                             ["doc_id", "n_words", "sha"])
-    return map_arrow(named, run, "doc_id long, n_words long, sha string")
+            part = batch.slice(t.first, len(t))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(w.counts()), pa.array(sha)],
+                                             ["row", "doc_id", "n_words", "sha"])
+    return map_arrow(keyed.select("row", "doc_id", "text"), run, "row long, doc_id long, n_words long, sha string")
 
 
 def _steps(pos: np.ndarray, owner: np.ndarray) -> bytes:
@@ -133,8 +134,8 @@ def _slot(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
 
 
-def _anchor_windows(main: DataFrame, n: int) -> DataFrame:
-    """All rolling windows of BLOCK words, dealt to n partitions by hash.
+def _anchor_windows(main: DataFrame, n: int, without: Bitmap | None = None) -> DataFrame:
+    """All rolling windows of BLOCK words, dealt to n partitions by hash, of the rows that ``without`` doesn't mark.
 
     Of a window that several documents of the task share, one entry goes out, and all its occurrences
     go along as hits (kind 1).
@@ -157,6 +158,8 @@ def _anchor_windows(main: DataFrame, n: int) -> DataFrame:
             yield from _dealt(0, _slot(h[some], n), row[some], doc[some], pos[some], h[some], flags, 5)
 
         for batch in batches:
+            if without is not None:
+                batch = batch.filter(pa.array(~without.hits(batch.column(2))))
             rows = np.asarray(batch.column(0))
             for t in texts_of(batch.column(1)):
                 w = words_of(t)
@@ -168,7 +171,7 @@ def _anchor_windows(main: DataFrame, n: int) -> DataFrame:
                     yield from flush()
         if held.size:
             yield from flush()
-    return main.select("row", "text").mapInArrow(each, _DEALT)
+    return main.select("row", "text", Bitmap.slot("row").alias("bit")).mapInArrow(each, _DEALT)
 
 
 def _unpack(rows: pa.Table, width: int):
@@ -310,20 +313,20 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     an id don't remove from each other. Other columns are not looked at; an empty table gives none.
     """
     named = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    meta = settle(_meta(named).withColumn("row", F.xxhash64("doc_id", "sha")), "words")
+    keyed = named.withColumn("row", F.xxhash64("doc_id", "text"))
+    meta = settle(_meta(keyed), "words")
     long = meta.where((F.col("n_words") >= WINDOW) & F.col("doc_id").isNotNull())
     first = long.groupBy("sha").agg(F.min("doc_id").alias("first_id"))
-    copies = settle(long.join(first, "sha").where("doc_id > first_id").select("doc_id", "sha", "row").distinct(), "copies")
+    copies = settle(long.join(first, "sha").where("doc_id > first_id").select("row").distinct(), "copies")
     total = long.agg(F.sum("n_words")).first()[0] or 0
     n = max(1, -(-total // PARTITION))
 
-    # copies stay out; a row that only shares their bit of the filter is told apart by a join
-    keyed = _with_row(named.where("doc_id is not null"))
-    alone = bitmap_filter(keyed, "row", copies, "row", keep=False)
-    unsure = bitmap_filter(keyed, "row", copies, "row").join(copies.select("row"), "row", "left_anti").select(*keyed.columns)
-    main = alone.unionByName(unsure)
+    # copies stay out; a row that only shares their bit of the map is told apart by a join
+    keyed, marks = keyed.where("doc_id is not null"), Bitmap(copies, "row")
+    unsure = bitmap_filter(keyed, "row", marks, "row").join(copies, "row", "left_anti")
+    windows = _anchor_windows(keyed, n, marks).unionByName(_anchor_windows(unsure, n))
 
-    hits = settle(map_groups(_anchor_windows(main, n), ["p"], _hits, "row long, pos binary"), "hits")
+    hits = settle(map_groups(windows, ["p"], _hits, "row long, pos binary"), "hits")
     with_hits = hits.select("row").distinct()
     texts = settle(bitmap_filter(keyed, "row", with_hits, "row").join(with_hits, "row").dropDuplicates(["row"]).select("row", "doc_id", "text"), "texts")
     around = texts.join(hits.groupBy("row").agg(F.collect_list("pos").alias("pos")), "row")
@@ -331,24 +334,10 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     cut = _cut(texts.join(gone.groupBy("row").agg(F.collect_list("pos").alias("pos")), "row"), keep_text)
 
     none = F.lit(hashlib.sha256(b"").hexdigest())
-    copied = copies.select("row").distinct().withColumn("copy", F.lit(True))
+    copied = copies.withColumn("copy", F.lit(True))
     out = meta.join(copied, "row", "left").join(cut, "row", "left")
     out = out.select("doc_id", "n_words",
                      F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
                      F.when(F.col("copy"), none).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
                      F.when(F.col("copy"), F.lit("")).otherwise(F.col("kept")).alias("kept_text"))
     return out if keep_text else out.drop("kept_text")
-
-
-def _with_row(named: DataFrame) -> DataFrame:
-    """Texts of at least WINDOW words with the key of their row, as in the table of words."""
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for t in texts_of(batch.column(1)):
-            w = words_of(t)
-            long = np.flatnonzero(w.counts() >= WINDOW)
-            if len(long):
-                sha = [hashlib.sha256(x).hexdigest() for x, n in zip(joined(t, w), w.counts().tolist()) if n >= WINDOW]
-                part = batch.slice(t.first, len(t)).take(pa.array(long))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sha)], ["doc_id", "text", "sha"])
-    rows = map_arrow(named, run, "doc_id long, text string, sha string")
-    return rows.withColumn("row", F.xxhash64("doc_id", "sha")).drop("sha")
