@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from recordlake.llm.bpe import gather
-from recordlake.llm.frames import map_arrow
+from recordlake.llm.frames import map_arrow, settle
 from recordlake.llm.textkit import VALUE_LOWER, Texts, mix, texts_of, words_of
 
 SAMPLE = 1500
@@ -304,17 +304,16 @@ def held_out(id: str = "doc_id"):
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     """A bounded sample of labelled texts, the same for the same tables: smallest hashes of the ids first."""
     known = labels.select("doc_id", "toxic").where(F.col("toxic").isNotNull() & ~held_out()).dropDuplicates(["doc_id"])
-    size = F.length("text")
-    rows = docs.select("doc_id", "text").where("text is not null").withColumn("size", size).join(known, "doc_id")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
+    # ids are chosen without their texts; then the texts of the chosen few are picked where they are read
+    rows = docs.where("text is not null").select("doc_id", F.length("text").alias("size")).join(known, "doc_id")
     kinds = [(F.col("toxic") == 1) & (F.col("size") <= MOST_CHARS), (F.col("toxic") == 0) & (F.col("size") <= MOST_CHARS),
              (F.col("toxic") == 0) & (F.col("size") > MOST_CHARS) & (F.col("size") <= LONG_CHARS)]
-    texts, y = [], []
-    for kind, most in zip(kinds, (SAMPLE, SAMPLE, LONG)):
-        for r in rows.where(kind).orderBy(*order).limit(most).select("text", "toxic").collect():
-            texts.append(r.text)
-            y.append(r.toxic)
-    return texts, np.array(y, dtype=np.int64)
+    rows = settle(rows.groupBy("doc_id", "toxic").agg(F.min("size").alias("size")), "labelled")
+    chosen = [rows.where(kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for kind, most in zip(kinds, (SAMPLE, SAMPLE, LONG))]
+    ids = settle(chosen[0].unionByName(chosen[1]).unionByName(chosen[2]), "sample")  # at most 2 * SAMPLE + LONG rows
+    texts = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.length("text") == F.col("size"))
+             .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("toxic", F.xxhash64("doc_id"), "doc_id").collect())
+    return [r.text for r in texts], np.array([r.toxic for r in texts], dtype=np.int64)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
