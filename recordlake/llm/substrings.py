@@ -35,7 +35,7 @@ WINDOW = 50
 BLOCK = 25
 #: Windows that a task gathers before it deals them out, and windows of a partition (on average).
 GATHER = 1 << 19
-PARTITION = 1 << 19
+PARTITION = 1 << 20
 
 _DEALT = "p int, kind int, rows binary, ids binary, counts binary, pos binary, hash binary, flags binary"
 _NAMES = [f.split()[0] for f in _DEALT.split(", ")]
