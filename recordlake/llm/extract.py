@@ -9,10 +9,11 @@ by how many of them are links,
 
 with C characters, T tags, LC link characters and LT link tags below it, and Cb and LCb those of the
 body (a zero counts as one). The element with the largest sum of its children's densities is the article's
-frame. The smallest density on the path from it to the body is the threshold: from the body down, the
-first elements that reach it are searched, and in each the subtree of the largest sum is the
-content. Where that subtree lies in an ``article`` or ``main`` element, the whole of it is taken, so that
-headings beside the paragraphs stay; link lists inside are left out.
+frame. The smallest density on the path from it to the body is the threshold: from the body down, in every
+element that reaches it the subtree of the largest sum is content. Where that subtree lies in an
+``article`` or ``main`` element, the whole of it is taken, so that headings beside the paragraphs stay. Where no
+such element marks the article, its blocks may be siblings, and short ones don't reach the threshold: the subtree widens to every
+element above it that has paragraphs, headings or other text of its own beside it. Link lists inside are left out.
 """
 
 from __future__ import annotations
@@ -53,6 +54,9 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
          "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold an article's text, and the characters from which any other text counts as such.
+TEXT = HEADINGS | frozenset("p blockquote pre dl ul ol table figure".split())
+TEXT_CHARS = 80
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>|([^<]+|<)""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -60,13 +64,15 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "other", "parent", "items", "raw", "chars", "links", "tags", "link_tags", "density", "sum")
+    __slots__ = ("tag", "other", "parent", "items", "raw", "chars", "links", "tags", "link_tags", "density", "sum", "best", "texts", "marks")
 
     def __init__(self, tag: str, other: str, parent: Node | None):
         self.tag, self.other, self.parent = tag, other, parent
         self.items: list[Node | str] = []
         self.raw = self.chars = self.links = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
+        self.best = self
+        self.texts = self.marks = 0
 
 
 def _other(tag: str, attributes: str) -> str:
@@ -202,8 +208,12 @@ def _weigh(root: Node, nodes: list[Node]) -> Node:
     body = next((x for x in kept if x.tag == "body"), root)
     for node in kept:
         node.density = _density(node, body)
-    for node in kept:
-        node.sum = sum(x.density for x in node.items if isinstance(x, Node))
+    for node in reversed(kept):
+        below = [x for x in node.items if isinstance(x, Node)]
+        node.sum = sum(x.density for x in below)
+        node.texts = sum(x.texts + (x.tag in TEXT) for x in below)
+        node.marks = sum(x.marks + (x.tag in ("article", "main")) for x in below)
+        node.best = max([node, *(x.best for x in below)], key=lambda x: x.sum)
     return body
 
 
@@ -225,25 +235,51 @@ def content(html: str) -> list[Node]:
     threshold, node = frame.density, frame
     while node is not body and node.parent is not None:
         threshold, node = min(threshold, node.density), node.parent
-    found, todo = [], [body]
+    found: dict[int, Node] = {}
+    todo = [body]
     while todo:
         node = todo.pop()
+        if id(node) in found:
+            continue
         if node.density >= threshold and node.chars:
-            found.append(_largest(node))
+            whole = _whole(node.best, body)
+            found[id(whole)] = whole
+        if id(node) not in found:
+            todo += reversed([x for x in node.items if isinstance(x, Node)])
+    out, todo = [], [root]
+    while todo:  # in page order, and none inside another
+        node = todo.pop()
+        if id(node) in found:
+            out.append(node)
         else:
             todo += reversed([x for x in node.items if isinstance(x, Node)])
-    out: list[Node] = []
-    for node in found:
-        whole, up = node, node
-        while up is not None:
-            if up.tag == "article" or up.tag == "main" and whole.tag != "article":
-                whole = up
-            up = up.parent
-        if not any(whole is x for x in out):
-            out.append(whole)
     return out
 
 
+def _has_text(x: Node | str) -> bool:
+    """Whether something beside a block of the article is text, too, rather than links or a scrap."""
+    if isinstance(x, str):
+        return len(x.strip()) >= TEXT_CHARS
+    return x.links < 0.5 * x.chars and (x.tag in TEXT or x.texts > 0 or x.chars - x.links >= TEXT_CHARS)
+
+
+def _whole(node: Node, body: Node) -> Node:
+    """The article that a block belongs to: what is marked as one, else the frame of all text beside the block."""
+    whole, up = node, node
+    while up is not None:
+        if up.tag == "article" or up.tag == "main" and whole.tag != "article":
+            whole = up
+        up = up.parent
+    if whole.tag in ("article", "main"):
+        return whole
+    while node is not body and node.parent is not None and not node.parent.marks:
+        up = node.parent
+        if any(_has_text(x) for x in up.items if x is not node):
+            whole = up
+        node = up
+    return whole
+
+
 def _is_link_list(node: Node) -> bool:
     return node.tag in ("ul", "ol", "div", "section", "table", "dl") and node.link_tags >= 2 and node.links >= 0.6 * node.chars
 

@@ -47,6 +47,27 @@ def test_article_among_other_parts(page):
     assert E.main_text(page) == TEXT
 
 
+def blocks(*sections, tag="section"):
+    return "".join(f"<{tag}>" + "".join(f"<p>{x}</p>" for x in s) + f"</{tag}>" for s in sections)
+
+
+LONG, MIDDLE, SHORT = (PROSE * 4)[:300], (PROSE * 3)[:200], "A short remark."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><div>{blocks([LONG] * 3, [LONG] * 3, tag='div')}</div>", [LONG] * 6),
+    (f"<body><div>{blocks([LONG] * 4, [LONG] * 4, [LONG] * 4)}</div><p><a href=x>{'link ' * 12}</a></p>", [LONG] * 12),
+    (f"<body>{LINKS}<div><h1>Title</h1>{blocks([LONG] * 3, [MIDDLE] * 3, [SHORT], [LONG] * 3)}{LINKS}</div>{LINKS}",
+     ["Title", *[LONG] * 3, *[MIDDLE] * 3, SHORT, *[LONG] * 3]),
+    (f"<body>{LINKS}<h2>Title</h2>{blocks([LONG] * 3, [MIDDLE] * 3)}<div>Scrap</div>", ["Title", *[LONG] * 3, *[MIDDLE] * 3, "Scrap"]),
+    (f"<body><div><h1>Title</h1><div>{blocks([LONG] * 3)}</div></div>{LINKS}", ["Title", *[LONG] * 3]),
+    (f"<body><div>Scrap</div><div>{blocks([LONG] * 3)}</div><div>Scrap</div>{LINKS}", [LONG] * 3),
+    (f"<body>{blocks([LONG] * 3, [LONG] * 3, tag='article')}{LINKS}", [LONG] * 6),
+])
+def test_article_in_sibling_blocks(page, text):
+    assert E.main_text(page).split("\n") == text
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("   ", ""), ("<html></html>", ""), ("just text", "just text"), ("a < b and c > d", "a < b and c > d"),
     ("<p>one<p>two", "one\ntwo"), ("<p>a <b>b<p>c</b> d</p> e", "a b\nc d\ne"), ("<ul><li>x<li>y</ul>z", "x\ny\nz"),
