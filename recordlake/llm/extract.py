@@ -2,7 +2,8 @@
 
 A page becomes a tree of its elements. What can't be the article goes first: scripts, styles, forms,
 navigation, sidebars and elements whose class, id or role names them (menu, advert, notice,
-comments ...). For every element the composite text density is then computed: characters per tag, adjusted
+comments ...). In an ``article`` or ``main`` element, and for words that articles use as well, a name only raises
+suspicion: links, forms or repeated comments must agree, and headings, inline elements and sections of text stay. For every element the composite text density is then computed: characters per tag, adjusted
 by how many of them are links,
 
     CTD = C/T * log(C/LC * T/LT) / log(log-base),   log-base = ln(C * LC / (C - LC) + C * LCb / Cb + e)
@@ -31,21 +32,29 @@ from recordlake.llm.frames import map_arrow
 
 #: Elements without content, and elements whose content is no markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg".split())
 #: Elements that break a line of text.
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
     footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol optgroup option p pre search section
     select summary table tbody td tfoot th thead tr ul caption""".split())
 #: Elements that are never part of the article, and those that aren't unless they lie in it.
-NEVER = frozenset("nav aside footer form button select input dialog head menu object audio video canvas".split())
+NEVER = frozenset("nav aside footer form button select input dialog head menu object audio video canvas annotation annotation-xml".split())
 OUTSIDE = frozenset(["header"])
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words in a class or id that name something else than the article; readers' words may be most of a page.
+#: Words in a class or id that name something else than the article; readers' words may be most of a page. A class or id
+#: does if all words of it do, but for those of NEUTRAL, which say nothing.
 NAMES = frozenset("""ad ads adslot adbox adunit advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion sidebar sidebars
     menu nav navbar navigation breadcrumb breadcrumbs crumbs footer masthead topbar toolbar cookie cookies consent gdpr notice notices
     notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended
     recommendations widget pagination pager""".split())
 READERS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+NEUTRAL = frozenset("""area articles bar block body bottom box btn button buttons center col column container content div first form global google group
+    header icons inner inline item items js label last law left links list main media message outer page policy post posts primary right row
+    secondary section site slot small stories this title tools top unit wp wrap wrapper""".split())
+#: Words for which links, forms or comments must agree also outside of an article, if the element looks like a section of text.
+WEAK = frozenset("share sharing social related recommended recommendations notice notices notification alert widget overlay login signup respond reply replies discussion".split())
+#: Words that need no agreement in an article, unless the element looks like a section of text.
+ADVERTS = frozenset("ad ads adslot adbox adunit advert adverts advertisement advertising adsense sponsor sponsored promo promotion".split())
 IN_HEAD = frozenset("head title meta link base style script noscript template".split())
 #: Elements whose open tag ends an open element of the set.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -57,6 +66,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold an article's text, and the characters from which any other text counts as such.
 TEXT = HEADINGS | frozenset("p blockquote pre dl ul ol table figure".split())
 TEXT_CHARS = 80
+#: Characters a link of a list of links that isn't a list of references.
+LABEL_CHARS = 40
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>|([^<]+|<)""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -64,7 +75,7 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "other", "parent", "items", "raw", "chars", "links", "tags", "link_tags", "density", "sum", "best", "texts", "marks")
+    __slots__ = ("tag", "other", "parent", "items", "raw", "chars", "links", "tags", "link_tags", "density", "sum", "best", "texts", "marks", "words", "forms", "replies", "article")
 
     def __init__(self, tag: str, other: str, parent: Node | None):
         self.tag, self.other, self.parent = tag, other, parent
@@ -72,24 +83,30 @@ class Node:
         self.raw = self.chars = self.links = self.tags = self.link_tags = 0
         self.density = self.sum = 0.0
         self.best = self
-        self.texts = self.marks = 0
+        self.texts = self.marks = self.forms = self.replies = 0
+        self.words: set[str] = set()
+        self.article = tag in ("article", "main")
 
 
-def _other(tag: str, attributes: str) -> str:
-    """What says that an element is no part of an article: its 'tag', 'name' or 'readers', else ''."""
+def _other(tag: str, attributes: str) -> tuple[str, set[str]]:
+    """What says that an element may be no part of an article: its 'tag', 'role', 'name' or 'readers', else ''; and the words."""
     if tag in NEVER:
-        return "tag"
+        return "tag", set()
     if "=" not in attributes or tag in ("body", "html", "main", "article"):
-        return ""
-    words = set()
+        return "", set()
+    found: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
         if m[1].lower() == "role":
             if value.lower() in ROLES:
-                return "name"
+                return "role", set()
         else:
-            words.update(w.lower() for w in _NAME.findall(value))
-    return "readers" if words & READERS else "name" if words & NAMES else ""
+            for token in value.split():
+                words = {w.lower() for w in _NAME.findall(token)}
+                named = words & (NAMES | READERS)
+                if all(w in named or w in NEUTRAL or len(w) == 1 for w in words):
+                    found |= named
+    return ("readers" if found & READERS else "name" if found else ""), found
 
 
 def parse(html: str) -> tuple[Node, list[Node]]:
@@ -143,10 +160,11 @@ def parse(html: str) -> tuple[Node, list[Node]]:
             continue
         if tag not in IN_HEAD and any(n.tag == "head" for n in stack):  # a head that nothing ended
             del stack[next(i for i, n in enumerate(stack) if n.tag == "head"):]
-        node = Node(tag, _other(tag, m[3]), stack[-1])
+        node = Node(tag, "", stack[-1])
+        node.other, node.words = _other(tag, m[3])
         stack[-1].items.append(node)
         nodes.append(node)
-        if tag not in VOID:
+        if tag not in VOID and not (m[3].endswith("/") and any(n.tag == "math" for n in stack + [node])):
             stack.append(node)
     return root, nodes
 
@@ -156,18 +174,41 @@ def _left_out(node: Node, whole: int, marked: bool) -> bool:
 
     whole is the page's text, marked says whether an article or main element marks the article.
     """
-    if node.other == "name":  # a frame around the article may be named for what else it holds
-        return not any(x.tag in ("article", "main") for x in _below(node)) and (marked or node.raw <= 0.5 * whole)
-    if node.other:
+    if node.other == "tag":
+        return True
+    if node.tag in OUTSIDE and not _marked(node):
+        return True
+    if not node.other or node.marks:  # a frame around the article may be named for what else it holds
+        return False
+    small = node.raw <= 0.5 * whole
+    inside = _marked(node)
+    if node.other == "role":
+        return small or marked and not inside
+    if marked and not inside:
         return True
-    if node.tag in OUTSIDE:
-        above = node.parent
-        while above is not None and above.tag not in ("article", "main"):
-            above = above.parent
-        return above is None
+    if node.tag in HEADINGS or node.tag not in BLOCK:
+        return False
+    agrees = node.forms > 0 or node.links >= 0.5 * node.raw and node.link_tags > 0 or node.replies > 1
+    if inside:
+        return agrees and (small or node.other == "readers") or bool(node.words & ADVERTS) and small and not _is_section(node)
+    if agrees or not node.words <= WEAK or not _is_section(node, 1):
+        return small or node.other == "readers"
     return False
 
 
+def _marked(node: Node) -> bool:
+    above = node.parent
+    while above is not None and not above.article:
+        above = above.parent
+    return above is not None
+
+
+def _is_section(node: Node, least: int = 2) -> bool:
+    """Whether an element looks like a section of text: ``least`` paragraphs, or a heading and a paragraph."""
+    inner = [x.tag for x in _below(node) if x.tag in TEXT and x.raw]
+    return sum(x not in HEADINGS for x in inner) >= (1 if HEADINGS & set(inner) else least)
+
+
 def _below(node: Node) -> Iterator[Node]:
     todo = [x for x in node.items if isinstance(x, Node)]
     while todo:
@@ -189,10 +230,19 @@ def _density(node: Node, body: Node) -> float:
 def _weigh(root: Node, nodes: list[Node]) -> Node:
     """Counts, densities and sums of all elements; returns the body."""
     for node in reversed(nodes):
-        node.raw = sum(len(x.strip()) if isinstance(x, str) else x.raw for x in node.items) if node.other in ("", "name") else 0
-    marked = any(x.tag in ("article", "main") for x in nodes)
+        below = [x for x in node.items if isinstance(x, Node)]
+        node.raw = sum(len(x.strip()) for x in node.items if isinstance(x, str)) + sum(
+            x.raw for x in below if x.marks or x.other not in ("tag", "readers"))
+        node.links = sum(x.raw if x.tag == "a" else x.links for x in below)
+        node.link_tags = sum(x.link_tags + (x.tag == "a") for x in below)
+        node.marks = sum(x.marks + (x.tag in ("article", "main")) for x in below)
+        node.forms = sum(x.forms + (x.tag == "form") for x in below)
+        node.replies = sum(x.replies + (x.other == "readers" and x.tag in BLOCK and x.tag not in HEADINGS) for x in below)
+    marked = root.marks > 0
     for node in nodes:
         node.items = [x for x in node.items if isinstance(x, str) or not _left_out(x, root.raw, marked)]
+    for node in nodes:
+        node.links = node.link_tags = 0
     kept = [root]
     for node in kept:  # grows while it is read: page order by levels
         kept += [x for x in node.items if isinstance(x, Node)]
@@ -242,6 +292,7 @@ def content(html: str) -> list[Node]:
         if id(node) in found:
             continue
         if node.density >= threshold and node.chars:
+            node.best.article = True
             whole = _whole(node.best, body)
             found[id(whole)] = whole
         if id(node) not in found:
@@ -281,7 +332,12 @@ def _whole(node: Node, body: Node) -> Node:
 
 
 def _is_link_list(node: Node) -> bool:
-    return node.tag in ("ul", "ol", "div", "section", "table", "dl") and node.link_tags >= 2 and node.links >= 0.6 * node.chars
+    """Lists of links: short labels and next to nothing beside them, unlike references; outside of an article also longer ones."""
+    if node.tag not in ("ul", "ol", "div", "section", "table", "dl") or node.link_tags < 2:
+        return False
+    if node.tag == "ol" or _marked(node):
+        return node.links >= 0.9 * node.chars and node.links < LABEL_CHARS * node.link_tags
+    return node.links >= 0.6 * node.chars
 
 
 def main_text(html: str | None) -> str:

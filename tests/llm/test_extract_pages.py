@@ -68,6 +68,30 @@ def test_article_in_sibling_blocks(page, text):
     assert E.main_text(page).split("\n") == text
 
 
+REFERENCES = "".join(f"<li><a href='/{i}'>Author {i}: a title of the work that is cited here, in full</a>" for i in range(4))
+CITED = [f"Author {i}: a title of the work that is cited here, in full" for i in range(4)]
+
+
+@pytest.mark.parametrize("inside, text", [
+    (f"<section id='discussion'><h2>Discussion</h2><p>{LONG}</p><p>{LONG}</p></section>", ["Discussion", LONG, LONG]),
+    (f"<h2 id='discussion'>Discussion</h2><p>{LONG}</p>", ["Discussion", LONG]),
+    (f"<h2 id='related-work'>Related work</h2><p class='share-price'>{LONG}</p>", ["Related work", LONG]),
+    (f"<section id='related-work'><p>{LONG}</p></section><h3 class='social'>Social</h3>", [LONG, "Social"]),
+    (f"<div class='notice'><p>{MIDDLE}</p></div><p>{SHORT} <span class='alert'>really</span></p>", [MIDDLE, f"{SHORT} really"]),
+    (f"<h2>References</h2><ol>{REFERENCES}</ol>", ["References", *CITED]),
+    (f"<h2>References</h2><ul>{REFERENCES}</ul>", ["References", *CITED]),
+    ("<p>so <math><mi>x</mi><mspace/><mo>=</mo><semantics><mn>1</mn><annotation>x=1</annotation></semantics></math> holds</p>", ["so x=1 holds"]),
+    (f"{LINKS}<div class='share-buttons'><a href=1>one</a><a href=2>two</a></div><div class='ad'>{PROSE}</div>", []),
+    (f"<div class='related'><a href=1>{PROSE}</a></div><div id='respond'>Reply <form><p>{PROSE}</p></form></div>", []),
+    (f"<div class='discussion'><div class='comment'><p>{LONG}</p></div><div class='comment'><p>{LONG}</p></div></div>", []),
+])
+@pytest.mark.parametrize("frame", ["<article>", "<main>", "<div>"])
+def test_names_in_the_article(frame, inside, text):
+    want = ["Title", *[LONG] * 6, *text, MIDDLE]
+    page = f"<body>{NAV}{frame}<h1>Title</h1>{f'<p>{LONG}</p>' * 6}{inside}<p>{MIDDLE}</p>{frame.replace('<', '</')}{LINKS}"
+    assert E.main_text(page).split("\n") == want
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("   ", ""), ("<html></html>", ""), ("just text", "just text"), ("a < b and c > d", "a < b and c > d"),
     ("<p>one<p>two", "one\ntwo"), ("<p>a <b>b<p>c</b> d</p> e", "a b\nc d\ne"), ("<ul><li>x<li>y</ul>z", "x\ny\nz"),
