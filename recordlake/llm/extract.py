@@ -33,6 +33,8 @@ from recordlake.llm.frames import map_arrow
 #: Elements without content, and elements whose content is no markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg".split())
+#: Those of them that reach to the end of the page where nothing ends them; of the others only the tag is left out then.
+TO_THE_END = frozenset("script style textarea title".split())
 #: Elements that break a line of text.
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
     footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol optgroup option p pre search section
@@ -71,6 +73,7 @@ LABEL_CHARS = 40
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>|([^<]+|<)""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I | re.A) for tag in RAW}
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -113,7 +116,7 @@ def parse(html: str) -> tuple[Node, list[Node]]:
     """The tree of a page, and its elements in page order. Open elements end where HTML lets them."""
     root = Node("html", "", None)
     nodes, stack, at = [root], [root], 0
-    low = None
+    open_ended: set[str] = set()
     while at < len(html):
         m = _TOKEN.match(html, at)
         if m is None:  # '<' that begins no tag, up to the end
@@ -136,12 +139,15 @@ def parse(html: str) -> tuple[Node, list[Node]]:
                     break
             continue
         if tag in RAW:
-            if not m[3].endswith("/") or tag not in ("svg", "math"):
-                if low is None:
-                    low = html.lower()
-                end = low.find("</" + tag, at)
-                close = html.find(">", end) if end >= 0 else -1
-                at = close + 1 if close >= 0 else len(html)
+            if tag not in open_ended and not (m[3].endswith("/") and tag == "svg"):
+                end = _END[tag].search(html, at)
+                close = html.find(">", end.end()) if end else -1
+                if close >= 0:
+                    at = close + 1
+                elif tag in TO_THE_END:
+                    at = len(html)
+                else:
+                    open_ended.add(tag)
             continue
         if tag in BLOCK:
             for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph

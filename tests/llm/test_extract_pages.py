@@ -92,6 +92,18 @@ def test_names_in_the_article(frame, inside, text):
     assert E.main_text(page).split("\n") == want
 
 
+@pytest.mark.parametrize("raw", ["<script>if (a < b) x = '</p>'</SCRIPT >", "<style>p{}</style>", "<svg><path d=x /></svg>", "<noscript>no</noscript\n>",
+                                 "<script>'</scripts>'</script>", "<svg/>"])
+def test_letters_that_grow_in_lower_case(raw):
+    story = "\u0130stanbul'da bir g\u00fcn. " * 20
+    assert E.main_text(f"<body><p>{story}</p>{raw}<p>{PROSE}</p>{raw}<p>{story}</p>").split("\n") == [story.strip(), PROSE, story.strip()]
+
+
+@pytest.mark.parametrize("tag", ["svg", "math", "noscript", "template", "iframe", "xmp", "noembed", "noframes"])
+def test_unclosed_element_keeps_the_rest(tag):
+    assert E.main_text(f"<body><p>{PROSE}</p><{tag}><p>{LONG}</p><{tag} class=x><p>{PROSE}</p>").split("\n") == [PROSE, LONG, PROSE]
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("   ", ""), ("<html></html>", ""), ("just text", "just text"), ("a < b and c > d", "a < b and c > d"),
     ("<p>one<p>two", "one\ntwo"), ("<p>a <b>b<p>c</b> d</p> e", "a b\nc d\ne"), ("<ul><li>x<li>y</ul>z", "x\ny\nz"),
