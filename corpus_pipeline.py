@@ -28,8 +28,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of each source go (op 3); every document stays, n_chars follows the new text."""
-    return drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """Boilerplate lines of each source go (op 3); every document stays, n_chars follows the new text.
+
+    Exact copies count as one page: they are for the next stage, which keeps one of them with its text.
+    """
+    return drop_boilerplate(docs, copies_once=True).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,6 +46,20 @@ def test_edge_rows(spark):
     assert L.drop_boilerplate(df.limit(0)).collect() == []
 
 
+def test_copies_once(spark):
+    pages = [("a", f"menu\nstory {i}\nits end {i}") for i in range(20)] + [("a", "menu\ncopied\nwhole")] * 600 + [("b", "menu\ncopied\nwhole")] * 6
+    rows = pages + [("a", None)] * 500 + [(None, "x\ny")] * 7 + [(None, f"x\nz{i}") for i in range(9)]
+    df = spark.createDataFrame([(i, h, t) for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string")
+    got = [(r.text, r.n_lines, r.n_removed) for r in L.drop_boilerplate(df, copies_once=True).orderBy("doc_id").collect()]
+    once = brute(sorted(set(rows), key=str))
+    want = dict(zip(sorted(set(rows), key=str), once))
+    assert got == [want[r] for r in rows]
+    assert got[20] == ("copied\nwhole", 3, 1) and got[620] == ("menu\ncopied\nwhole", 3, 0)
+    assert L.drop_boilerplate(df.limit(0), copies_once=True).collect() == []
+    plan = plan_text(L.drop_boilerplate(df, copies_once=True), "simple")
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for df in (L.boilerplate_lines(docs), L.drop_boilerplate(docs)):

@@ -70,3 +70,13 @@ def test_odd_rows_go_through(spark, tmp_path):
     got = collections.Counter(r.doc_id for r in P.run(spark, str(tmp_path)).collect())
     assert got == {1: 1, None: 2, 2: 1, 3: 1, 5: 1, 6: 1}
     assert P.run(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_copies_keep_their_text(spark):
+    copied = " ".join(f"copied{i}" for i in range(40)) + "\n" + " ".join(f"tail{i}" for i in range(40))
+    rows = [(i, copied, "en", "s", 0) for i in range(6)] + [(10 + i, "footer\n" + " ".join(f"w{i}x{j}" for j in range(40)), "en", "s", 0) for i in range(44)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(P.STAGES)
+    lined = P.settle(stages["line dedup"](spark, docs, SF), "lined")
+    kept = {r.doc_id: r.text for r in stages["near dedup"](spark, lined, SF).collect()}
+    assert kept == {0: copied} | {r[0]: r[1].removeprefix("footer\n") for r in rows[6:]}
