@@ -7,16 +7,17 @@ that what training never saw, or saw too seldom to tell, says nothing. Two gated
 each direction; attention weighs their states, and the weighted mean gives the window's logit. A text's
 windows overlap by half, all of them are scored, and the text's score is that of its highest window.
 
-Training sees whole labelled texts, but a label doesn't say which window made it: a toxic
+Training sees the whole of each text of its sample, but a label doesn't say which window made it: a toxic
 text trains its highest window, a clean text its highest ones (they're the ones to push down). The
-sample is bounded by ``SAMPLE`` texts of each label and ``MOST_CHARS`` characters a text, plus ``LONG`` clean
-texts of up to ``LONG_CHARS``; it is fitted once on the driver, and the weights (a few MB) go to all tasks.
+sample is bounded by ``SAMPLE`` texts of each label and ``MOST_CHARS`` characters a text, plus ``LONG`` longer
+texts of each label of up to ``LONG_CHARS``; texts beyond that are scored, but not trained on. It is fitted once on the driver, and the weights (a few MB) go to all tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -306,11 +307,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.n
     known = labels.select("doc_id", "toxic").where(F.col("toxic").isNotNull() & ~held_out()).dropDuplicates(["doc_id"])
     # ids are chosen without their texts; then the texts of the chosen few are picked where they are read
     rows = docs.where("text is not null").select("doc_id", F.length("text").alias("size")).join(known, "doc_id")
-    kinds = [(F.col("toxic") == 1) & (F.col("size") <= MOST_CHARS), (F.col("toxic") == 0) & (F.col("size") <= MOST_CHARS),
-             (F.col("toxic") == 0) & (F.col("size") > MOST_CHARS) & (F.col("size") <= LONG_CHARS)]
+    kinds = [(F.col("toxic") == label) & size for size in (F.col("size") <= MOST_CHARS, F.col("size").between(MOST_CHARS + 1, LONG_CHARS))
+             for label in (1, 0)]
     rows = settle(rows.groupBy("doc_id", "toxic").agg(F.min("size").alias("size")), "labelled")
-    chosen = [rows.where(kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for kind, most in zip(kinds, (SAMPLE, SAMPLE, LONG))]
-    ids = settle(chosen[0].unionByName(chosen[1]).unionByName(chosen[2]), "sample")  # at most 2 * SAMPLE + LONG rows
+    chosen = [rows.where(kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for kind, most in zip(kinds, (SAMPLE, SAMPLE, LONG, LONG))]
+    ids = settle(reduce(DataFrame.unionByName, chosen), "sample")  # at most 2 * (SAMPLE + LONG) rows
     texts = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.length("text") == F.col("size"))
              .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("toxic", F.xxhash64("doc_id"), "doc_id").collect())
     return [r.text for r in texts], np.array([r.toxic for r in texts], dtype=np.int64)

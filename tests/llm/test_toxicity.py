@@ -72,6 +72,14 @@ def test_training_never_sees_held_out_labels(spark):
     assert dict(zip(texts, y.tolist())) == want
 
 
+def test_long_texts_of_both_labels_are_trained_on(spark):
+    docs = spark.createDataFrame([(i, f"{i} " + "word " * n) for i, n in enumerate([10, 10, 1000, 1000, 7000, 7000, 9000, 9000] * 10)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "cast(doc_id % 2 AS int) AS toxic")
+    texts, y = X.labelled_sample(docs, labels)
+    want = {r.text: r.doc_id % 2 for r in docs.collect() if len(r.text) <= X.LONG_CHARS and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    assert dict(zip(texts, y.tolist())) == want and sum(v for t, v in want.items() if len(t) > X.MOST_CHARS) > 0
+
+
 def test_edge_rows(spark):
     rows = [(1, None, 0), (2, "", 0), (3, " \n", 0), (4, "you idiot", 1), (4, "you idiot", 1), (None, "x " * 5000, None), (5, "nice day", 0)] + [
         (10 + i, f"some plain words {i}" + " you idiot" * (i % 2), i % 2) for i in range(80)]
