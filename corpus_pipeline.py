@@ -35,22 +35,38 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_boilerplate(docs, copies_once=True).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def _with_nodes(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``node``: the id, but another number for further texts of an id that repeats with different texts."""
+    texts = F.xxhash64("text")
+    clashing = settle(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(texts).alias("first"), F.max(texts).alias("last"))
+                      .where("first <> last"), "clashing")
+    if clashing.isEmpty():
+        return docs.withColumn("node", F.col("doc_id"))
+    # high numbers, so that of near-duplicates an id of its own stays first
+    other = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    alone = bitmap_filter(docs, "doc_id", clashing, "doc_id", keep=False).withColumn("node", F.col("doc_id"))
+    unsure = bitmap_filter(docs, "doc_id", clashing, "doc_id").join(clashing.select("doc_id", "first"), "doc_id", "left")
+    some = unsure.withColumn("node", F.when(F.col("first") != texts, other).otherwise(F.col("doc_id"))).drop("first")
+    return settle(alone.unionByName(some), "nodes")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays (op 2).
 
     Groups are formed at a similarity of 0.8. Documents without words are in no group, and stay; so do
-    rows with a null id. Of rows that repeat an id one stays.
+    rows with a null id. Of rows that repeat id and text the least stays; different texts of an id are documents of their own.
     """
-    docs = docs.select(*COLUMNS)
-    marks = settle(near_duplicates(docs, percent=80).select("doc_id", "kept"), "marks").where("doc_id is not null")
-    gone = marks.where("not kept").select("doc_id").distinct()
-    repeated = marks.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    docs = _with_nodes(docs.select(*COLUMNS))
+    marks = settle(near_duplicates(docs, id="node", percent=80).select(F.col("doc_id").alias("node"), "kept"), "marks").where("node is not null")
+    gone = marks.where("not kept").select("node").distinct()
+    repeated = marks.groupBy("node").count().where("count > 1").select("node")
     # only rows that share a bit with a removed or repeated id are shuffled
     looked_at = gone.unionByName(repeated)
-    alone = bitmap_filter(docs, "doc_id", looked_at, "doc_id", keep=False)
-    unsure = bitmap_filter(docs, "doc_id", looked_at, "doc_id")
-    some = unsure.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*COLUMNS)
-    return alone.unionByName(some).unionByName(unsure.where("doc_id is null"))
+    alone = bitmap_filter(docs, "node", looked_at, "node", keep=False).select(*COLUMNS)
+    unsure = bitmap_filter(docs, "node", looked_at, "node")
+    some = (unsure.where("node is not null").join(gone, "node", "left_anti")
+            .groupBy("node").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*"))
+    return alone.unionByName(some).unionByName(unsure.where("node is null").select(*COLUMNS))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,3 +80,16 @@ def test_copies_keep_their_text(spark):
     lined = P.settle(stages["line dedup"](spark, docs, SF), "lined")
     kept = {r.doc_id: r.text for r in stages["near dedup"](spark, lined, SF).collect()}
     assert kept == {0: copied} | {r[0]: r[1].removeprefix("footer\n") for r in rows[6:]}
+
+
+def test_texts_that_share_an_id_stay(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcd"}
+    rows = [(1, text["a"], "en", "s", 1), (2, text["a"] + " tail", "en", "s", 1), (2, text["b"], "en", "s", 1), (3, text["c"], "en", "s", 1),
+            (3, text["c"], "en", "s", 1), (3, text["c"], "de", "s", 1), (3, text["d"], "en", "s", 1), (3, text["d"] + " tail", "en", "s", 1),
+            (None, text["b"], "en", "s", 1), (4, None, "en", "s", 1), (4, "", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for part in (docs.repartition(1), docs.repartition(5)):
+        got = [tuple(r) for r in dict(P.STAGES)["near dedup"](spark, part, SF).select("doc_id", "text", "lang").collect()]
+        assert sorted(x[0] or 0 for x in got) == [0, 1, 2, 3, 3, 4, 4]
+        assert {(1, text["a"], "en"), (2, text["b"], "en"), (3, text["c"], "de"), (None, text["b"], "en"), (4, None, "en"), (4, "", "en")} < set(got)
+        assert sum(str(x[1]).startswith(text["d"]) for x in got) == 1
