@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from recordlake.llm import bpe, wavelet
+from recordlake.llm.conversations import repaired
 from recordlake.llm.decontaminate import contaminated
 from recordlake.llm.extract import extract
 from recordlake.llm.frames import table
+from recordlake.llm.jaccard import jaccard_join
 from recordlake.llm.lines import MIN_PAGES, RATIO, drop_boilerplate
 from recordlake.llm.neighbours import nearest
+from recordlake.llm.periodic import run_digests
 from recordlake.llm.setsketch import near_duplicates
 from recordlake.llm.substrings import remove_repeats
 from recordlake.llm.tokencounts import count_tokens
@@ -64,6 +67,18 @@ def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.id_checksums(spark, path)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(table(spark, sf_dir, "conversations"))
+
+
 #: The lines kept of ``documents``; also the first SQL step for the pipeline's stage.
 LINES_SQL = f"""
 WITH l AS (
@@ -125,7 +140,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "op3_line_dedup": op3_line_dedup, "op4_bpe_codec": op4_bpe_codec, "op5_substring_dedup": op5_substring_dedup,
             "op6_benchmark_decontamination": op6_benchmark_decontamination,
             "op7_token_counts": op7_token_counts,
-            "op8_toxicity": op8_toxicity, "op9_nearest_neighbours": op9_nearest_neighbours, "op10_wavelet_ids": op10_wavelet_ids}
+            "op8_toxicity": op8_toxicity, "op9_nearest_neighbours": op9_nearest_neighbours, "op10_wavelet_ids": op10_wavelet_ids,
+            "op11_periodic_runs": op11_periodic_runs, "op12_ngram_jaccard_join": op12_ngram_jaccard_join,
+            "op13_conversation_repair": op13_conversation_repair}
 
 
 def oracle_sql() -> dict[str, str]:

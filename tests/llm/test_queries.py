@@ -19,6 +19,11 @@ COLUMNS = {
     "op8_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op9_nearest_neighbours": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op10_wavelet_ids": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
+    "op11_periodic_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint",
+                           "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op12_ngram_jaccard_join": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op13_conversation_repair": {"conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint", "truncated": "bigint",
+                                 "illegal": "bigint", "cost": "bigint", "audit": "string", "repaired_sha256": "string"},
 }
 
 
