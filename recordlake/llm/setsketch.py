@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordlake.llm.confirm import confirmed
 from recordlake.llm.frames import bitmap_filter, components, map_arrow, map_groups, settle
 from recordlake.llm.textkit import mix, shingle_sets, texts_of, words_of
 
@@ -214,32 +215,6 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a long, b long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets pass 100 * intersection >= percent * union."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        a, b, ta, tb = (batch.column(i) for i in range(4))
-        ok = []
-        for left in texts_of(ta, rows=128):
-            ka, aa = shingle_sets(words_of(left, lower=True), k)
-            own = np.repeat(np.arange(len(left), dtype=np.uint64) << np.uint64(56), np.diff(aa)) | ka
-            seen = 0
-            for right in texts_of(tb.slice(left.first, len(left)), rows=128):
-                kb, ab = shingle_sets(words_of(right, lower=True), k)
-                n = np.arange(seen, seen + len(right), dtype=np.uint64)
-                other = np.repeat(n << np.uint64(56), np.diff(ab)) | kb
-                mine = own[aa[seen]:aa[seen + len(right)]]
-                both = np.intersect1d(mine, other, assume_unique=True) >> np.uint64(56)
-                inter = np.bincount((both - np.uint64(seen)).astype(np.int64), minlength=len(right))
-                union = np.diff(aa)[seen:seen + len(right)] + np.diff(ab) - inter
-                ok.append((100 * inter >= percent * union) & (union > 0))
-                seen += len(right)
-        keep = pa.array(np.concatenate(ok))
-        return pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
-    wide = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb"))
-    return map_arrow(wide, run, "a long, b long")
-
-
 def _rest_groups(members: DataFrame) -> DataFrame:
     """Bucket members (key, node, band, comp) dealt to groups of bounded size.
 
@@ -318,7 +293,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     named = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     all_rows = settle(sketch_frame(named, k), "sketches")
     rows = all_rows.where("doc_id is not null and n > 0")
-    classes = rows.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    # written first: a join of two plain shuffles can be split where copies make a digest hot
+    classes = settle(rows.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
     member = rows.select("doc_id", "digest").join(classes, "digest").select("doc_id", "node")
     nodes = rows.join(classes.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"]).select(
         F.col("doc_id").alias("node"), "n", "registers")
@@ -330,13 +306,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     texts = settle(wanted.withColumnRenamed("doc_id", "node").join(involved, "node").select("node", "text"), "texts")
     some = settle(nodes.join(involved, "node"), "nodes")
 
-    star = shared.where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
-    links = settle(verified(_likely_pairs(star, some, percent), texts, k, percent), "links")
+    star = shared.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
+    links = settle(confirmed(settle(_likely_pairs(star, some, percent), "star"), texts, k, percent), "links")
     comps = components(links)
     held = (shared.select("key", "node", "band").join(comps, "node", "left")
             .select("key", "node", "band", F.coalesce("component", "node").alias("comp")))
     rest = settle(_rest_pairs(settle(held, "held"), some, percent), "rest")
-    more = verified(rest, texts, k, percent)
+    more = confirmed(rest, texts, k, percent)
     same_id = member.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     comps = components(links.unionByName(more).unionByName(same_id))
     out = all_rows.select("doc_id", F.col("n").alias("n_shingles")).join(
