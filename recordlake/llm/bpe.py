@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DataType, StringType, StructField, StructType
 
-from recordlake.llm.frames import map_arrow
+from recordlake.llm.frames import map_arrow, position
 from recordlake.llm.textkit import Texts, mix, span_hashes, texts_of
 
 #: Bytes of a piece from which it is encoded as a tree, and bytes of the tree's leaves.
@@ -254,17 +254,22 @@ def codec(path: str) -> Codec:
 
 
 def _appended(df: DataFrame, column: str, name: str, make: Callable[[pa.Array], Iterator[pa.Array]], kind: DataType) -> DataFrame:
+    source = F.col(f"`{column}`")
+    if name.lower() == column.lower():  # the column that is replaced is also the one that is read
+        source, df = F.col("__source"), df.withColumn("__source", source)
+        column = "__source"
     out = df.drop(name)
-    work = out.select("*", F.col(f"`{column}`")).toDF(*(f"c{i}" for i in range(len(out.columns) + 1)))
-    schema = StructType([*work.schema.fields[:-1], StructField("made", kind)])
+    at_column = position(out, column)
+    work = out.toDF(*(f"c{i}" for i in range(len(out.columns))))
+    schema = StructType([*work.schema.fields, StructField("made", kind)])
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = 0
-        for made in make(batch.column(batch.num_columns - 1)):
+        for made in make(batch.column(at_column)):
             own = batch.slice(at, len(made))
             at += len(made)
-            yield pa.RecordBatch.from_arrays([*own.columns[:-1], made], schema.names)
-    return map_arrow(work, run, schema).toDF(*out.columns, name)
+            yield pa.RecordBatch.from_arrays([*own.columns, made], schema.names)
+    return map_arrow(work, run, schema).toDF(*out.columns, name).drop("__source")
 
 
 def encode(df: DataFrame, path: str, text: str = "text", to: str = "ids") -> DataFrame:

@@ -24,10 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from recordlake.llm.bpe import gather
-from recordlake.llm.frames import map_arrow, settle
+from recordlake.llm.frames import map_arrow, position, settle
 from recordlake.llm.textkit import shingle_sets, texts_of, words_of
 
 TINY = 16
@@ -44,46 +43,35 @@ class Index:
         self.size = np.array([len(s) for s in sets], dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.all = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
-        self.owner = np.repeat(np.arange(len(items)), self.size)
-        self._tables: dict[int, tuple] = {}
-        self.tiny = self._table(self.size[self.owner] < TINY)
-
-    def _table(self, use: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes in order, the item of each, and a bitmap of their leading 20 bits."""
-        h, item = self.all[use], self.owner[use]
-        order = np.argsort(h, kind="stable")
-        seen = np.zeros(1 << 20, dtype=bool)
-        seen[(h >> np.uint64(BITS - 20)).astype(np.int64)] = True
-        return h[order], item[order], seen
-
-    def registers(self, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The lookup table of partition p: the minima of the registers of all items that aren't tiny."""
-        if p not in self._tables:
-            low = smallest(self.all, self.owner, np.full(len(self.items), p))
-            self._tables[p] = self._table(low & (self.size[self.owner] >= TINY))
-        return self._tables[p]
-
-    @staticmethod
-    def lookup(table, doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(document, item) for each hash that is in the table."""
-        hashes, item, seen = table
-        if not len(hashes):
-            return doc[:0], item[:0]
-        maybe = np.flatnonzero(seen[(h >> np.uint64(BITS - 20)).astype(np.int64)])
-        lo, hi = np.searchsorted(hashes, h[maybe], "left"), np.searchsorted(hashes, h[maybe], "right")
-        return np.repeat(doc[maybe], hi - lo), gather(item, lo, hi - lo)
+        owner = np.repeat(np.arange(len(items), dtype=np.int32), self.size)
+        # hashes ascend in an item, so the hash before decides: from the partition on in which the two fall into different
+        # registers, a hash is its register's minimum; the first hash always is, and tiny items are looked up by all hashes
+        apart = np.zeros(len(self.all), dtype=np.uint64)
+        apart[1:] = self.all[1:] ^ self.all[:-1]
+        since = np.maximum(BITS - 2 - (np.frexp((apart >> np.uint64(8)).astype(np.float64))[1] + 7), 0).astype(np.int8)
+        since[self.start[self.size > 0]] = 0
+        since[self.size[owner] < TINY] = -1
+        order = np.argsort(self.all, kind="stable")
+        self.hashes, self.owner, self.since = self.all[order], owner[order], since[order]
+        self.seen = np.zeros(1 << 20, dtype=bool)  # the hashes' leading 20 bits
+        self.seen[(self.all >> np.uint64(BITS - 20)).astype(np.int64)] = True
+
+    def candidates(self, doc: np.ndarray, h: np.ndarray, low: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document, item) for each hash that a tiny item has, and for each register minimum of both sides."""
+        maybe = np.flatnonzero(self.seen[(h >> np.uint64(BITS - 20)).astype(np.int64)])
+        lo, hi = np.searchsorted(self.hashes, h[maybe], "left"), np.searchsorted(self.hashes, h[maybe], "right")
+        n = hi - lo
+        since, own = gather(self.since, lo, n), np.repeat(maybe, n)
+        ok = (since < 0) | low[own] & (since <= part[doc[own]])
+        return doc[own[ok]], gather(self.owner, lo, n)[ok]
 
     def search(self, keys: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, item, shared shingles) for all sets that hold the wanted share of an item."""
         size = np.diff(at)
         doc = np.repeat(np.arange(len(size)), size)
         part = np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64)
-        found = [self.lookup(self.tiny, doc, keys)]
-        low = smallest(keys, doc, part)
-        for p in np.unique(part[size > 0]).tolist():
-            use = low & (part[doc] == p)
-            found.append(self.lookup(self.registers(p), doc[use], keys[use]))
-        pairs = np.unique(np.concatenate([d * len(self.items) + i for d, i in found]))
+        d, i = self.candidates(doc, keys, smallest(keys, doc, part), part)
+        pairs = np.unique(d * len(self.items) + i)
         d, i = pairs // max(1, len(self.items)), pairs % max(1, len(self.items))
         # exact: every shingle of the item is looked for in the document's set
         owner = np.repeat(np.arange(len(d)), self.size[i])
@@ -158,18 +146,26 @@ def contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: st
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
                       k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that contain no item, with all their columns, kept where they are read."""
-    spark, rows = docs.sparkSession, docs
+    """The rows of ``docs`` that contain no item, with all their columns, kept where they are read.
+
+    Each block of items is one pass over what the blocks before it kept; between passes the rows are written, so that one block
+    is broadcast at a time. Rows whose text is null, empty or without words stay, as do repeated rows and rows without an
+    item; other columns, whatever their names, are returned as they are.
+    """
+    spark, at, names = docs.sparkSession, position(docs, text), docs.columns
+    rows, last = docs.toDF(*(f"c{i}" for i in range(len(names)))), None
     for index in _indexes(items, item_id, item_text, k):
-        sent = spark.sparkContext.broadcast(index)
-        work = rows.select("*", F.col(f"`{text}`")).toDF(*(f"c{i}" for i in range(len(rows.columns) + 1)))
+        if last is not None:
+            rows = settle(rows, "uncontaminated")
+            last.unpersist()
+        sent = last = spark.sparkContext.broadcast(index)
 
         def run(batch: pa.RecordBatch, sent=sent) -> Iterator[pa.RecordBatch]:
-            for t in texts_of(batch.column(batch.num_columns - 1)):
+            for t in texts_of(batch.column(at)):
                 d, _, _ = sent.value.search(*shingle_sets(words_of(t, lower=True), k), percent)
                 clean = np.ones(len(t), dtype=bool)
                 clean[d] = False
                 part = batch.slice(t.first, len(t))
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(clean)) for c in part.columns[:-1]], batch.schema.names[:-1])
-        rows = map_arrow(work, run, StructType(work.schema.fields[:-1])).toDF(*rows.columns)
-    return rows
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(clean)) for c in part.columns], batch.schema.names)
+        rows = map_arrow(rows, run, rows.schema)
+    return rows.toDF(*names)

@@ -26,6 +26,18 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def position(df: DataFrame, name: str) -> int:
+    """Where a column stands; names are matched as Spark matches them, exactly if one fits."""
+    if name in df.columns:
+        return df.columns.index(name)
+    return [c.lower() for c in df.columns].index(name.lower())
+
+
+def release() -> None:
+    """Gives freed memory of Arrow back; a worker lives on and would hold it through later stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def map_arrow(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch | None | Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with a function of one batch, which may give none, one or several."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -35,6 +47,8 @@ def map_arrow(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch | No
                 if isinstance(out, pa.RecordBatch) or out is None:
                     out = [out] if out is not None else []
                 yield from (x for x in out if x.num_rows)
+                del batch, out
+                release()
     return df.mapInArrow(each, schema)
 
 

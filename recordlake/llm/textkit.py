@@ -15,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a longer text is handled alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 18
+#: Bytes whose words are hashed at once; a longer word is hashed alone.
+STEP = 1 << 16
 #: Texts handled at once.
 ROWS = 256
 
@@ -39,23 +41,17 @@ VALUE_LOWER = _VALUE.copy()
 VALUE_LOWER[65:91] = _VALUE[97:123]
 
 
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64, grown on demand."""
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    out = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(n, base, dtype=np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
 
-    def __init__(self):
-        self.up = self.down = np.ones(1, dtype=np.uint64)
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 1 << 16, min(2 * len(self.up), CHUNK))
-            for name, base in (("up", _BASE), ("down", _INVERSE)):
-                steps = np.full(size, base, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-        return self.up[:n], self.down[:n]
-
-
-_POWERS = _Powers()
+_POWERS = _powers(STEP)
 
 
 @dataclass
@@ -109,11 +105,11 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np
     out = np.empty(len(start), dtype=np.uint64)
     i = 0
     while i < len(start):
-        j = max(i + 1, int(np.searchsorted(end, start[i] + CHUNK, side="right")))
+        j = max(i + 1, int(np.searchsorted(end, start[i] + STEP, side="right")))
         lo, hi = int(start[i]), int(end[j - 1])
-        up, down = _POWERS.upto(hi - lo)
+        up, down = _POWERS if hi - lo <= STEP else _powers(hi - lo)
         total = np.zeros(hi - lo + 1, dtype=np.uint64)
-        np.cumsum(values[data[lo:hi]] * up, out=total[1:])
+        np.cumsum(values[data[lo:hi]] * up[:hi - lo], out=total[1:])
         out[i:j] = (total[end[i:j] - lo] - total[start[i:j] - lo]) * down[start[i:j] - lo]
         i = j
     return mix(out)

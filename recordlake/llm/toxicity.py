@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from recordlake.llm.bpe import gather
-from recordlake.llm.frames import map_arrow, settle
+from recordlake.llm.frames import map_arrow, position, settle
 from recordlake.llm.textkit import VALUE_LOWER, Texts, mix, texts_of, words_of
 
 SAMPLE = 1500
@@ -304,7 +304,8 @@ def held_out(id: str = "doc_id"):
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
     """A bounded sample of labelled texts, the same for the same tables: smallest hashes of the ids first."""
-    known = labels.select("doc_id", "toxic").where(F.col("toxic").isNotNull() & ~held_out()).dropDuplicates(["doc_id"])
+    # of an id with several labels the greatest counts, in every run
+    known = labels.where(F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # ids are chosen without their texts; then the texts of the chosen few are picked where they are read
     rows = docs.where("text is not null").select("doc_id", F.length("text").alias("size")).join(known, "doc_id")
     kinds = [(F.col("toxic") == label) & size for size in (F.col("size") <= MOST_CHARS, F.col("size").between(MOST_CHARS + 1, LONG_CHARS))
@@ -328,13 +329,14 @@ def score(df: DataFrame, net: Network, text: str = "text", to: str = "score") ->
     """
     out = df.drop(to)
     sent = df.sparkSession.sparkContext.broadcast(net)
-    work = out.select("*", F.col(f"`{text}`")).toDF(*(f"c{i}" for i in range(len(out.columns) + 1)))
-    schema = StructType([*work.schema.fields[:-1], StructField("made", DoubleType())])
+    at = position(out, text)
+    work = out.toDF(*(f"c{i}" for i in range(len(out.columns))))
+    schema = StructType([*work.schema.fields, StructField("made", DoubleType())])
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for t in texts_of(batch.column(batch.num_columns - 1)):
+        for t in texts_of(batch.column(at)):
             own = batch.slice(t.first, len(t))
-            yield pa.RecordBatch.from_arrays([*own.columns[:-1], pa.array(sent.value.scores(t))], schema.names)
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(sent.value.scores(t))], schema.names)
     return map_arrow(work, run, schema).toDF(*out.columns, to)
 
 
