@@ -414,15 +414,20 @@ def q_page_fields(spark, sf):
         H.extract_label_value(F.expr(D.PAGE_WITH_DETAIL)).alias("license_no"))
 
 
-def _sql_first_line(x: str, pattern: str) -> str:
-    inner = f"regexp_extract({x}, {q(pattern)}, 1)"
-    return f"CASE WHEN regexp_matches({x}, {q(pattern)}) THEN {_sql_clean(f'regexp_replace({inner}, {q(H.AFTER_BREAK)}, {q(str())})')} END"
+def _sql_first_line(x: str, tag: str) -> str:
+    """By positions in the page: behind the open tag, up to the end tag and to a line break."""
+    opened = f"strpos(lower({x}), '<{tag}')"
+    behind = f"substr(substr({x}, {opened}), strpos(substr({x}, {opened}), '>') + 1)"
+    end = f"strpos(lower({behind}), '</{tag}')"
+    inner = f"substr({behind}, 1, {end} - 1)"
+    line = f"CASE WHEN strpos(lower({inner}), '<br') > 0 THEN substr({inner}, 1, strpos(lower({inner}), '<br') - 1) ELSE {inner} END"
+    return f"CASE WHEN {opened} > 0 AND {end} > 0 THEN trim({line}, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) END"
 
 
 SQL_PAGE_FIELDS = f"""
 SELECT page_id,
-       {_sql_first_line('html', H.element_pattern('h1'))} AS h1,
-       {_sql_first_line('html', H.element_pattern('article'))} AS article_head,
+       {_sql_first_line('html', 'h1')} AS h1,
+       {_sql_first_line('html', 'article')} AS article_head,
        {D.PAGE_DETAIL_VALUE} AS license_no
 FROM pages"""
 
@@ -433,15 +438,13 @@ def q_page_status(spark, sf):
     return pages.code_to_name(p, "page_id", tag="h1", elem_id=None, error_marker="page=2")
 
 
-_H1 = H.element_pattern("h1")
 SQL_PAGE_STATUS = f"""
 SELECT page_id, CASE WHEN status = 'ok' THEN name END AS business_name, status FROM (
   SELECT page_id, name,
     CASE WHEN html IS NULL OR html = '' THEN 'empty_page'
          WHEN contains(url, 'page=2') THEN 'error_page'
-         WHEN NOT regexp_matches(html, {q(_H1)}) THEN 'missing_section'
-         WHEN name IS NULL THEN 'missing_label' ELSE 'ok' END AS status
-  FROM (SELECT page_id, url, html, {_sql_first_line('html', _H1)} AS name FROM pages))"""
+         WHEN name IS NULL THEN 'missing_section' ELSE 'ok' END AS status
+  FROM (SELECT page_id, url, html, {_sql_first_line('html', 'h1')} AS name FROM pages))"""
 
 
 # H5, H4: registry pages written from suppliers, read back; H4 on the detail snippet
