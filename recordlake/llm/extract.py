@@ -55,6 +55,9 @@ NEUTRAL = frozenset("""area articles bar block body bottom box btn button button
     secondary section site slot small stories this title tools top unit wp wrap wrapper""".split())
 #: Words for which links, forms or comments must agree also outside of an article, if the element looks like a section of text.
 WEAK = frozenset("share sharing social related recommended recommendations notice notices notification alert widget overlay login signup respond reply replies discussion".split())
+#: Words that name nothing else, in an article or not.
+SURE = frozenset("comments commentlist disqus cookie cookies consent gdpr".split())
+NOTICES = frozenset("notice notices banner popup modal overlay alert notification policy".split())
 #: Words that need no agreement in an article, unless the element looks like a section of text.
 ADVERTS = frozenset("ad ads adslot adbox adunit advert adverts advertisement advertising adsense sponsor sponsored promo promotion".split())
 IN_HEAD = frozenset("head title meta link base style script noscript template".split())
@@ -71,8 +74,13 @@ TEXT_CHARS = 80
 #: Characters a link of a list of links that isn't a list of references.
 LABEL_CHARS = 40
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>|([^<]+|<)""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)|([^<]+|<)""", re.S)
+#: The rest of a tag; its parts exclude each other, so nothing is tried twice. A quote without a second one is no quotation.
+_REST = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+'|"(?![^"]*+")|'(?![^']*+'))*+)>""")
+_ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|style)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""")
+_HIDDEN = re.compile(r"(?:^|[\s/])hidden(?=[\s/]|$)", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I | re.A) for tag in RAW}
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -92,15 +100,20 @@ class Node:
 
 
 def _other(tag: str, attributes: str) -> tuple[str, set[str]]:
-    """What says that an element may be no part of an article: its 'tag', 'role', 'name' or 'readers', else ''; and the words."""
+    """What says that an element may be no part of an article: its 'tag', 'role', 'name' or 'readers', or that it is 'hidden'; else ''; and the words."""
     if tag in NEVER:
         return "tag", set()
-    if "=" not in attributes or tag in ("body", "html", "main", "article"):
+    if not attributes.strip("/ ") or tag in ("body", "html", "main", "article"):
         return "", set()
     found: set[str] = set()
+    if _HIDDEN.search(_QUOTED.sub("", attributes)):
+        return "hidden", set()
     for m in _ATTRIBUTE.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
-        if m[1].lower() == "role":
+        if m[1].lower() == "style":
+            if _UNSEEN.search(value):
+                return "hidden", set()
+        elif m[1].lower() == "role":
             if value.lower() in ROLES:
                 return "role", set()
         else:
@@ -117,17 +130,24 @@ def parse(html: str) -> tuple[Node, list[Node]]:
     root = Node("html", "", None)
     nodes, stack, at = [root], [root], 0
     open_ended: set[str] = set()
+    quotes = True
     while at < len(html):
         m = _TOKEN.match(html, at)
-        if m is None:  # '<' that begins no tag, up to the end
-            stack[-1].items.append(html[at:])
-            break
         at = m.end()
-        if m[4] is not None:
-            stack[-1].items.append(m[4])
+        if m[3] is not None:
+            stack[-1].items.append(m[3])
             continue
         if m[2] is None:
             continue
+        rest = _REST.match(html, at) if quotes else None
+        if rest:
+            attributes, at = rest[1], rest.end()
+        else:  # quotations that lead to no end of the tag are none, from here on
+            quotes = False
+            end = html.find(">", at)
+            if end < 0:  # the page ends in a tag
+                break
+            attributes, at = html[at:end], end + 1
         tag = m[2].lower()
         if m[1]:
             for i in range(len(stack) - 1, 0, -1):
@@ -139,7 +159,7 @@ def parse(html: str) -> tuple[Node, list[Node]]:
                     break
             continue
         if tag in RAW:
-            if tag not in open_ended and not (m[3].endswith("/") and tag == "svg"):
+            if tag not in open_ended and not (attributes.endswith("/") and tag == "svg"):
                 end = _END[tag].search(html, at)
                 close = html.find(">", end.end()) if end else -1
                 if close >= 0:
@@ -167,10 +187,10 @@ def parse(html: str) -> tuple[Node, list[Node]]:
         if tag not in IN_HEAD and any(n.tag == "head" for n in stack):  # a head that nothing ended
             del stack[next(i for i, n in enumerate(stack) if n.tag == "head"):]
         node = Node(tag, "", stack[-1])
-        node.other, node.words = _other(tag, m[3])
+        node.other, node.words = _other(tag, attributes)
         stack[-1].items.append(node)
         nodes.append(node)
-        if tag not in VOID and not (m[3].endswith("/") and any(n.tag == "math" for n in stack + [node])):
+        if tag not in VOID and not (attributes.endswith("/") and any(n.tag == "math" for n in stack + [node])):
             stack.append(node)
     return root, nodes
 
@@ -188,6 +208,8 @@ def _left_out(node: Node, whole: int, marked: bool) -> bool:
         return False
     small = node.raw <= 0.5 * whole
     inside = _marked(node)
+    if node.other == "hidden":  # pages that scripts show when they are ready hide most of their text
+        return small
     if node.other == "role":
         return small or marked and not inside
     if marked and not inside:
@@ -196,7 +218,7 @@ def _left_out(node: Node, whole: int, marked: bool) -> bool:
         return False
     agrees = node.forms > 0 or node.links >= 0.5 * node.raw and node.link_tags > 0 or node.replies > 1
     if inside:
-        return agrees and (small or node.other == "readers") or bool(node.words & ADVERTS) and small and not _is_section(node)
+        return node.words <= SURE | NOTICES and bool(node.words & SURE) or agrees and (small or node.other == "readers") or bool(node.words & ADVERTS) and small and not _is_section(node)
     if agrees or not node.words <= WEAK or not _is_section(node, 1):
         return small or node.other == "readers"
     return False

@@ -130,3 +130,40 @@ def test_edge_rows(spark):
     got = sorted((tuple(r) for r in E.extract(df).collect()), key=str)
     assert got == sorted([(1, "u", "", 0), (1, "u", "a", 1), (None, None, "b", 1), (2, "v", "", 0)], key=str)
     assert E.extract(df.limit(0)).collect() == []
+
+
+def test_pages_that_end_inside_a_tag():
+    import time
+
+    text = "A sentence of the article, which is long enough to be one. " * 4
+    for n in (10, 100, 10_000):
+        for tail in (" ".join(f'a{i}="x"' for i in range(n)), " ".join(f'a{i}="x' for i in range(2 * n + 1)), "'" * n, '"' * (n + 1), "<b " * n):
+            began = time.time()
+            assert E.main_text(f"<html><body><article><p>{text}</p><img {tail}").strip() == text.strip(), (n, tail[:40])
+            assert time.time() - began < 3
+    # a quote that nothing closes doesn't take the rest of the page
+    assert E.main_text(f"<article><p title=\"x>{text}</p><p>{text}</p></article>").count("sentence") == 8
+
+
+def page_with(block):
+    text = "A sentence of the article, which is long enough to be one. " * 6
+    return f"<html><body><main><h1>Title</h1><p>{text}</p><p>{text}</p>{block}<p>{text}</p></main></body></html>"
+
+
+def test_readers_comments_and_notices_in_the_article():
+    for block in ("<section class='comments'><h2>Comments</h2><p>OUT one.</p></section>", "<div id='comments'><p>OUT one.</p><p>OUT two.</p></div>",
+                  "<div class='cookie-notice'><p>OUT We use cookies to make this site work.</p><p>OUT Please accept them.</p></div>",
+                  "<div id=disqus>OUT</div>", "<div class='gdpr-consent-banner'><p>OUT</p></div>"):
+        assert "OUT" not in E.main_text(page_with(block)) and E.main_text(page_with(block)).count("sentence") == 18, block
+
+
+def test_hidden_elements():
+    for block in ("<p hidden>OUT</p>", "<div style='color:red; display: none'>OUT</div>", "<span style=\"visibility:hidden\">OUT</span>", "<p class=x hidden/>OUT</p>"):
+        assert "OUT" not in E.main_text(page_with(block)), block
+    for block in ("<p title='hidden'>IN</p>", "<p class=hidden-gems>IN</p>", "<p style='display:block'>IN</p>", "<p data-hidden=1>IN</p>"):
+        assert "IN" in E.main_text(page_with(block)), block
+
+
+def test_names_in_other_attributes_say_nothing():
+    for block in ("<div data-id='menu'><p>IN</p></div>", "<div data-role='navigation'><p>IN</p></div>", "<div data-class='comments'><p>IN</p></div>"):
+        assert "IN" in E.main_text(page_with(block)), block
