@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from recordlake.llm.frames import settle
 
 RATIO = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2
 
 
 def _key(line):
@@ -38,8 +38,8 @@ def boilerplate_lines(df: DataFrame, text: str = "text", host: str = "source", r
     """Lines over the ratio: one row per host with ``lines``, the digests of its boilerplate.
 
     A null host is a host of its own. Rows with a null text count as pages without lines. Blank
-    lines are never boilerplate. A line must also be on ``min_pages`` pages of the host, so that
-    hosts with a handful of pages have no boilerplate. With ``copies_once`` rows of a host with the same text, or with a
+    lines are never boilerplate. A line must also be on ``min_pages`` pages of the host: the only page of a
+    host keeps its lines. With ``copies_once`` rows of a host with the same text, or with a
     null text, are one page.
     """
     keys = F.array_distinct(F.transform(F.split("t", "\n"), lambda x: F.when(F.trim(x) != "", _key(x))))

@@ -65,3 +65,12 @@ def test_no_python_in_the_plan(spark):
     for df in (L.boilerplate_lines(docs), L.drop_boilerplate(docs)):
         text = plan_text(df, "simple")
         assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def test_hosts_of_few_pages(spark):
+    """A footer on all pages of a host goes from two pages on; the only page of a host keeps its lines."""
+    rows = [(f"h{n}", f"story {n} {i}\nfooter\n{'half' if i % 2 else 'other half'}") for n in range(1, 12) for i in range(n)]
+    df = spark.createDataFrame([(i, h, t) for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string")
+    got = [(r.text, r.n_lines, r.n_removed) for r in L.drop_boilerplate(df).orderBy("doc_id").collect()]
+    assert got == brute(rows)
+    assert got[0] == ("story 1 0\nfooter\nother half", 3, 0) and got[1] == ("story 2 0\nother half", 3, 1) and got[-1][0] == "story 11 10"
