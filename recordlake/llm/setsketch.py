@@ -125,8 +125,8 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def estimate(more: np.ndarray, less: np.ndarray, same: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Maximum-likelihood Jaccard similarity from register comparisons and the known set sizes."""
+def likelihood(more: np.ndarray, less: np.ndarray, same: np.ndarray, na: np.ndarray, nb: np.ndarray):
+    """The largest similarity that sets of these sizes can have, and the log likelihood of a similarity; it has a single peak."""
     u, v = na / (na + nb), nb / (na + nb)
 
     def p(x):
@@ -138,8 +138,14 @@ def estimate(more: np.ndarray, less: np.ndarray, same: np.ndarray, na: np.ndarra
         return (more * np.log(np.maximum(up, tiny)) + less * np.log(np.maximum(down, tiny))
                 + same * np.log(np.maximum(1 - up - down, tiny)))
 
-    lo, hi = np.zeros(len(u)), np.minimum(u / v, v / u)
-    for _ in range(36):  # the likelihood has a single peak
+    return np.minimum(u / v, v / u), loglik
+
+
+def estimate(more: np.ndarray, less: np.ndarray, same: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Maximum-likelihood Jaccard similarity from register comparisons and the known set sizes."""
+    hi, loglik = likelihood(more, less, same, na, nb)
+    lo = np.zeros(len(hi))
+    for _ in range(36):
         third = (hi - lo) / 3
         left = loglik(lo + third) < loglik(hi - third)
         lo, hi = np.where(left, lo + third, lo), np.where(left, hi, hi - third)
@@ -159,8 +165,9 @@ def likely(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent
                           & (np.minimum(na, nb) >= least * np.maximum(na, nb)))
     if len(some):
         more = (a[some] > b[some]).sum(axis=1)
-        got = estimate(more, a.shape[1] - same[some] - more, same[some], na[some].astype(float), nb[some].astype(float))
-        out[some[got >= least]] = True
+        most, loglik = likelihood(more, a.shape[1] - same[some] - more, same[some], na[some].astype(float), nb[some].astype(float))
+        # the peak, which is the estimate, lies beyond the cutoff if the likelihood still rises there
+        out[some[(most >= least) & (loglik(least + 1e-7) >= loglik(least - 1e-7))]] = True
     return out
 
 
