@@ -5,7 +5,9 @@ Fixed-block anchors: a document is a sequence of blocks of ``BLOCK`` words from
 block as one of its rolling windows of ``BLOCK`` words. Steps:
 
 1. Documents with equal word sequences are one: all but the smallest id lose all their words.
-2. Every rolling window of the others is looked up among the blocks. Windows meet by hash; a task first
+2. Every rolling window of the others is looked up among the blocks. Windows are dealt to partitions by their
+   minimizer, the smallest hash of the ``SEED``-word runs inside: equal windows have the same one, and neighbouring windows
+   mostly do, so a passage of a document goes to a few partitions, however many there are. Windows meet by hash; a task first
    meets its own windows, so a passage in a third of all documents costs each task one entry. What
    crosses the network is packed: 5 bytes of hash, a small step in position, and the document
    once for all its windows of a partition.
@@ -33,6 +35,8 @@ from recordlake.llm.textkit import Texts, Words, mix, runs, texts_of, whole_runs
 
 WINDOW = 50
 BLOCK = 25
+#: Words of the runs whose hashes choose a window's partition.
+SEED = 8
 #: Windows that a task gathers before it deals them out, and windows of a partition (on average).
 GATHER = 1 << 19
 PARTITION = 1 << 20
@@ -110,32 +114,44 @@ def _dealt(kind: int, p: np.ndarray, row: np.ndarray, doc: np.ndarray, pos: np.n
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _TYPES)], _NAMES)
 
 
+def minimizers(words: Words, size: int) -> np.ndarray:
+    """For the window of ``size`` words from each word on the smallest hash of the runs in it, mixed; garbage beyond the text."""
+    least, width, most = runs(words, SEED), 1, size - SEED + 1
+    while width < most:  # minima of twice as many runs each time; the last step overlaps
+        step = min(width, most - width)
+        longer = least.copy()
+        if step < len(least):
+            np.minimum(least[:-step], least[step:], out=longer[:-step])
+        least, width = longer, width + step
+    return mix(least)
+
+
 class _Gathered:
-    """Windows of many documents: hash, document and position; documents have a row key and an id."""
+    """Windows of many documents: hash, partition, document and position; documents have a row key and an id."""
 
     def __init__(self):
         self.parts: list[tuple] = []
         self.size = 0
 
-    def add(self, h, row, doc, pos) -> None:
-        self.parts.append((h, row, doc, pos))
+    def add(self, h, p, row, doc, pos) -> None:
+        self.parts.append((h, p, row, doc, pos))
         self.size += len(h)
 
     def sorted(self):
-        h, row, doc, pos = (np.concatenate([p[i] for p in self.parts]) for i in range(4))
+        h, p, row, doc, pos = (np.concatenate([x[i] for x in self.parts]) for i in range(5))
         self.parts, self.size = [], 0
         order = np.lexsort((pos, row, h))
-        h, row, doc, pos = h[order], row[order], doc[order], pos[order]
+        h, p, row, doc, pos = h[order], p[order], row[order], doc[order], pos[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, dtype=np.int64)
-        return h, row, doc, pos, first, np.diff(np.append(first, len(h)))
+        return h, p, row, doc, pos, first, np.diff(np.append(first, len(h)))
 
 
 def _slot(h: np.ndarray, n: int) -> np.ndarray:
-    return ((h >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
+    return ((h >> np.uint64(40)) % np.uint64(n)).astype(np.int32)
 
 
 def _anchor_windows(main: DataFrame, n: int, without: Bitmap | None = None) -> DataFrame:
-    """All rolling windows of BLOCK words, dealt to n partitions by hash, of the rows that ``without`` doesn't mark.
+    """All rolling windows of BLOCK words, dealt to n partitions, of the rows that ``without`` doesn't mark.
 
     Of a window that several documents of the task share, one entry goes out, and all its occurrences
     go along as hits (kind 1).
@@ -144,7 +160,7 @@ def _anchor_windows(main: DataFrame, n: int, without: Bitmap | None = None) -> D
         held = _Gathered()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            h, row, doc, pos, first, size = held.sorted()
+            h, p, row, doc, pos, first, size = held.sorted()
             if not len(h):
                 return
             many = row[first] != row[first + size - 1]
@@ -155,7 +171,7 @@ def _anchor_windows(main: DataFrame, n: int, without: Bitmap | None = None) -> D
             lone = np.flatnonzero(~shared)
             some = np.concatenate([lone, first[many]])
             flags = np.concatenate([anchor[lone] * ANCHOR, any_anchor[many] * ANCHOR + MANY])
-            yield from _dealt(0, _slot(h[some], n), row[some], doc[some], pos[some], h[some], flags, 5)
+            yield from _dealt(0, p[some], row[some], doc[some], pos[some], h[some], flags, 5)
 
         for batch in batches:
             if without is not None:
@@ -166,7 +182,7 @@ def _anchor_windows(main: DataFrame, n: int, without: Bitmap | None = None) -> D
                 at = whole_runs(w, BLOCK)
                 at = at[w.counts()[w.text[at]] >= WINDOW]
                 row = rows[t.first:t.first + len(t)][w.text[at]]
-                held.add(runs(w, BLOCK)[at], row, row, (at - w.before[w.text[at]]).astype(np.int32))
+                held.add(runs(w, BLOCK)[at], _slot(minimizers(w, BLOCK)[at], n), row, row, (at - w.before[w.text[at]]).astype(np.int32))
                 if held.size >= GATHER:
                     yield from flush()
         if held.size:
@@ -242,7 +258,7 @@ def _per_word(texts: Texts, words: Words, lists: list[list[bytes]], back: int, w
 
 
 def _long_windows(around: DataFrame, n: int) -> DataFrame:
-    """The windows of WINDOW words around all hits, dealt to n partitions by hash.
+    """The windows of WINDOW words around all hits, dealt to n partitions.
 
     Of a window that several documents of the task share only the smallest document's go out; the
     others are repeats already (kind 1).
@@ -251,12 +267,12 @@ def _long_windows(around: DataFrame, n: int) -> DataFrame:
         held = _Gathered()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            h, row, doc, pos, first, size = held.sorted()
+            h, p, row, doc, pos, first, size = held.sorted()
             if not len(h):
                 return
             later = doc > np.repeat(np.minimum.reduceat(doc, first), size)
             yield from _dealt(1, _slot(mix(row[later].view(np.uint64)), n), row[later], doc[later], pos[later], None, None, 8)
-            yield from _dealt(0, _slot(h[~later], n), row[~later], doc[~later], pos[~later], h[~later], None, 8)
+            yield from _dealt(0, p[~later], row[~later], doc[~later], pos[~later], h[~later], None, 8)
 
         for batch in batches:
             rows, docs, lists = np.asarray(batch.column(0)), np.asarray(batch.column(1)), batch.column(3)
@@ -267,7 +283,8 @@ def _long_windows(around: DataFrame, n: int) -> DataFrame:
                 at = whole_runs(w, WINDOW)
                 at = at[near[at]]
                 own = slice(t.first, t.first + len(t))
-                held.add(runs(w, WINDOW)[at], rows[own][w.text[at]], docs[own][w.text[at]], (at - w.before[w.text[at]]).astype(np.int32))
+                held.add(runs(w, WINDOW)[at], _slot(minimizers(w, WINDOW)[at], n), rows[own][w.text[at]], docs[own][w.text[at]],
+                         (at - w.before[w.text[at]]).astype(np.int32))
                 if held.size >= GATHER:
                     yield from flush()
         if held.size:
@@ -316,7 +333,8 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     keyed = named.withColumn("row", F.xxhash64("doc_id", "text"))
     meta = settle(_meta(keyed), "words")
     long = meta.where((F.col("n_words") >= WINDOW) & F.col("doc_id").isNotNull())
-    first = long.groupBy("sha").agg(F.min("doc_id").alias("first_id"))
+    # written first: a join of two plain shuffles can be split where copies make a digest hot
+    first = settle(long.groupBy("sha").agg(F.min("doc_id").alias("first_id")), "first")
     copies = settle(long.join(first, "sha").where("doc_id > first_id").select("row").distinct(), "copies")
     total = long.agg(F.sum("n_words")).first()[0] or 0
     n = max(1, -(-total // PARTITION))

@@ -44,7 +44,7 @@ def test_documents(spark):
     assert got(S.remove_repeats(docs, keep_text=False)) == want
 
 
-@pytest.mark.parametrize("gather, partition", [(1 << 21, 1 << 21), (400, 300)])
+@pytest.mark.parametrize("gather, partition", [(1 << 21, 1 << 21), (1 << 21, 5000), (700, 1400), (400, 190)])
 def test_planted_passages(spark, monkeypatch, gather, partition):
     monkeypatch.setattr(S, "GATHER", gather)
     monkeypatch.setattr(S, "PARTITION", partition)
@@ -69,6 +69,21 @@ def test_planted_passages(spark, monkeypatch, gather, partition):
         assert r.kept_text is None or hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256
 
 
+def test_minimizers_of_windows():
+    rng = np.random.default_rng(1)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 500, 300))
+    t = next(S.texts_of(S.pa.array([text, "a b", text])))
+    w = S.words_of(t)
+    seeds = S.runs(w, S.SEED)
+    for size in (S.SEED, S.SEED + 1, S.BLOCK, S.WINDOW):
+        got, at = S.minimizers(w, size), S.whole_runs(w, size)
+        want = np.array([seeds[i:i + size - S.SEED + 1].min() for i in at])
+        assert (got[at] == S.mix(want)).all()
+        assert (got[at[:len(at) // 2]] == got[at[len(at) // 2:]]).all()
+    # neighbours share their minimizer: a passage of n windows has few of them
+    assert len(np.unique(S.minimizers(w, S.WINDOW)[S.whole_runs(w, S.WINDOW)])) < 251 / 10
+
+
 def test_edge_rows(spark):
     long = " ".join(f"a{i}" for i in range(60))
     rows = [(1, None), (2, ""), (3, " \t"), (None, long), (4, long), (4, long), (5, long + " tail"), (5, "head " + long), (6, long.upper()), (0, "b c")]
