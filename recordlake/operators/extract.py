@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,8 +58,17 @@ BatchFn = Callable[[list], list]
 INT_MAX = 2**31 - 1
 
 
-def _typed(values: list, dt: T.DataType) -> tuple[list, list[bool]]:
-    """Values of a column's type, and which of them can't be read as one (they become null)."""
+_PLAIN = {T.IntegerType: (int, pa.int32()), T.DoubleType: (float, pa.float64()), T.StringType: (str, pa.string())}
+
+
+def _typed(values: list, dt: T.DataType) -> tuple[pa.Array, list[bool] | None]:
+    """Values as a column of their type, and which of them can't be read as one (they become null)."""
+    plain, kind = _PLAIN[type(dt)]
+    if set(map(type, values)) <= {plain, type(None)}:  # nothing to convert; NaN is null
+        try:
+            return pa.array(values, kind, from_pandas=True), None
+        except (pa.ArrowInvalid, OverflowError, UnicodeError):  # a number or text beyond the type
+            pass
     out, bad = [], []
     for v in values:
         try:
@@ -70,12 +79,13 @@ def _typed(values: list, dt: T.DataType) -> tuple[list, list[bool]]:
             x = None
         out.append(x)
         bad.append(v is not None and x is None)
-    return out, bad
+    return pa.array(out, kind, from_pandas=True), bad
 
 
 def extract_with(df: DataFrame, key_col: str, text_col: str, fn: BatchFn) -> DataFrame:
     """Batch-inference hook (X2): ``fn(list of texts) -> list of dicts`` with the detail
-    fields, run per Arrow batch with ``mapInPandas``; each row keeps its key (P4).
+    fields, run per Arrow batch with ``mapInArrow``; each row keeps its key (P4). Values of a column's own type go
+    into it as they are, only others are converted one by one.
 
     Any batch model plugs in here; results then get the X3 checks. A value that is none of its
     column's type becomes null and is named in ``violations``.
@@ -83,24 +93,21 @@ def extract_with(df: DataFrame, key_col: str, text_col: str, fn: BatchFn) -> Dat
     key_field = df.schema[key_col]
     out_schema = T.StructType([T.StructField(key_col, key_field.dataType, True), *DETAILS_SCHEMA.fields, T.StructField(UNREADABLE, T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [None if pd.isna(t) else t for t in pdf[text_col].tolist()]
-            recs = list(fn(texts)) if texts else []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            recs = [r or {} for r in fn(texts)] if texts else []
             if len(recs) != len(texts):
                 raise ValueError(f"batch function returned {len(recs)} records for {len(texts)} texts")
-            out = pd.DataFrame({key_col: pdf[key_col].values})
-            names = [[] for _ in recs]
+            columns, names = [batch.column(0)], [""] * len(recs)
             for f in DETAILS_SCHEMA.fields:
-                values, bad = _typed([(r or {}).get(f.name) for r in recs], f.dataType)
-                kind = {T.IntegerType: "Int32", T.DoubleType: "Float64"}.get(type(f.dataType), object)
-                out[f.name] = pd.array(values, dtype=kind)
-                for own, b in zip(names, bad):
-                    own += [f.name] if b else []
-            out[UNREADABLE] = [",".join(x) for x in names]
-            yield out
-
-    return validate_details(df.select(key_col, text_col).mapInPandas(run, out_schema))
+                values, bad = _typed([r.get(f.name) for r in recs], f.dataType)
+                columns.append(values)
+                if bad and any(bad):
+                    names = [f"{n},{f.name}" if n and b else f.name if b else n for n, b in zip(names, bad)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string())], out_schema.names)
+
+    return validate_details(df.select(key_col, text_col).mapInArrow(run, out_schema))
 
 
 def extract_new(results: DataFrame, extracted: DataFrame | None, key_col: str, text_col: str,
