@@ -52,8 +52,9 @@ def _resolve(spark, a) -> dict:
     pending = joins.new_rows(results, out.read().select("permit_number"), "permit_number") if out.exists() else results
     page_frame = spark.read.parquet(a.registry_pages)
 
-    def look_up(missing):
-        return pages.code_to_name(page_frame.join(missing, "license_no", "left_semi"), "license_no")
+    def look_up(missing):  # evaluated once: what is resolved and what is enriched read the checkpoint
+        missing = missing.checkpoint(eager=True)
+        return pages.code_to_name(page_frame.join(missing, "license_no", "left_semi"), "license_no").checkpoint(eager=True)
 
     enriched, resolved, _ = joins.resolve_and_grow_registry(
         pending, registry.read(), look_up, "license_no", "business_name")

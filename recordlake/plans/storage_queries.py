@@ -15,7 +15,7 @@ from recordlake.operators import project
 from recordlake.plans import flows
 from recordlake.plans.queries import _t
 from recordlake.session import scratch_path
-from recordlake.sinks.table import LakeTable, write_batch
+from recordlake.sinks.table import LakeTable, PartitionedTable, write_batch
 from recordlake.sources.files import scan_batches_for, scan_csv_inferred, scan_csv_strings, scan_optional
 from recordlake.streaming.incremental import incremental_append, read_stored
 
@@ -143,6 +143,30 @@ SELECT batch_id, count(*) AS n_rows, min(o_orderkey) AS first_key FROM (
 GROUP BY batch_id"""
 
 
+# ---------------------------------------------------------------------------------------
+# K6, K7: orders by day, partitioned by month; shipments of 1997 replace the days up to the 20th, then counts alone change
+
+def q_upsert_partitions(spark, sf):
+    table = PartitionedTable(spark, f"{scratch_path(spark, 'months')}/days", "day", "date_format(day, 'yyyy-MM')")
+    orders = _t(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("v"))
+    items = _t(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").alias("v"))
+    per_day = lambda df: df.groupBy("day").agg(F.max("v").alias("top"), F.count(F.lit(1)).alias("n"))
+    table.upsert(per_day(orders))
+    table.upsert(per_day(items.where((F.year("day") == 1997) & (F.dayofmonth("day") <= 20))))
+    table.upsert(per_day(items.where(F.col("day").between("1999-03-01", "1999-03-20"))), update_cols=["n"])
+    return table.read()
+
+
+SQL_UPSERT_PARTITIONS = """
+WITH o AS (SELECT CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS top, count(*) AS n FROM orders GROUP BY 1),
+l AS (SELECT CAST(l_shipdate AS DATE) AS day, max(l_extendedprice) AS top, count(*) AS n FROM lineitem GROUP BY 1),
+c AS (SELECT * FROM l WHERE year(day) = 1997 AND day(day) <= 20),
+k AS (SELECT * FROM l WHERE day BETWEEN DATE '1999-03-01' AND DATE '1999-03-20'),
+b AS (SELECT * FROM c UNION ALL SELECT * FROM o WHERE day NOT IN (SELECT day FROM c))
+SELECT coalesce(b.day, k.day) AS day, CASE WHEN b.day IS NULL THEN k.top ELSE b.top END AS top, coalesce(k.n, b.n) AS n
+FROM b FULL JOIN k ON b.day = k.day"""
+
+
 # ---------------------------------------------------------------------------------------
 # Readings CSV -> daily mean -> upsert, loaded twice (the second load changes 5 days)
 
@@ -281,6 +305,7 @@ def _sql_permit_details() -> str:
 def queries():
     return {
         "q_csv_roundtrip": q_csv_roundtrip,
+        "q_upsert_partitions": q_upsert_partitions,
         "q_table_roundtrip": q_table_roundtrip,
         "q_incremental_append": q_incremental_append,
         "q_batched_progress": q_batched_progress,
@@ -295,6 +320,7 @@ def queries():
 def oracle_sql():
     return {
         "q_csv_roundtrip": SQL_CSV_ROUNDTRIP,
+        "q_upsert_partitions": SQL_UPSERT_PARTITIONS,
         "q_table_roundtrip": SQL_TABLE_ROUNDTRIP,
         "q_incremental_append": SQL_INCREMENTAL_APPEND,
         "q_batched_progress": SQL_BATCHED_PROGRESS,

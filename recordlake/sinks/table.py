@@ -151,3 +151,65 @@ def write_batch(df: DataFrame, batch_dir: str, stamp: _dt.datetime | str) -> str
     path = f"{batch_dir.rstrip('/')}/batch_{name}.parquet"
     normalize_types(df).write.mode("errorifexists").parquet(path)
     return path
+
+
+class PartitionedTable:
+    """A parquet table in partitions of its key, for upserts that rewrite only the partitions they touch (K6, K7).
+
+    ``partition`` is a SQL expression of the key columns, such as ``date_format(day, 'yyyy-MM')``; it is stored as the
+    partition column ``part`` and not returned by reads. An upsert reads the partitions that hold keys of its changes, joins
+    them with the changes, and replaces them by Spark's dynamic partition overwrite: new files are written aside
+    and moved in when the job commits. An upsert that dies before leaves the table as it was; one that dies while
+    partitions are moved is completed by running it again, since the same changes applied twice give the same rows.
+    Single writer per table.
+    """
+
+    PART = "part"
+
+    def __init__(self, spark: SparkSession, root: str, keys, partition: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.keys = [keys] if isinstance(keys, str) else list(keys)
+        self.partition = partition
+
+    def exists(self) -> bool:
+        """A metadata probe for a committed first write."""
+        return fs.exists(self.spark, f"{self.root}/_SUCCESS")
+
+    def _scan(self) -> DataFrame:
+        # partition values stay text, also where they look like numbers
+        schema = self.spark.read.parquet(self.root).schema
+        fields = [T.StructField(f.name, T.StringType() if f.name == self.PART else f.dataType) for f in schema]
+        return self.spark.read.schema(T.StructType(fields)).parquet(self.root)
+
+    def read(self) -> DataFrame:
+        return self._scan().drop(self.PART)
+
+    def touched(self, changes: DataFrame) -> DataFrame:
+        """The stored rows of the partitions that hold keys of ``changes``: a scan of those folders alone.
+
+        Partition values are collected, at most as many as the table has folders.
+        """
+        values = [r[0] for r in changes.select(F.expr(self.partition).cast("string")).distinct().collect()]
+        wanted = F.col(self.PART).isin([v for v in values if v is not None])
+        if None in values:
+            wanted = F.coalesce(wanted, F.lit(False)) | F.col(self.PART).isNull()
+        return self._scan().where(wanted).drop(self.PART)
+
+    def upsert(self, changes: DataFrame, keys=None, order_col: str | None = None,
+               update_cols: list[str] | None = None) -> tuple[Observation, DataFrame]:
+        """Keyed upsert of the touched partitions; returns (rows written, rejected null keys). A missing table is created."""
+        if keys is not None and ([keys] if isinstance(keys, str) else list(keys)) != self.keys:
+            raise ValueError(f"table {self.root} has the keys {self.keys}")
+        stored = self.exists()
+        if stored:
+            base = self.touched(changes)
+        else:
+            base = self.spark.createDataFrame([], changes.select(*[c for c in changes.columns if c != order_col]).schema)
+        result, rejected = upsert_frames(base, changes, self.keys, order_col, update_cols)
+        counted, obs = observe_count(result.withColumn(self.PART, F.expr(self.partition).cast("string")), "upsert")
+        counted = counted.hint("rebalance", self.PART)  # few files a partition; AQE splits what is too large for one
+        # the first write replaces whatever an unfinished one left, and marks the table; later ones replace partitions
+        mode = "dynamic" if stored else "static"
+        counted.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(self.PART).parquet(self.root)
+        return obs, rejected

@@ -149,3 +149,65 @@ def test_partial_upsert_equals_sequential_replay(spark):
     ch = spark.createDataFrame(changes, S + ", seq long")
     out, _ = upsert_frames(base, ch, "k", "seq", update_cols=["b"])
     assert rows(out) == sorted((k, a, b) for k, (a, b) in expect.items())
+
+
+def months(spark, tmp_dir):
+    from recordlake.sinks.table import PartitionedTable
+
+    return PartitionedTable(spark, f"{tmp_dir}/days", "day", "date_format(day, 'yyyy-MM')")
+
+
+def test_upsert_of_one_day_touches_one_month(spark, tmp_dir):
+    """One day of ten years is read and written with its month alone."""
+    import glob
+    import os
+
+    from recordlake.session import local_path
+
+    t = months(spark, tmp_dir)
+    days = spark.sql("SELECT explode(sequence(DATE'2010-01-01', DATE'2019-12-31')) AS day").selectExpr("day", "CAST(dayofyear(day) AS DOUBLE) AS v")
+    t.upsert(days)
+    listed = lambda: {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{local_path(t.root)}/part=*/*.parquet")}
+    before = listed()
+    change = spark.createDataFrame([("2014-07-09", -1.0)], "day string, v double").selectExpr("CAST(day AS DATE) AS day", "v")
+    assert {f.split("/part=")[1][:7] for f in t.touched(change).inputFiles()} >= {"2014-07"}
+    assert t.touched(change).count() == 31
+    obs, _ = t.upsert(change)
+    after = listed()
+    assert obs.get["rows"] == 31
+    assert {p.split("/part=")[1][:7] for p, _ in set(before.items()) ^ set(after.items())} == {"2014-07"}
+    got = {str(r.day): r.v for r in t.read().collect()}
+    want = {str(r.day): r.v for r in days.collect()} | {"2014-07-09": -1.0}
+    assert got == want and t.read().columns == ["day", "v"]
+
+
+def test_partitioned_upsert_equals_a_full_one(spark, tmp_dir):
+    import random
+
+    rnd = random.Random(3)
+    t = months(spark, tmp_dir)
+    schema = "day date, a string, b double"
+    base = spark.createDataFrame([], schema)
+    for step, cols in enumerate([None, None, ["b"], ["a"]]):
+        rows_ = [(f"2020-{rnd.randint(1, 6):02d}-{rnd.randint(1, 5):02d}" if rnd.random() < .9 else None, f"s{step}{i}", rnd.choice([None, float(i)]), i) for i in range(25)]
+        ch = spark.createDataFrame(rows_, "day string, a string, b double, seq long").selectExpr("CAST(day AS DATE) AS day", "a", "b", "seq")
+        want, gone = upsert_frames(base, ch, "day", "seq", cols)
+        _, rejected = t.upsert(ch, "day", order_col="seq", update_cols=cols)
+        base = spark.createDataFrame(want.collect(), schema)
+        assert rows(t.read(), "day", "a", "b") == rows(base) and rejected.count() == gone.count()
+
+
+def test_partitioned_upsert_that_died_is_run_again(spark, tmp_dir):
+    import pytest
+
+    t = months(spark, tmp_dir)
+    day = lambda x: spark.createDataFrame([("2020-01-01", x), ("2020-02-01", x)], "day string, v double").selectExpr("CAST(day AS DATE) AS day", "v")
+    t.upsert(day(1.0))
+    with pytest.raises(Exception, match="look-up failed"):
+        t.upsert(day(2.0).selectExpr("day", "IF(month(day) = 2, CAST(raise_error('look-up failed') AS DOUBLE), v) AS v"))
+    assert [r.v for r in t.read().collect()] == [1.0, 1.0]
+    for _ in range(2):
+        t.upsert(day(2.0))
+        assert [r.v for r in t.read().collect()] == [2.0, 2.0]
+    with pytest.raises(ValueError):
+        t.upsert(day(3.0), "v")
