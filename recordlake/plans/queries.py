@@ -17,6 +17,7 @@ from recordlake.functions import scalars as S
 from recordlake.functions.textrules import PERMIT_TYPES, RULES, WATTS_MAX, WATTS_MIN
 from recordlake.operators import aggs, joins, pages, project, setops
 from recordlake.operators.extract import extract_details, extract_with
+from recordlake.operators.history import cut_to_keys
 from recordlake.plans import derive as D
 from recordlake.sinks.upsert import upsert_frames
 from recordlake.sources.files import scan_pages, scan_table
@@ -60,6 +61,21 @@ SELECT d.* FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
 
 
+# J1 against a long history: orders of January 1996 by customers who had not ordered before
+def q_new_rows_history(spark, sf):
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    month, after = F.lit("1996-01-01").cast("timestamp_ntz"), F.lit("1996-02-01").cast("timestamp_ntz")
+    batch = orders.where((F.col("o_orderdate") >= month) & (F.col("o_orderdate") < after)).drop("o_orderdate")
+    before = orders.where(F.col("o_orderdate") < month).select("o_custkey")
+    return joins.new_rows(batch, cut_to_keys(before, batch, "o_custkey"), "o_custkey")
+
+
+SQL_NEW_ROWS_HISTORY = """
+SELECT o.o_orderkey, o.o_custkey FROM orders o
+WHERE o.o_orderdate >= TIMESTAMP '1996-01-01' AND o.o_orderdate < TIMESTAMP '1996-02-01'
+  AND NOT EXISTS (SELECT 1 FROM orders b WHERE b.o_custkey = o.o_custkey AND b.o_orderdate < TIMESTAMP '1996-01-01')"""
+
+
 def _registry(spark, sf) -> DataFrame:
     sup = _t(spark, sf, "supplier").where(F.col("s_nationkey") < 12)
     return project.rename(sup.select("s_suppkey", "s_name"), {"s_suppkey": "code", "s_name": "business_name"})
@@ -599,6 +615,7 @@ def queries() -> dict[str, Query]:
     return {
         "q_daily_mean": q_daily_mean,
         "q_new_rows": q_new_rows,
+        "q_new_rows_history": q_new_rows_history,
         "q_unmatched_codes": q_unmatched_codes,
         "q_enrich_inner": q_enrich_inner,
         "q_resolve_registry": q_resolve_registry,
@@ -634,6 +651,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "q_daily_mean": SQL_DAILY_MEAN,
         "q_new_rows": SQL_NEW_ROWS,
+        "q_new_rows_history": SQL_NEW_ROWS_HISTORY,
         "q_unmatched_codes": SQL_UNMATCHED_CODES,
         "q_enrich_inner": SQL_ENRICH_INNER,
         "q_resolve_registry": SQL_RESOLVE_REGISTRY,
