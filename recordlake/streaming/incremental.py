@@ -16,13 +16,17 @@ A micro-batch counts once its write has committed (``_SUCCESS``); readers never
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from recordlake.functions.scalars import file_segment
+from recordlake.operators.history import cut_to_keys
 from recordlake.operators.joins import append_first_wins, new_rows, skip_seen
+from recordlake.session import scratch_path
 
 STREAM_ID = "stream"
 BATCH_ID = "batch_id"
@@ -48,7 +52,8 @@ def append_micro_batch(batch: DataFrame, epoch_id: int, table_root: str, keys,
                        file_col: str = "batch_file", stream_id: str | None = None) -> None:
     """One micro-batch of I1: J5 against all other committed micro-batches of the table.
 
-    ``stream_id`` defaults to the id of the running streaming query.
+    ``stream_id`` defaults to the id of the running streaming query. What is stored is cut to the batch's keys
+    before it is shuffled, since it grows with every batch.
     """
     spark = batch.sparkSession
     own = stream_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -57,6 +62,8 @@ def append_micro_batch(batch: DataFrame, epoch_id: int, table_root: str, keys,
     folder = f"{STREAM_ID}={own}/{BATCH_ID}={epoch_id}"
     others = [p for p in _committed(spark, table_root) if not p.endswith(f"/{folder}")]
     stored = spark.read.option("basePath", table_root).parquet(*others) if others else None
+    if stored is not None:
+        stored = cut_to_keys(stored, batch, keys)
     rows = append_first_wins(batch, stored, keys, file_col)
     rows.write.mode("overwrite").parquet(f"{table_root}/{folder}")
 
@@ -100,7 +107,8 @@ def read_progress(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.option("basePath", root).parquet(*runs).drop("run")
 
 
-def write_progress(df: DataFrame, root: str, batch_col: str = BATCH_ID, commits: int = 10) -> int:
+def write_progress(df: DataFrame, root: str, batch_col: str = BATCH_ID, commits: int = 10,
+                   step: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Persist numbered batches in up to ``commits`` committed runs; returns the rows written.
 
     A batch is done when a committed run holds it, whatever its neighbours are. The missing batches
@@ -108,23 +116,46 @@ def write_progress(df: DataFrame, root: str, batch_col: str = BATCH_ID, commits:
     in ascending order: when a later one fails, the earlier ones remain and the next call writes only what is
     missing. The number of runs is bounded, however many batches there are. Batches must be whole: rows of one
     batch in two calls would leave the second call's out.
+
+    ``step`` is the work that each range is to have done (look-ups, extraction) and must keep ``batch_col``. With it,
+    ``df`` is evaluated once: the missing batches are written down in the shared folder, sorted by batch id in each file, and a
+    commit reads its range alone (row groups of other ranges are skipped) and applies ``step`` to it, so a
+    failure of the work costs that range and those after it. Without it, ``df`` is the finished work and each
+    commit evaluates its range of it.
     """
+    from recordlake.sources import fs
+
+    spark = df.sparkSession
+    done = read_progress(spark, root)
+    todo = df if done is None else df.join(done.select(batch_col).distinct(), batch_col, "left_anti").select(*df.columns)
+    if step is None:
+        return _write_ranges(todo, *todo.agg(F.min(batch_col), F.max(batch_col)).first(), root, batch_col, commits)
+    path = scratch_path(spark, "todo")
+    bounds = Observation("bounds")
+    try:
+        (todo.observe(bounds, F.min(batch_col).alias("lo"), F.max(batch_col).alias("hi"))
+         .sortWithinPartitions(batch_col).write.parquet(path))
+        todo = spark.read.schema(todo.schema).parquet(path)
+        return _write_ranges(todo, bounds.get["lo"], bounds.get["hi"], root, batch_col, commits, step)
+    finally:
+        fs.delete(spark, path)
+
+
+def _write_ranges(todo: DataFrame, lo: int | None, hi: int | None, root: str, batch_col: str, commits: int,
+                  step: Callable[[DataFrame], DataFrame] | None = None) -> int:
+    """One committed run per range of batch ids, ascending; returns the rows written."""
     import time
     import uuid
 
     from recordlake.operators.aggs import observe_count
 
-    spark = df.sparkSession
-    done = read_progress(spark, root)
-    todo = df if done is None else df.join(done.select(batch_col).distinct(), batch_col, "left_anti").select(*df.columns)
-    lo, hi = todo.agg(F.min(batch_col), F.max(batch_col)).first()
     if lo is None:
         return 0
-    step = -(-(hi - lo + 1) // commits)
+    width = -(-(hi - lo + 1) // commits)
     written = 0
-    for start in range(lo, hi + 1, step):
-        part = todo.where((F.col(batch_col) >= start) & (F.col(batch_col) < start + step))
-        counted, obs = observe_count(part, "progress")
+    for start in range(lo, hi + 1, width):
+        part = todo.where((F.col(batch_col) >= start) & (F.col(batch_col) < start + width))
+        counted, obs = observe_count(step(part) if step else part, "progress")
         run = f"run={time.strftime('%Y%m%d%H%M%S')}-{start:012d}-{uuid.uuid4().hex[:8]}"
         counted.write.mode("errorifexists").parquet(f"{root}/{run}")
         written += obs.get["rows"]

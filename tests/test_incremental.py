@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,8 +92,6 @@ def test_write_progress_resumes_inside_a_range(spark, tmp_dir):
 
 
 def test_write_progress_keeps_what_a_failed_run_committed(spark, tmp_dir):
-    import pytest
-
     df = number_batches(spark.range(0, 500).withColumnRenamed("id", "k"), "k", 50)
     broken = df.withColumn("k", F.when(F.col("batch_id") == 7, F.raise_error(F.lit("look-up failed"))).otherwise(F.col("k")).cast("long"))
     with pytest.raises(Exception, match="look-up failed"):
@@ -102,6 +101,36 @@ def test_write_progress_keeps_what_a_failed_run_committed(spark, tmp_dir):
     assert sorted(r.k for r in read_progress(spark, f"{tmp_dir}/q").collect()) == list(range(500))
 
 
+@pytest.mark.parametrize("commits", [1, 4, 10])
+def test_write_progress_reads_its_input_once(spark, tmp_dir, commits):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = number_batches(spark.range(0, 500).withColumnRenamed("id", "k"), "k", 50)
+    counted = df.mapInPandas(count, df.schema)
+    work = lambda part: part.withColumn("name", F.concat(F.lit("n"), F.col("k")))
+    assert write_progress(counted, f"{tmp_dir}/p", commits=commits, step=work) == 500
+    assert seen.value == 500
+    got = read_progress(spark, f"{tmp_dir}/p")
+    assert sorted((r.k, r.batch_id, r.name) for r in got.collect()) == [(i, i // 50, f"n{i}") for i in range(500)]
+    assert write_progress(counted, f"{tmp_dir}/p", commits=commits, step=work) == 0
+
+
+def test_write_progress_keeps_the_commits_before_a_failed_step(spark, tmp_dir):
+    df = number_batches(spark.range(0, 500).withColumnRenamed("id", "k"), "k", 50)
+    failing = lambda part: part.withColumn(
+        "k", F.when(F.col("batch_id") == 6, F.raise_error(F.lit("look-up failed"))).otherwise(F.col("k")).cast("long"))
+    with pytest.raises(Exception, match="look-up failed"):
+        write_progress(df, f"{tmp_dir}/q", commits=10, step=failing)
+    assert sorted(r.k for r in read_progress(spark, f"{tmp_dir}/q").collect()) == list(range(300))
+    assert write_progress(df, f"{tmp_dir}/q", commits=10, step=lambda part: part) == 200
+    assert sorted(r.k for r in read_progress(spark, f"{tmp_dir}/q").collect()) == list(range(500))
+
+
 def test_first_wins_null_keys_skewed(spark):
     """A third of all rows under a null key, and a hot key: result is still exact."""
     n = 3000
