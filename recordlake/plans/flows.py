@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from recordlake.functions.scalars import previous_month_range
 from recordlake.operators import aggs, joins, pages, project, setops
 from recordlake.operators.extract import BatchFn, extract_new
-from recordlake.sinks.table import LakeTable, write_batch
+from recordlake.sinks.table import LakeTable, batch_path, batch_written, write_batch
 from recordlake.sources.files import (
     scan_batches_for,
     scan_csv_dates,
@@ -103,6 +103,11 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
     ``permit_pages(permit_number, url, html)``: captured detail page per permit;
     ``registry_pages(license_no, url, html)``: captured registry page per licence;
     ``stamp``: ``yyyyMMdd_HHmmss`` of this run's batch (its date part should be ``run_date``'s day).
+
+    The stamp names the run. Its batch and its appends carry it, and each counts once it has committed, so a run that
+    died is started again with the same stamp: it does not repeat its look-ups or any write that is done (rows with null keys,
+    which match nothing, included), and the tables become those of a run without a failure. The counters are then those
+    of what the run stored in all its attempts, but for ``resolution``, which covers the look-ups of the last one.
     """
     lake = lake_root.rstrip("/")
     permit_results = LakeTable(spark, f"{lake}/permit_results")
@@ -111,29 +116,33 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
     details_t = LakeTable(spark, f"{lake}/permit_details_extracted")
     reports: dict = {}
 
-    # 1. record list, positional batches of 50 cut before seen records are removed
-    records = load_record_list(spark, record_csv, run_date)
-    numbered = project.number_batches(records, FILE_ROW, BATCH_SIZE, "batch_seq").drop(FILE_ROW)
-    # results of earlier runs: the resume file (if any) and the stored output table
     resumed = scan_optional(spark, resume_csv, RESUME_FILE) if resume_csv else spark.createDataFrame([], RESUME_FILE)
     resumed = project.rename(resumed, {"Permit Number": "permit_number", "Installer Number": "license_no"})
-    prior = resumed
-    if permit_results.exists():
-        prior = prior.unionByName(permit_results.read().select("permit_number", "license_no"))
-    todo = resume(numbered, prior, "permit_number")
-
-    # 2. look-ups from captured pages of this batch only, attached to the batch
-    wanted = permit_pages.join(todo.select("permit_number").distinct(), "permit_number", "left_semi")
-    found = pages.permit_to_license(wanted, "permit_number")
-    batch = joins.attach_results(todo, found.select("permit_number", "license_no"), "permit_number")
-
-    # 3. the run's batch, counted while it is written (A4 in the same pass), then the files of
-    #    the run date, first file wins
-    counts = Observation("missing")
-    written = batch.withColumn("batch_seq", F.lpad(F.col("batch_seq").cast("string"), 9, "0")).observe(
-        counts, F.count_if(F.col("license_no").isNull()).alias("missing"), F.count(F.lit(1)).alias("total"))
-    write_batch(written, batch_dir, stamp)
-    missing, total = counts.get["missing"], counts.get["total"]
+    if batch_written(spark, batch_dir, stamp):  # by an attempt of this run that died later
+        own = aggs.missing_report(spark.read.parquet(batch_path(batch_dir, stamp)), "license_no").first()
+        missing, total = own["missing"], own["total"]
+    else:
+        # 1. record list, positional batches of 50 cut before seen records are removed
+        records = load_record_list(spark, record_csv, run_date)
+        numbered = project.number_batches(records, FILE_ROW, BATCH_SIZE, "batch_seq").drop(FILE_ROW)
+        # results of earlier runs: the resume file (if any) and the stored output table
+        prior = resumed
+        if permit_results.exists():
+            prior = prior.unionByName(permit_results.read().select("permit_number", "license_no"))
+        todo = resume(numbered, prior, "permit_number")
+
+        # 2. look-ups from captured pages of this batch only, attached to the batch
+        wanted = permit_pages.join(todo.select("permit_number").distinct(), "permit_number", "left_semi")
+        found = pages.permit_to_license(wanted, "permit_number")
+        batch = joins.attach_results(todo, found.select("permit_number", "license_no"), "permit_number")
+
+        # 3. the run's batch, counted while it is written (A4 in the same pass), then the files of
+        #    the run date, first file wins
+        counts = Observation("missing")
+        written = batch.withColumn("batch_seq", F.lpad(F.col("batch_seq").cast("string"), 9, "0")).observe(
+            counts, F.count_if(F.col("license_no").isNull()).alias("missing"), F.count(F.lit(1)).alias("total"))
+        write_batch(written, batch_dir, stamp, replace_unfinished=True)
+        missing, total = counts.get["missing"], counts.get["total"]
     if resume_csv:  # the report covers this run and what it resumed, not the stored history
         earlier = aggs.missing_report(resumed, "license_no").first()
         missing, total = missing + earlier["missing"], total + earlier["total"]
@@ -142,7 +151,7 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
     scanned = scanned.withColumn("_rl_order", F.concat_ws("#", "batch_file", "batch_seq"))
     stored = permit_results.read() if permit_results.exists() else None
     new = joins.append_first_wins(scanned, stored, "permit_number", "_rl_order").drop("_rl_order")
-    reports["appended"] = permit_results.create_if_missing_or_append(new)
+    reports["appended"] = permit_results.create_if_missing_or_append(new, stamp)
 
     # 4. registry: create from CSV if missing, resolve unknown codes, enrich
     if not installers.exists():
@@ -174,12 +183,12 @@ def permit_flow(spark: SparkSession, record_csv: str, permit_pages: DataFrame, r
     reports["resolution"] = aggs.resolution_report(outcome, "business_name").first().asDict()
     # the enriched rows read the registry before the append below; materialize them first
     enriched = enriched.select("license_no", "permit_number", "business_name").checkpoint(eager=True)
-    reports["resolved"] = installers.append(resolved)
-    reports["enriched"] = enriched_t.create_if_missing_or_append(enriched)
+    reports["resolved"] = installers.append(resolved, stamp)
+    reports["enriched"] = enriched_t.create_if_missing_or_append(enriched, stamp)
 
     # 5. details for records not extracted yet
     extracted = details_t.read().select("permit_number") if details_t.exists() else None
     details = extract_new(permit_results.read().select("permit_number", "description"), extracted,
                           "permit_number", "description", extract_fn)
-    reports["extracted"] = details_t.create_if_missing_or_append(details)
+    reports["extracted"] = details_t.create_if_missing_or_append(details, stamp)
     return PermitFlowResult(permit_results, installers, enriched_t, details_t, reports)

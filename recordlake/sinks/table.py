@@ -8,6 +8,9 @@ current version is the highest one whose part 0 is committed), so readers never
 table being rewritten; an append adds the next part to the current version. Single writer
 per table; old versions stay until removed by the operator.
 
+A write may carry the name of the run it belongs to (``a=<m>-<run>``). The name is committed with the rows, so
+a run that is started again after a failure finds which of its writes are done, and does each of them once.
+
 Every write is a Spark job, reads are plain parquet scans with pruning and pushdown, and
 finding the current version is a directory listing (no job).
 """
@@ -27,7 +30,8 @@ from recordlake.sinks.upsert import upsert_frames
 from recordlake.sources import fs
 
 _VERSION_DIR = re.compile(r"^v=(\d+)$")
-_PART_DIR = re.compile(r"^a=(\d+)$")
+_PART_DIR = re.compile(r"^a=(\d+)(?:-\w+)?$")
+_RUN = re.compile(r"^\w+$")
 
 
 class LakeTable:
@@ -46,16 +50,34 @@ class LakeTable:
         found = (_VERSION_DIR.match(n) for n in fs.list_dirs(self.spark, self.root))
         return sorted(int(m.group(1)) for m in found if m)
 
-    def _part_path(self, version: int, part: int) -> str:
-        return f"{self._data_path(version)}/a={part:06d}"
+    def _part_path(self, version: int, part: int, run: str | None = None) -> str:
+        if run is not None and not _RUN.match(run):
+            raise ValueError(f"the name of a run has letters, digits and underscores: {run!r}")
+        return f"{self._data_path(version)}/a={part:06d}" + (f"-{run}" if run else "")
 
     def _parts(self, version: int) -> list[int]:
         """All part directories of a version, committed or not, ascending."""
         found = (_PART_DIR.match(n) for n in fs.list_dirs(self.spark, self._data_path(version)))
         return sorted(int(m.group(1)) for m in found if m)
 
-    def _committed(self, path: str) -> bool:
-        return fs.exists(self.spark, f"{path}/_SUCCESS")
+    def _first_part(self, version: int) -> str | None:
+        """Path of a version's part 0, or None if it is not committed."""
+        marks = fs.glob(self.spark, f"{self._data_path(version)}/a=000000*/_SUCCESS")
+        return marks[0].rsplit("/", 1)[0] if marks else None
+
+    def part_of(self, run: str) -> str | None:
+        """Path of the committed part that ``run`` wrote, in any version, or None."""
+        marks = fs.glob(self.spark, f"{self.root}/v=*/a=*-{run}/_SUCCESS")
+        return marks[0].rsplit("/", 1)[0] if marks else None
+
+    def _done(self, run: str | None) -> Observation | None:
+        """The row count of what ``run`` has written, or None if it has not."""
+        part = self.part_of(run) if run else None
+        if part is None:
+            return None
+        counted, obs = observe_count(self.spark.read.parquet(part), f"done_{run}")
+        counted.write.format("noop").mode("overwrite").save()
+        return obs
 
     def _committed_parts(self, version: int) -> list[str]:
         """Paths of the committed parts of a version, from one listing of the markers."""
@@ -65,7 +87,7 @@ class LakeTable:
     def current_version(self) -> int | None:
         """Latest version whose first part is committed, or None when the table does not exist."""
         for v in reversed(self._versions()):
-            if self._committed(self._part_path(v, 0)):
+            if self._first_part(v):
                 return v
         return None
 
@@ -92,11 +114,11 @@ class LakeTable:
         return self.read()
 
     # -- writes ------------------------------------------------------------------------
-    def create_or_replace(self, df: DataFrame) -> Observation:
+    def create_or_replace(self, df: DataFrame, run: str | None = None) -> Observation:
         """K3: write ``df`` as a new version (safe even when ``df`` reads this table)."""
         v = self._next_version()
         counted, obs = observe_count(df, f"replace_{v}")
-        counted.write.mode("errorifexists").parquet(self._part_path(v, 0))
+        counted.write.mode("errorifexists").parquet(self._part_path(v, 0, run))
         return obs
 
     def _align(self, df: DataFrame, target: T.StructType) -> DataFrame:
@@ -107,22 +129,28 @@ class LakeTable:
         return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None))
                            .cast(f.dataType).alias(f.name) for f in target.fields])
 
-    def append(self, df: DataFrame) -> Observation:
-        """K4: append rows, columns matched by name (missing ones null)."""
+    def append(self, df: DataFrame, run: str | None = None) -> Observation:
+        """K4: append rows, columns matched by name (missing ones null).
+
+        With ``run``, rows that this run has appended before stay as they are: nothing is written, and the count is theirs.
+        """
         v = self.current_version()
         if v is None:
             raise FileNotFoundError(f"table {self.root} does not exist")
-        target = self.spark.read.parquet(self._part_path(v, 0)).schema
+        done = self._done(run)
+        if done is not None:
+            return done
+        target = self.spark.read.parquet(self._first_part(v)).schema
         part = self._parts(v)[-1] + 1
         counted, obs = observe_count(self._align(df, target), f"append_{v}_{part}")
-        counted.write.mode("errorifexists").parquet(self._part_path(v, part))
+        counted.write.mode("errorifexists").parquet(self._part_path(v, part, run))
         return obs
 
-    def create_if_missing_or_append(self, df: DataFrame) -> Observation:
-        """K5: the first write creates the table, later ones append."""
+    def create_if_missing_or_append(self, df: DataFrame, run: str | None = None) -> Observation:
+        """K5: the first write creates the table, later ones append; ``run`` as in ``append``."""
         if self.exists():
-            return self.append(df)
-        return self.create_or_replace(df)
+            return self.append(df, run)
+        return self.create_or_replace(df, run)
 
     def upsert(self, changes: DataFrame, keys, order_col: str | None = None,
                update_cols: list[str] | None = None) -> tuple[Observation, DataFrame]:
@@ -140,16 +168,28 @@ class LakeTable:
         return self.create_or_replace(result), rejected
 
 
-def write_batch(df: DataFrame, batch_dir: str, stamp: _dt.datetime | str) -> str:
+def batch_path(batch_dir: str, stamp: _dt.datetime | str) -> str:
+    """Where the batch of ``stamp`` (``yyyyMMdd_HHmmss``) is written."""
+    name = stamp if isinstance(stamp, str) else stamp.strftime("%Y%m%d_%H%M%S")
+    return f"{batch_dir.rstrip('/')}/batch_{name}.parquet"
+
+
+def batch_written(spark: SparkSession, batch_dir: str, stamp: _dt.datetime | str) -> bool:
+    """Whether ``write_batch`` has committed the batch of ``stamp``."""
+    return fs.exists(spark, f"{batch_path(batch_dir, stamp)}/_SUCCESS")
+
+
+def write_batch(df: DataFrame, batch_dir: str, stamp: _dt.datetime | str, replace_unfinished: bool = False) -> str:
     """K1/K2: normalize types (P5) and write ``batch_<yyyyMMdd_HHmmss>.parquet`` under
     ``batch_dir`` (any Hadoop-compatible URI). Returns the batch path.
 
     The batch is a directory of part files; an existing batch of the same name is an error,
-    never silently overwritten.
+    never silently overwritten. ``replace_unfinished`` says that a directory of that name without the marker of a
+    committed job is what a failed attempt of the same write left; it is replaced.
     """
-    name = stamp if isinstance(stamp, str) else stamp.strftime("%Y%m%d_%H%M%S")
-    path = f"{batch_dir.rstrip('/')}/batch_{name}.parquet"
-    normalize_types(df).write.mode("errorifexists").parquet(path)
+    path = batch_path(batch_dir, stamp)
+    unfinished = replace_unfinished and not batch_written(df.sparkSession, batch_dir, stamp)
+    normalize_types(df).write.mode("overwrite" if unfinished else "errorifexists").parquet(path)
     return path
 
 
