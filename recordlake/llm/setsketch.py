@@ -321,7 +321,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", k:
     rest = settle(_rest_pairs(settle(held, "held"), some, percent), "rest")
     more = confirmed(rest, texts, k, percent)
     same_id = member.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    comps = components(links.unionByName(more).unionByName(same_id))
+    # the components of the stars' links stand for them: one edge a node
+    known = settle(comps.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")), "known")
+    comps = components(known.unionByName(more).unionByName(same_id))
     out = all_rows.select("doc_id", F.col("n").alias("n_shingles")).join(
         comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     found = F.coalesce("component", "doc_id")
