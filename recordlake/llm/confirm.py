@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordlake.llm.frames import settle
 from recordlake.llm.textkit import shingle_sets, texts_of, words_of
 
 #: Partners of a document that are compared with it in one group (on average; dealt by hash).
@@ -20,10 +21,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 
     ``texts`` has (node, text). Pairs are grouped by ``a``: its text travels once for each group and
     its set is made once, however many partners it has; a document with very many partners has several groups.
-    A node with several texts is confirmed if one of them is.
+    A node with several texts is confirmed if one of them is. ``pairs`` is evaluated twice: pass a written table.
     """
-    many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c"))
-    dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / PARTNERS)).cast("int").alias("s"))
+    # both are written: the few documents with very many partners are joined by broadcast where they are small, or by a join
+    # that can be split, and the pairs are dealt once for the two uses below
+    many = settle(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > PARTNERS), "many")
+    groups = F.coalesce(F.ceil(F.col("c") / PARTNERS), F.lit(1))
+    dealt = settle(pairs.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), groups).cast("int").alias("s")), "dealt")
     centres = dealt.select("a", "s").distinct().join(texts.select(F.col("node").alias("a"), "text"), "a").select("a", "s", F.lit(None).cast("long").alias("b"), "text")
     others = dealt.join(texts.select(F.col("node").alias("b"), "text"), "b").select("a", "s", "b", "text")
 
