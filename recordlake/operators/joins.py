@@ -55,18 +55,33 @@ def unmatched_codes(df: DataFrame, registry: DataFrame, code: str,
 
 
 def enrich_inner(df: DataFrame, registry: DataFrame, code: str,
-                 dedupe_registry: bool = False) -> DataFrame:
+                 dedupe_registry: bool = False, unique: bool = False) -> DataFrame:
     """Inner equi-join with the registry (J3): unresolved rows and null codes are left out.
 
     The registry is expected to hold one entry per code; the flows keep it so (deduped when
     created, resolved codes appended only when missing). That keeps the build side a plain
     shuffle, which AQE can split under a hot code. A caller whose registry may repeat a
     code passes ``dedupe_registry=True`` to reduce it to one entry per code (the greatest row)
-    first, so rows are never multiplied.
+    first, so rows are never multiplied. One who wants to hear of it passes ``unique=True``: the run then
+    fails on a code listed twice, found in the same pass by a count next to the join's own shuffle. Either way a hot code's
+    partition is no longer split, as an aggregate stands between shuffle and join.
     """
+    if unique:
+        registry = unique_by_key(registry, code)
     return df.join(dedupe_by_key(registry, code) if dedupe_registry else registry, code, "inner")
 
 
+def unique_by_key(rows: DataFrame, keys) -> DataFrame:
+    """``rows`` without those of a null key, as they are; the run fails if a key is listed twice."""
+    ks = _keys(keys)
+    others = [c for c in rows.columns if c not in ks]
+    per_key = rows.where(~any_null(ks)).groupBy(*ks).agg(
+        F.count(F.lit(1)).alias("_rl_n"), *([F.any_value(F.struct(*others)).alias("_rl_row")] if others else []))
+    twice = F.raise_error(F.concat(F.lit("listed more than once: "), F.to_json(F.struct(*ks))))
+    one = per_key.where(F.when(F.col("_rl_n") > 1, twice).otherwise(F.lit(True)))
+    return one.select(*[F.col(k) if k in ks else F.col(f"_rl_row.{k}").alias(k) for k in rows.columns])
+
+
 def dedupe_by_key(results: DataFrame, keys) -> DataFrame:
     """One row per key (null is one key): the greatest row, compared column by column, nulls lowest."""
     ks = _keys(keys)

@@ -30,6 +30,17 @@ def test_enrich_inner_drops_null_codes_and_dedupes_on_request(spark):
     assert rows(joins.enrich_inner(df, reg, "code", dedupe_registry=True), "pn", "name") == [("p1", "B")]
 
 
+def test_enrich_inner_fails_on_a_code_listed_twice(spark):
+    df = spark.createDataFrame([("p1", "c1"), ("p2", None), ("p3", "c1"), ("p4", "c9")], "pn string, code string")
+    reg = spark.createDataFrame([("c1", "A"), (None, "x"), (None, "y"), ("c2", None)], "code string, name string")
+    assert rows(joins.enrich_inner(df, reg, "code", unique=True), "pn", "name") == [("p1", "A"), ("p3", "A")]
+    assert rows(joins.enrich_inner(df, reg.select("code"), "code", unique=True), "pn") == [("p1",), ("p3",)]
+    assert joins.enrich_inner(df, reg.limit(0), "code", unique=True).collect() == []
+    doubled = reg.unionByName(reg.where("code = 'c1'"))
+    with pytest.raises(Exception, match="listed more than once"):
+        joins.enrich_inner(df, doubled, "code", unique=True).collect()
+
+
 def test_attach_results_null_matches_null(spark):
     batch = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "z")], "id long, k string")
     res = spark.createDataFrame([("a", "L1"), ("a", "L1"), (None, "LN")], "k string, lic string")
