@@ -112,16 +112,20 @@ def number_batches(df: DataFrame, order_cols, size: int = 50, batch_col: str = "
                    pos_col: str | None = None) -> DataFrame:
     """Number rows in ``order_cols`` order and cut them into batches of ``size`` (P10).
 
-    ``order_cols`` must order rows uniquely. No global window: rows are range-partitioned
-    on the order, sorted within partitions and checkpointed to the shared folder, so the
-    two passes below see the same partitions; per-partition counts (one row per
-    partition, a proven bound) give each partition its start offset.
+    No global window: the order columns alone are range-partitioned, sorted within partitions and
+    checkpointed to the shared folder, so the two passes below see the same partitions; per-partition
+    counts (one row per partition, a proven bound) give each partition its start offset. The other
+    columns are neither checkpointed nor sorted: they meet the positions in one join on the order columns.
+
+    With other columns, ``order_cols`` must order rows uniquely (one null is a value) and ``df`` must give the same
+    order columns whenever it is evaluated; the run fails where a row's place isn't certain. A frame of nothing but
+    order columns may repeat rows: they are numbered one after the other.
     """
     from recordlake.session import shared_dir
 
     shared_dir(df.sparkSession)  # checkpoint() needs the shared folder; set only when unset
     cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    ranged = df.repartitionByRange(*cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    ranged = df.select(*cols).repartitionByRange(*cols).sortWithinPartitions(*cols).checkpoint(eager=True)
     pid = F.spark_partition_id()
     local = ranged.select("*", pid.alias("_rl_pid"), F.monotonically_increasing_id().alias("_rl_mid"))
     counts = ranged.groupBy(pid.alias("_rl_pid")).agg(F.count(F.lit(1)).alias("_rl_n"))
@@ -130,9 +134,16 @@ def number_batches(df: DataFrame, order_cols, size: int = 50, batch_col: str = "
         "_rl_pid",
         F.coalesce(F.sum("_rl_n").over(Window.orderBy("_rl_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_rl_off"))
-    numbered = local.join(F.broadcast(offsets), "_rl_pid")
-    pos = F.col("_rl_off") + F.col("_rl_mid") - F.shiftleft(F.col("_rl_pid").cast("long"), 33)
-    out = numbered.withColumn(batch_col, F.floor(pos / F.lit(size)).cast("long"))
-    if pos_col:
-        out = out.withColumn(pos_col, pos)
-    return out.drop("_rl_pid", "_rl_mid", "_rl_off")
+    place = F.col("_rl_off") + F.col("_rl_mid") - F.shiftleft(F.col("_rl_pid").cast("long"), 33)
+    numbered = local.join(F.broadcast(offsets), "_rl_pid").withColumn("_rl_pos", place)
+    if set(df.columns) <= set(cols):
+        out, pos = numbered, F.col("_rl_pos")
+    else:
+        # a struct as key: null fields are equal, and the aggregate and the join share one shuffle
+        key = F.struct(*cols)
+        places = numbered.groupBy(key.alias("_rl_key")).agg(F.min("_rl_pos").alias("_rl_pos"), F.count(F.lit(1)).alias("_rl_n"))
+        out = df.withColumn("_rl_key", key).join(places, "_rl_key", "left")
+        unsure = F.raise_error(F.concat(F.lit("no certain place for the order columns "), F.to_json("_rl_key")))
+        pos = F.when(F.col("_rl_n") == 1, F.col("_rl_pos")).otherwise(unsure)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.floor(pos / F.lit(size)).cast("long").alias(batch_col),
+                      *([pos.alias(pos_col)] if pos_col else []))

@@ -103,6 +103,19 @@ SELECT l.l_orderkey, l.l_linenumber, l.l_suppkey AS code, s.s_name AS business_n
 FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey WHERE s.s_nationkey < 12"""
 
 
+# J3 with a registry that is checked in the same pass
+def q_enrich_unique(spark, sf):
+    orders = _t(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("code"))
+    registry = (_t(spark, sf, "customer").where(F.col("c_nationkey") < 12)
+                .select(F.col("c_custkey").alias("code"), F.col("c_name").alias("business_name")))
+    return joins.enrich_inner(orders, registry, "code", unique=True)
+
+
+SQL_ENRICH_UNIQUE = """
+SELECT o.o_orderkey, o.o_custkey AS code, c.c_name AS business_name
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey WHERE c.c_nationkey < 12"""
+
+
 # Resolve codes, growing the registry from look-ups
 def q_resolve_registry(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("code"))
@@ -199,6 +212,19 @@ def q_number_batches(spark, sf):
     return todo.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# P10 with columns that only meet the positions in a join
+def q_number_wide(spark, sf):
+    orders = _t(spark, sf, "orders").select("o_orderdate", "o_orderkey", "o_custkey", "o_orderpriority")
+    return project.number_batches(orders, ["o_orderdate", "o_orderkey"], 50, pos_col="pos").drop("o_orderdate")
+
+
+SQL_NUMBER_WIDE = """
+SELECT o_orderkey, o_custkey, o_orderpriority,
+       (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 50 AS batch_id,
+       row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS pos
+FROM orders"""
+
+
 SQL_NUMBER_BATCHES = """
 WITH n AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 50 AS batch_id FROM orders)
 SELECT batch_id, count(*) AS n_rows FROM n
@@ -618,11 +644,13 @@ def queries() -> dict[str, Query]:
         "q_new_rows_history": q_new_rows_history,
         "q_unmatched_codes": q_unmatched_codes,
         "q_enrich_inner": q_enrich_inner,
+        "q_enrich_unique": q_enrich_unique,
         "q_resolve_registry": q_resolve_registry,
         "q_attach_results": q_attach_results,
         "q_first_wins": q_first_wins,
         "q_batch_files": q_batch_files,
         "q_number_batches": q_number_batches,
+        "q_number_wide": q_number_wide,
         "q_skip_seen": q_skip_seen,
         "q_union_resumed": q_union_resumed,
         "q_upsert": q_upsert,
@@ -654,11 +682,13 @@ def oracle_sql() -> dict[str, str]:
         "q_new_rows_history": SQL_NEW_ROWS_HISTORY,
         "q_unmatched_codes": SQL_UNMATCHED_CODES,
         "q_enrich_inner": SQL_ENRICH_INNER,
+        "q_enrich_unique": SQL_ENRICH_UNIQUE,
         "q_resolve_registry": SQL_RESOLVE_REGISTRY,
         "q_attach_results": SQL_ATTACH_RESULTS,
         "q_first_wins": SQL_FIRST_WINS,
         "q_batch_files": SQL_BATCH_FILES,
         "q_number_batches": SQL_NUMBER_BATCHES,
+        "q_number_wide": SQL_NUMBER_WIDE,
         "q_skip_seen": SQL_SKIP_SEEN,
         "q_union_resumed": SQL_UNION_RESUMED,
         "q_upsert": SQL_UPSERT,

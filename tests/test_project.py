@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import Window
@@ -80,3 +81,29 @@ def test_number_batches_composite_order(spark):
     got = project.number_batches(df, ["d", "p"], 50, pos_col="pos")
     expect = df.select("d", "p", (F.row_number().over(Window.orderBy("d", "p")) - 1).alias("pos"))
     assert rows(got, "d", "p", "pos") == rows(expect, "d", "p", "pos")
+
+
+def _bytes_under(path):
+    return sum(f.stat().st_size for f in pathlib.Path(path).rglob("*") if f.is_file())
+
+
+def test_number_batches_writes_down_the_order_columns_only(spark):
+    def written(width):
+        df = spark.range(0, 2000, 1, 4).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 256), width).alias("text"))
+        before = _bytes_under(folder)
+        assert project.number_batches(df, "id", 50).where("length(text) <> 64 * %d" % width).count() == 0
+        return _bytes_under(folder) - before
+    project.number_batches(spark.range(1), "id")  # the folder is set by the first call
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    one, many = written(1), written(100)
+    assert one > 0 and many <= 1.1 * one
+
+
+def test_number_batches_with_other_columns_needs_a_certain_order(spark):
+    df = spark.createDataFrame([(None, "n"), (2, "b"), (1, "a")], "k long, v string")
+    assert rows(project.number_batches(df, "k", 2, pos_col="pos")) == [(None, "n", 0, 0), (1, "a", 0, 1), (2, "b", 1, 2)]
+    assert project.number_batches(df.limit(0), "k").collect() == []
+    with pytest.raises(Exception, match="no certain place"):
+        project.number_batches(df.unionByName(df), "k").collect()
+    twice = project.number_batches(df.select("k").unionByName(df.select("k")), "k", 2)
+    assert sorted(r.batch_id for r in twice.collect()) == [0, 0, 1, 1, 2, 2]
